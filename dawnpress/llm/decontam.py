@@ -140,7 +140,9 @@ def _pairs(words, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
         row, hit = np.repeat(rows, width), np.repeat(hits, width)
         order = np.lexsort((hit, item, row))
         row, item, hit = row[order], item[order], hit[order]
-        cuts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))) if len(row) else []
+        if not len(row):
+            continue
+        cuts = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1])))
         for a, b in zip(cuts, [*cuts[1:], len(row)], strict=True):
             h = np.unique(hit[a:b])
             inside = np.unique((h[:, None] + np.arange(n)).ravel())

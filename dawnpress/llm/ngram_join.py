@@ -41,7 +41,7 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 16
 LEAF = 16
 #: (point, box) pairs that are compared at once.
-FRONTIER = 1 << 15
+FRONTIER = 1 << 13
 
 
 def _node(s: np.ndarray) -> int:
@@ -139,7 +139,10 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, rank: np.ndarra
 
 
 def _chain(keys: DataFrame) -> DataFrame:
-    """Edges between nodes that share a prefix shingle and have like sizes."""
+    """Edges between nodes that share a prefix shingle and have like sizes. A near-duplicate class shares
+    many shingles, which are spread over all partitions: each partition packs its edges by bucket, and
+    a bucket's edges are unpacked where all their repeats have met."""
+    buckets = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [[], [], [], []]
@@ -157,11 +160,22 @@ def _chain(keys: DataFrame) -> DataFrame:
             a = np.flatnonzero(joined & live)
             pairs = np.stack([own[a], own[a - 1]])
             pairs = np.unique(np.sort(pairs[:, pairs[0] != pairs[1]], axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
+            where = np.mod(pairs[0], buckets)
+            for k in np.unique(where).tolist():
+                mine = np.ascontiguousarray(pairs[:, where == k].T)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([mine.tobytes()], pa.binary())], ["bucket", "edges"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.zeros((0, 2), np.int64)
+        for batch in batches:
+            got = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in batch.column(1)]
+            edges = np.unique(np.concatenate([edges, *got]), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["u", "v"])
 
     # Shares of the key space are small enough for one task each; no key's group is gathered but as
     # one row per batch and size class.
-    return keys.select("key", "cls", "node", "short").repartition("key").mapInArrow(link, "u long, v long")
+    packed = keys.select("key", "cls", "node", "short").repartition("key").mapInArrow(link, "bucket long, edges binary")
+    return packed.repartition(buckets, "bucket").mapInArrow(unpack, "u long, v long")
 
 
 # -- the R-tree -------------------------------------------------------------------------------
@@ -287,7 +301,7 @@ def _verify(units: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(join, "u long, v long")
 
 
-def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int = 4, island_cap: int = 4096) -> DataFrame:
+def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int = 4, island_cap: int = 2048) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs(doc_id, text)``; two rows link when
     the Jaccard similarity of their sets is ``num / den`` or more."""
     rank = _sketch(docs, shingle)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dawnpress.llm import decontam, mixing, ngram_join, quality, token_store
+from dawnpress.llm import bwt_dedup, decontam, mixing, ngram_join, quality, token_store, toxicity
 
 END_ID = 1
 
@@ -25,10 +25,18 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_docs(spark, sf_dir))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.remove_repeats(_docs(spark, sf_dir))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.token_index(_docs(spark, sf_dir), tokenizer_path(), END_ID)
 
@@ -43,7 +51,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op5_benchmark_decontamination, op7_token_store, op8_quality_rules, op10_source_mixing)
+    for f in (op1_ngram_jaccard_join, op2_toxicity, op5_benchmark_decontamination, op6_suffix_array_dedup, op7_token_store, op8_quality_rules, op10_source_mixing)
 }
 
 ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE}
