@@ -1,6 +1,7 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the presence of n-grams of 3, 4 and 5 code points of the lower-cased text. Fitting:
+Features are the presence of n-grams of 3 to 7 code points of the lower-cased text, in which each run of
+white space is one blank and a blank stands before the first word. Fitting:
 
 1. A bounded sample of labelled rows (``sample``, the least hashes of the training ids) is read.
 2. In a table of fixed size (``2 ** BITS`` counters a class) n-grams are counted by class; the buckets
@@ -28,27 +29,33 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dawnpress.llm.textscan import MULTIPLIERS, U64, mix
+from dawnpress.llm.textscan import MULTIPLIERS, U64
 from dawnpress.plans.lineage import cut
 
 SAMPLE = 20_000
+SHORTEST, LONGEST = 3, 7
 BITS, FEATURES, LEAST_CHI2 = 20, 4096, 20.0
 #: Code points of a text that are looked at together; parts overlap, so no n-gram is lost.
 PART = 1 << 20
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    h = h * U64(0xFF51AFD7ED558CCD)
+    return (h ^ (h >> U64(32))) * U64(0x9E3779B97F4A7C15)
+
+
 def ngrams(text: str | None) -> Iterator[np.ndarray]:
     """64-bit hashes of all n-grams of a text."""
-    text = (text or "").lower()
+    text = " " + " ".join((text or "").lower().split()) if text else ""
     for a in range(0, len(text), PART):
-        c = np.frombuffer(text[a : a + PART + 4].encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
+        c = np.frombuffer(text[a : a + PART + LONGEST - 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
         h = c * MULTIPLIERS[0]
-        for n in range(1, 5):
-            if len(c) <= n:
+        for n in range(2, LONGEST + 1):
+            if len(c) < n:
                 break
-            h = h[:-1] + c[n:] * MULTIPLIERS[n]
-            if n >= 2:
-                yield mix(h[:PART] + MULTIPLIERS[40 + n])
+            h = h[:-1] + c[n - 1 :] * MULTIPLIERS[n - 1]
+            if n >= SHORTEST:
+                yield _spread(h[:PART] + MULTIPLIERS[40 + n])
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
