@@ -8,7 +8,7 @@ A *window* is ``length`` bytes at one position of one document. The steps:
    all but the earliest are covered whole. What is left open are different segments around one anchor,
    which may still share windows in part.
 2. The open segments of a bucket of anchors are cut into shards. Each shard gets its suffix order and
-   its Burrows-Wheeler transform, over symbols of two bytes. The shards' transforms are merged by
+   its Burrows-Wheeler transform, over symbols of twenty bytes (numbered by their hashes). The shards' transforms are merged by
    refining their interleave: a stable pass over the current interleave sorts it by one more symbol,
    without sorting the suffixes again. Block borders that appear on the way are the common prefixes;
    blocks that are still whole after ``length`` bytes are the repeated intervals. In each, every window
@@ -41,7 +41,10 @@ from dawnpress.plans.lineage import cut
 GRAM = 32
 NULL_ID = -(1 << 63)
 #: Windows that are scanned at once; text bytes for each bucket; strings of a shard.
-PART, BUCKET_BYTES, SHARD = 1 << 20, 12 << 20, 8192
+PART, BUCKET_BYTES, SHARD = 1 << 20, 12 << 20, 1024
+#: Bytes of a symbol; open bytes of a bucket; different segments around an anchor that are dealt by
+#: single windows instead.
+WIDTH, OPEN_BYTES, HOT = 20, 1 << 20, 4096
 
 #: A run of ``n`` windows from ``at`` on in version ``ver`` of document ``doc``.
 RUN = np.dtype([("doc", "<i8"), ("ver", "<u4"), ("at", "<i4"), ("n", "<i4")])
@@ -176,6 +179,8 @@ def _settle(blobs: DataFrame, buckets: int, groups: int) -> DataFrame:
         same = first["anchor"][1:] == first["anchor"][:-1]
         many = np.append(False, same) | np.append(same, False)
         opened = first[many]
+        _, which, count = np.unique(opened["anchor"], return_inverse=True, return_counts=True)
+        opened["same"][count[which] > HOT] = 0
         yield from _emit([(1, runs(again), np.mod(again["doc"], groups)), (2, opened, np.mod(opened["doc"], groups))])
 
     return blobs.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(settle, _BLOBS)
@@ -214,81 +219,107 @@ def _with_rows(batches: Iterator[pa.RecordBatch], kind: np.dtype, versions: bool
 
 
 def _pieces(blobs: DataFrame, docs: DataFrame, groups: int, buckets: int, length: int, versions: bool) -> DataFrame:
-    """Open segments with their bytes, by anchor bucket."""
+    """kind 2: open segments with their bytes, by anchor bucket. Those around a hot anchor are dealt out as
+    single windows, by the windows' own hashes; copies inside a batch are covered at once (kind 1)."""
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segs, texts, size = [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             s = np.concatenate(segs)
-            where = (s["anchor"] % U64(buckets)).astype(np.int64)
-            order = np.argsort(where, kind="stable")
-            cuts = np.flatnonzero(np.append(True, where[order][1:] != where[order][:-1]))
-            out = [(int(where[order[a]]), pack(s[order[a:b]]), b"".join(texts[k] for k in order[a:b])) for a, b in zip(cuts, [*cuts[1:], len(s)], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["bucket", "rows", "bytes"])
+            number = np.arange(len(s))
+            hot = (s["n"] == 1) & (s["same"] == s["anchor"])
+            if hot.any():
+                first, again = earliest(s[hot])
+                for x in _emit([(1, runs(again), np.mod(again["doc"], groups))]):
+                    yield x.append_column("bytes", pa.nulls(len(x), pa.binary()))
+                # earliest() sorts: find the kept rows' texts again by place
+                where = {k: i for k, i in zip(zip(s["doc"].tolist(), s["ver"].tolist(), s["at"].tolist(), strict=True), number.tolist(), strict=True) if hot[i]}
+                number = np.concatenate([number[~hot], np.array([where[k] for k in zip(first["doc"].tolist(), first["ver"].tolist(), first["at"].tolist(), strict=True)], np.int64)])
+            where = (s["anchor"][number] % U64(buckets)).astype(np.int64)
+            number = number[np.argsort(where, kind="stable")]
+            where = np.sort(where)
+            cuts = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            parts = [number[a:b] for a, b in zip(cuts, [*cuts[1:], len(number)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), 2, np.int32)), pa.array(where[cuts]), pa.array([pack(s[k]) for k in parts], pa.binary()), pa.array([b"".join(texts[i] for i in k) for k in parts], pa.binary())], ["kind", "bucket", "rows", "bytes"])
 
         for _, text, mine in _with_rows(batches, SEGMENT, versions):
             if not len(mine):
                 continue
             raw = text.tobytes()
-            segs.append(mine)
-            texts += [raw[a : a + n + length - 1] for a, n in zip(mine["at"].tolist(), mine["n"].tolist(), strict=True)]
-            size += int(mine["n"].sum()) + length * len(mine)
+            for s in (mine[mine["same"] != 0], _windows(mine[mine["same"] == 0], raw, length)):
+                if len(s):
+                    segs.append(s)
+                    texts += [raw[a : a + n + length - 1] for a, n in zip(s["at"].tolist(), s["n"].tolist(), strict=True)]
+                    size += int(s["n"].sum()) + length * len(s)
             if size > 8 << 20:
                 yield from flush()
                 segs, texts, size = [], [], 0
         if segs:
             yield from flush()
 
-    return _beside_texts(blobs, docs, groups).mapInArrow(fetch, "bucket long, rows binary, bytes binary")
+    return _beside_texts(blobs, docs, groups).mapInArrow(fetch, "kind int, bucket long, rows binary, bytes binary")
+
+
+def _windows(s: np.ndarray, raw: bytes, length: int) -> np.ndarray:
+    """The single windows of segments, each with its own hash as anchor."""
+    n = s["n"].astype(np.int64)
+    out = np.repeat(s, n)
+    out["at"] += (np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
+    out["n"] = 1
+    own = [int.from_bytes(hashlib.blake2b(raw[a : a + length], digest_size=8).digest(), "little") | 1 for a in out["at"].tolist()]
+    out["anchor"] = out["same"] = np.array(own, U64)
+    return out
 
 
 # -- transforms of shards and their merge -------------------------------------------------------
 
 
 class ShardTransform:
-    """Suffix order and Burrows-Wheeler transform of some strings, over symbols of two bytes.
+    """Suffix order and Burrows-Wheeler transform of some strings, over symbols of ``width`` bytes.
 
-    Each string is read from both of its first bytes on, so that a suffix starts at every byte. Symbol 0
-    ends a string; ends are told apart by the string's number."""
+    Each string is read from each of its first ``width`` bytes on, so that a suffix starts at every byte.
+    ``symbols`` numbers the ``width`` bytes at each place of ``data`` from 1 on; equal bytes have equal
+    numbers, and the numbers' order is the order of the suffixes. Symbol 0 ends a reading; ends are told
+    apart by the reading's number."""
 
-    def __init__(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ranks: np.ndarray):
+    def __init__(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int):
         m = len(starts)
-        half = np.concatenate([sizes // 2, (sizes - 1) // 2])  # symbols from byte 0 and from byte 1 on
-        begin = np.concatenate([starts, starts + 1])
-        n = half + 1
+        shift = np.repeat(np.arange(width), m)
+        count = (np.tile(sizes, width) - shift) // width  # whole symbols of each reading
+        readings = len(count)
+        n = count + 1
         base = np.cumsum(n) - n
         total = int(n.sum())
-        offset = np.arange(total) - np.repeat(base, n)
-        self.text_at = np.repeat(begin, n) + 2 * offset
-        end = offset == np.repeat(half, n)
-        byte = np.minimum(self.text_at, len(data) - 2)
-        symbol = ranks[(data[byte].astype(np.int64) << 8) | data[byte + 1]].astype(np.int64)
+        reading = np.repeat(np.arange(readings), n)
+        offset = np.arange(total) - base[reading]
+        end = offset == count[reading]
+        place = shift[reading] + width * offset
+        symbol = symbols[np.minimum(np.tile(starts, width)[reading] + place, len(symbols) - 1)]
         symbol[end] = 0
-        # suffix order by doubling; ends rank below all symbols, in the strings' order
-        rank = symbol + 2 * m
-        rank[end] = np.arange(2 * m)
-        limit, reach = base + n - 1, 1
-        last = np.repeat(limit, n)
-        at = np.arange(total)
+        # suffix order by doubling; ends rank below all symbols, in the readings' order
+        rank = symbol.astype(np.int64) + readings
+        rank[end] = np.arange(readings)
+        left = count[reading] - offset  # symbols before the end
+        reach = 1
         while True:
-            follow = at + reach
-            key = rank * (np.int64(rank.max()) + 2) + np.where(follow <= last, rank[np.minimum(follow, total - 1)] + 1, 0)
+            key = rank * (np.int64(rank.max()) + 2)
+            far = np.flatnonzero(left >= reach)
+            key[far] += rank[far + reach] + 1
             order = np.argsort(key, kind="stable")
+            key = key[order]
             new = np.ones(total, bool)
-            new[1:] = key[order][1:] != key[order][:-1]
-            rank = np.empty(total, np.int64)
+            new[1:] = key[1:] != key[:-1]
             rank[order] = np.cumsum(new) - 1
             if new.all():
                 break
             reach *= 2
-        self.order = order
         before = symbol[order - 1]
         before[offset[order] == 0] = 0
-        self.transform = before.astype(np.uint16)
-        self.string = np.repeat(np.tile(np.arange(m), 2), n)[order]
-        self.place = (2 * offset + np.repeat(np.repeat([0, 1], m), n))[order]
-        self.ends = 2 * m
+        self.transform = before
+        self.string = (reading % m)[order].astype(np.int32)
+        self.place = place[order].astype(np.int32)
+        self.ends = readings
 
 
 def merge_transforms(shards: list[ShardTransform], symbols: int) -> tuple[np.ndarray, np.ndarray]:
@@ -298,9 +329,9 @@ def merge_transforms(shards: list[ShardTransform], symbols: int) -> tuple[np.nda
     kind = np.uint8 if len(shards) < 256 else np.uint16
     bwt = np.concatenate([s.transform for s in shards])
     interleave = np.repeat(np.arange(len(shards)), sizes).astype(kind)
-    block = np.zeros(total, np.int64)
+    block = np.zeros(total, np.int32)
     first_ends = np.repeat(np.arange(len(shards)), [s.ends for s in shards]).astype(kind)
-    here = np.empty(total, np.uint16)
+    here = np.empty(total, bwt.dtype)
     for _ in range(symbols):
         here[np.argsort(interleave, kind="stable")] = bwt
         moved = np.argsort(here, kind="stable")
@@ -312,24 +343,37 @@ def merge_transforms(shards: list[ShardTransform], symbols: int) -> tuple[np.nda
         np.not_equal(was[1:], was[:-1], out=border[1:])
         border[1:] |= symbol[1:] != symbol[:-1]
         border[: min(ends + 1, total)] = True
-        block = np.cumsum(border)
+        block = np.cumsum(border, dtype=np.int32)
         if block[-1] == total:
             break
     return interleave, block
 
 
+def _symbols(data: np.ndarray, width: int) -> np.ndarray:
+    """A number from 1 on for the ``width`` bytes at each place; equal bytes have equal numbers."""
+    up, down = _powers(len(data) + 1)
+    total = np.empty(len(data) + 1, U64)
+    total[0] = 0
+    np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
+    known, number = np.unique(mix((total[width:] - total[:-width]) * down[: len(data) - width + 1]), return_inverse=True)
+    return (number + 1).astype(np.uint16 if len(known) < 65535 else np.uint32)
+
+
+def symbol_width(length: int) -> int:
+    """The widest symbol up to ``WIDTH`` bytes that ``length`` is a multiple of."""
+    return next(w for w in range(min(WIDTH, length), 0, -1) if length % w == 0)
+
+
 def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int = SHARD) -> np.ndarray:
     """Runs of windows of the open segments ``segs`` (bytes one after the other in ``data``) that an
     earlier equal window covers."""
     size = segs["n"].astype(np.int64) + length - 1
     start = np.cumsum(size) - size
-    pairs = (data[:-1].astype(np.int64) << 8) | data[1:]
-    used = np.zeros(1 << 16, bool)
-    used[pairs] = True
-    ranks = np.cumsum(used)  # 1 and up; UTF-8 never uses all pairs
+    width = symbol_width(length)
+    symbols = _symbols(data, width)
     cuts = list(range(0, len(segs), shard))
-    shards = [ShardTransform(data, start[a : a + shard], size[a : a + shard], ranks) for a in cuts]
-    interleave, block = merge_transforms(shards, length // 2)
+    shards = [ShardTransform(symbols, start[a : a + shard], size[a : a + shard], width) for a in cuts]
+    interleave, block = merge_transforms(shards, length // width)
     order = np.argsort(interleave, kind="stable")
     seg, place = np.empty(len(block), np.int64), np.empty(len(block), np.int64)
     seg[order] = np.concatenate([s.string + a for s, a in zip(shards, cuts, strict=True)])
@@ -368,7 +412,10 @@ def _merge(pieces: DataFrame, buckets: int, groups: int, length: int) -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, segs, texts = None, [], []
         for batch in batches:
-            for bucket, rows, raw in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for kind, bucket, rows, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                if kind == 1:
+                    yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([bucket], pa.int64()), pa.array([rows.as_py()], pa.binary())], ["kind", "bucket", "rows"])
+                    continue
                 if bucket != at and segs:
                     yield from close(segs, texts)
                     segs, texts = [], []
@@ -382,7 +429,7 @@ def _merge(pieces: DataFrame, buckets: int, groups: int, length: int) -> DataFra
         found = covered_windows(np.concatenate(segs), np.concatenate(texts), length)
         yield from _emit([(1, found, np.mod(found["doc"], groups))])
 
-    return pieces.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(work, _BLOBS)
+    return pieces.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(work, _BLOBS)
 
 
 def _finish(runs_by_doc: DataFrame, docs: DataFrame, groups: int, length: int, versions: bool) -> DataFrame:
@@ -425,6 +472,8 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     buckets = max(8, -(-int(size[0] or 0) // BUCKET_BYTES))
     groups = max(8, -(-int(size[0] or 0) // BUCKET_BYTES))
     settled = cut(_settle(_scan(docs, length, buckets, groups, versions), buckets, groups), "settled")
-    pieces = _pieces(settled.where("kind = 2"), docs, groups, buckets, length, versions)
-    merged = cut(_merge(pieces, buckets, groups, length), "merged")
+    opened = settled.where("kind = 2")
+    packed = opened.agg(F.sum(F.length("rows"))).first()[0] or 0
+    open_buckets = max(8, -(-int(packed) // SEGMENT.itemsize * (length + GRAM) // OPEN_BYTES))
+    merged = cut(_merge(_pieces(opened, docs, groups, open_buckets, length, versions), open_buckets, groups, length), "merged")
     return _finish(settled.where("kind = 1").unionByName(merged), docs, groups, length, versions)
