@@ -37,8 +37,8 @@ from dawnpress.llm.textscan import MULTIPLIERS, mix, word_chunks
 from dawnpress.plans.components import connected_components
 from dawnpress.plans.lineage import cut
 
-SKETCH_BITS = 20
-SKETCH_PARTS = 16
+SKETCH_BITS = 22
+SKETCH_PARTS = 64
 LEAF = 16
 #: (point, box) pairs that are compared at once.
 FRONTIER = 1 << 13
@@ -54,11 +54,12 @@ def _sketch(docs: DataFrame, shingle: int) -> np.ndarray:
     size = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SKETCH_BITS, np.uint32)
+        total = np.zeros(1 << SKETCH_BITS, np.uint16)
         for batch in batches:
             for _, _, words in word_chunks(batch.column(0)):
                 for s in words.shingle_sets(shingle):
-                    np.add.at(total, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                    at = (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)  # sorted, and hardly ever twice
+                    total[at] += total[at] < 0xFFFF
         rows = [(i, total[i * size : (i + 1) * size].tobytes()) for i in range(SKETCH_PARTS) if total[i * size : (i + 1) * size].any()]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["part", "counts"])
 
@@ -66,8 +67,8 @@ def _sketch(docs: DataFrame, shingle: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = np.frombuffer(counts.as_buffer(), np.uint32)
-                sums[part] = np.minimum(sums[part] + x.astype(np.uint64), 0xFFFFFFFF).astype(np.uint32) if part in sums else x.copy()
+                x = np.frombuffer(counts.as_buffer(), np.uint16).astype(np.uint32)
+                sums[part] = np.minimum(sums[part].astype(np.uint64) + x, 0xFFFFFFFF).astype(np.uint32) if part in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "counts"])
 
     schema = "part int, counts binary"
@@ -301,7 +302,7 @@ def _verify(units: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(join, "u long, v long")
 
 
-def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int = 4, island_cap: int = 2048) -> DataFrame:
+def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int = 4, island_cap: int = 4096) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs(doc_id, text)``; two rows link when
     the Jaccard similarity of their sets is ``num / den`` or more."""
     rank = _sketch(docs, shingle)
