@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dawnpress.llm import bwt_dedup, decontam, mixing, ngram_join, quality, token_store, toxicity
+from dawnpress.llm import bwt_dedup, decontam, line_dedup, lm_score, mixing, ngram_join, quality, secrets, token_store, toxicity
 
 END_ID = 1
 
@@ -29,6 +29,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_lm(_docs(spark, sf_dir))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(_docs(spark, sf_dir))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -45,13 +53,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_docs(spark, sf_dir))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_lines(_docs(spark, sf_dir))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_ngram_jaccard_join, op2_toxicity, op5_benchmark_decontamination, op6_suffix_array_dedup, op7_token_store, op8_quality_rules, op10_source_mixing)
-}
+    for f in (
+        op1_ngram_jaccard_join, op2_toxicity, op3_lm_scoring, op4_secret_scan, op5_benchmark_decontamination,
+        op6_suffix_array_dedup, op7_token_store, op8_quality_rules, op9_line_dedup, op10_source_mixing,
+    )
+}
 
-ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
