@@ -30,7 +30,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 def _lines(docs: DataFrame) -> DataFrame:
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.select("doc_id", "line_no", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w")).where("size(w) > 0")
+    return lines.where(F.col("line").rlike(_WORD)).select("doc_id", "line_no", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w"))
 
 
 def _half_keys(w: Column, least: int) -> Column:

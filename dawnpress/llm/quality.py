@@ -84,15 +84,15 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(_let(hashed, exact))
 
 
-def measure(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """The base columns, ``n_lines`` and ``n_stop_words`` beside the columns ``keep`` of ``docs``."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    got = docs.select(*(keep or ["doc_id"]), text.alias("__t"))
+def measure(docs: DataFrame, keep: list[str | Column] | None = None) -> DataFrame:
+    """The base columns, ``n_lines`` and ``n_stop_words`` beside the columns ``keep`` over ``docs``."""
+    text, keep = F.coalesce(F.col("text"), F.lit("")), keep or ["doc_id"]
+    got = docs.select(*(k for k in keep if isinstance(k, str)), text.alias("__t"))
     got = got.withColumn("__w", F.regexp_extract_all("__t", F.lit(_WORD), F.lit(0)))
     got = got.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: x.rlike(_WORD)))
     n = lambda c: c.cast("long")
     return got.select(
-        *(keep or ["doc_id"]),
+        *keep,
         n(F.size("__w")).alias("n_words"),
         n(F.length(F.translate("__t", " \t\n\x0b\x0c\r", ""))).alias("word_chars"),
         n(F.length("__t") - F.length(F.translate("__t", _SYMBOLS, ""))).alias("n_symbols"),
@@ -123,7 +123,9 @@ def score_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the same columns."""
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("__row"), docs["text"].alias("text"))
-    return measure(whole, ["__row"]).where(verdict(rules)[1]).select("__row.*")
+    # The running number keeps the filter above the measures: pushed below, each of its mentions of a
+    # measure would become a copy of that measure's expression.
+    return measure(whole, ["__row", F.monotonically_increasing_id().alias("__n")]).where(verdict(rules)[1] & (F.col("__n") >= 0)).select("__row.*")
 
 
 ORACLE = r"""
