@@ -68,7 +68,25 @@ def portions(bounds: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         at = to
 
 
-def _span_words(data: np.ndarray, cuts: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+
+def _part_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One mark behind a letter or digit becomes a word of its own."""
+    last, one, two = data[ends - 1], data[np.maximum(ends - 2, 0)], data[np.maximum(ends - 3, 0)]
+    size = ends - starts
+    latin = (two == 0xC3) & (one >= 0x80) & (one != 0x97) & (one != 0xB7) & (size > 2)
+    apart = np.flatnonzero(_MARK[last] & (size > 1) & (_ALNUM[one] | latin))
+    at = ends[apart] - 1
+    ends = ends.copy()
+    ends[apart] -= 1
+    return np.insert(starts, apart + 1, at), np.insert(ends, apart + 1, at + 1)
+
+
+def _span_words(data: np.ndarray, cuts: np.ndarray, ends_word: np.ndarray, marks: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of ``data``; ``cuts`` are where rows begin."""
     inside = ~ends_word[data]
     before = np.empty_like(inside)
@@ -82,6 +100,8 @@ def _span_words(data: np.ndarray, cuts: np.ndarray, ends_word: np.ndarray) -> tu
     after[:-1] = inside[1:]
     after[cuts - 1] = False
     ends = np.flatnonzero(inside & ~after) + 1
+    if marks:
+        starts, ends = _part_marks(data, starts, ends)
     up, down = _powers(len(data) + 1)
     total = np.empty(len(data) + 1, U64)
     total[0] = 0
@@ -92,9 +112,10 @@ def _span_words(data: np.ndarray, cuts: np.ndarray, ends_word: np.ndarray) -> tu
 
 class Words:
     """The words of some rows: byte ``starts`` and ``ends`` in ``data``, ``hashes``, and ``first``,
-    the index of each row's first word (one more entry than rows)."""
+    the index of each row's first word (one more entry than rows). With ``marks``, a mark that ends a word
+    is a word of its own."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, fold: np.ndarray | None = LOWER, ends_word: np.ndarray = SPACE):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, fold: np.ndarray | None = LOWER, ends_word: np.ndarray = SPACE, marks: bool = False):
         lo, hi = int(bounds[0]), int(bounds[-1])
         data = data[lo:hi]
         self.data = fold[data] if fold is not None else data
@@ -110,7 +131,7 @@ class Words:
                     rest = np.flatnonzero(ends_word[self.data[to:]])
                     later = self.bounds[self.bounds > at]
                     to = min(to + int(rest[0]) + 1 if len(rest) else len(self.data), int(later[0]) if len(later) else len(self.data))
-            s, e, h = _span_words(self.data[at:to], self.bounds - at, ends_word)
+            s, e, h = _span_words(self.data[at:to], self.bounds - at, ends_word, marks)
             parts.append((s + at, e + at, h))
             at = to
         self.starts, self.ends, self.hashes = (np.concatenate(x) for x in zip(*parts, strict=True))

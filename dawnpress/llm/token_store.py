@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,14 @@ from dawnpress.plans.lineage import table_path
 
 WINDOW, MEAN, LEAST, MOST = 16, 512, 64, 4096
 DIGEST = 20
-#: Words and digests that a task remembers; more are looked up or sent again.
-REMEMBER = 200_000
+#: Digests that a task and words that a worker remember; more are sent or looked up again.
+REMEMBER, CACHE = 200_000, 1_500_000
 
 
 class WordEncoder:
-    """Ids of whole texts through a cache of words. The tokenizer drops white space and splits at it, so
-    the ids of a text are those of its words, one after the other."""
+    """Ids of whole texts through a cache of words. The tokenizer drops white space and splits at it and
+    between letters and marks, so the ids of a text are those of its parts, one after the other. A
+    worker keeps its encoder over all its tasks; the cache holds ``CACHE`` parts at most."""
 
     def __init__(self, path: str):
         import os
@@ -55,39 +57,49 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.begin, self.length = np.zeros(REMEMBER * 2, np.int64), np.zeros(REMEMBER * 2, np.int64)
-        self.ids, self.used = np.zeros(1 << 20, np.int32), 0
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        for h, e in zip(hashes, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            ids, k = e.ids, len(self.place)
-            if k == len(self.begin):
-                self.begin, self.length = (np.append(x, np.zeros_like(x)) for x in (self.begin, self.length))
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.append(self.ids, np.zeros(max(len(self.ids), len(ids)), np.int32))
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.place[h], self.begin[k], self.length[k] = k, self.used, len(ids)
-            self.used += len(ids)
+        self.known, self.begin, self.length = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        length = np.fromiter(map(len, got), np.int32, len(got))
+        ids = np.fromiter(chain.from_iterable(got), np.int32, int(length.sum()))
+        begin = len(self.ids) + np.cumsum(length) - length
+        self.ids = np.concatenate([self.ids, ids])
+        at = np.searchsorted(self.known, hashes)  # both are sorted
+        self.known, self.begin, self.length = (np.insert(x, at, y) for x, y in ((self.known, hashes), (self.begin, begin), (self.length, length)))
 
     def encode(self, words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a chunk of rows, and where each row begins."""
-        if len(self.place) > REMEMBER:
+        if len(self.known) > CACHE:
             self._clear()
-        known, at, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        keys = known.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.place]
-        if new:
-            s, e = words.starts[at[new]].tolist(), words.ends[at[new]].tolist()
+        unique, at, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, unique)
+        have = np.zeros(len(unique), bool)
+        inside = place < len(self.known)
+        have[inside] = self.known[place[inside]] == unique[inside]
+        new = np.flatnonzero(~have)
+        if len(new):
             raw = words.data.tobytes()
-            self._learn([keys[i] for i in new], [raw[a:b].decode("utf-8", "replace") for a, b in zip(s, e, strict=True)])
-        place = np.fromiter((self.place[h] for h in keys), np.int64, len(keys))[inverse]
-        begin, length = self.begin[place], self.length[place]
-        ends = np.cumsum(length)
-        ids = self.ids[np.repeat(begin - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+            spans = zip(words.starts[at[new]].tolist(), words.ends[at[new]].tolist(), strict=True)
+            self._learn(unique[new], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
+            place = np.searchsorted(self.known, unique)
+        begin, length = self.begin[place][inverse], self.length[place][inverse]
+        ends = np.cumsum(length, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(begin - ends + length, length) + np.arange(total)]
         return ids, np.append(0, ends)[words.first]
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_for(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 def cut_points(ids: np.ndarray) -> list[int]:
     """Ends of the chunks of one stream."""
     n = len(ids)
@@ -125,11 +137,11 @@ _OBJECT = "kind int, key binary, doc_id long, n_tokens long, root binary, payloa
 
 def _objects(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, sent = WordEncoder(tokenizer), set()
+        encoder, sent = encoder_for(tokenizer), set()
         wide = encoder.width if end_id < 1 << 16 else np.dtype("<u4")
         for batch in batches:
             doc = batch.column(0).to_pylist()
-            for first, to, words in word_chunks(batch.column(1), fold=None):
+            for first, to, words in word_chunks(batch.column(1), fold=None, marks=True):
                 ids, bounds = encoder.encode(words)
                 kind, key, did, count, roots, payload = [], [], [], [], [], []
                 for row in range(first, to):
@@ -236,7 +248,7 @@ def combine_crcs(crc: np.ndarray, n_bytes: np.ndarray, first: np.ndarray) -> np.
 
 
 def _width(spark: SparkSession, tokenizer: str, end_id: int) -> int:
-    return 2 if WordEncoder(tokenizer).width.itemsize == 2 and end_id < 1 << 16 else 4
+    return 2 if encoder_for(tokenizer).width.itemsize == 2 and end_id < 1 << 16 else 4
 
 
 def read_index(spark: SparkSession, path: str, width: int) -> DataFrame:

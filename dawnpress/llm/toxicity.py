@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from dawnpress.llm.textscan import MULTIPLIERS, U64
 from dawnpress.plans.lineage import cut
 
-SAMPLE = 20_000
+SAMPLE = 40_000
 SHORTEST, LONGEST = 3, 7
 BITS, FEATURES, LEAST_CHI2 = 20, 4096, 20.0
 #: Code points of a text that are looked at together; parts overlap, so no n-gram is lost.
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5)
         yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([x.tobytes() for x in total], pa.binary())], ["y", "counts"])
 
     counts = np.zeros((2, 1 << BITS))
-    for r in rows.repartition(max(2, -(-sample // 10_000))).mapInArrow(count, "y int, counts binary").toLocalIterator():
+    for r in rows.repartition(max(2, -(-sample // 5_000))).mapInArrow(count, "y int, counts binary").toLocalIterator():
         counts[r["y"]] += np.frombuffer(r["counts"], np.uint16)  # one table a task, of fixed size
     chi2 = _chi2(counts[1], counts[0], n_pos, n_neg)
     best = np.argsort(-chi2, kind="stable")[:FEATURES]
