@@ -7,10 +7,11 @@ lines are judged on the input, not on what is left.
 
 1. Lines are reduced to two 64-bit hashes; equal lines combine to the earliest before anything else.
 2. One edit leaves one half of a line alone, so near copies share the hash of a half (by the shorter
-   line's length). Lines without a shared half have no near copy and go no further.
-3. The others emit, per shared half, a key for each word deleted in the other half: with its place, for
-   replacements; without it, beside the whole line's key, for insertions. Equal keys join; per key only
-   the earliest line is gathered (``min`` combines before the shuffle), so no key emits pairs.
+   line's length). Lines without a shared half have no near copy and go no further. The same holds for
+   the other half, and so on: after ``LEVELS`` halvings a small region is left that may differ.
+3. Lines that still share all but their regions emit a key for each word deleted in the region: with its
+   place, for replacements; without it, beside the whole region's key, for insertions. Equal keys join;
+   per key only the earliest line is gathered (``min`` combines before the shuffle): no key emits pairs.
 4. The two lines' words are compared and the earliest line is kept.
 
 Defined cases: null text and lines without words are no lines; repeated rows are at the same place and
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 
 from dawnpress.plans.lineage import cut
 
+#: Halvings of a line before its variants are written out.
+LEVELS = 5
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -33,45 +37,57 @@ def _lines(docs: DataFrame) -> DataFrame:
     return lines.where(F.col("line").rlike(_WORD)).select("doc_id", "line_no", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w"))
 
 
-def _half_keys(w: Column, least: int) -> Column:
-    """Hashes of the halves, by the length of the shorter line of a pair: own, and own less one."""
+def _states(w: Column, least: int) -> Column:
+    """What a line could share with a near copy, before any of it is known: by the shorter line's length,
+    its own or one less, the region of words that may differ and how long the shorter line's is."""
+    of = lambda n: F.struct(F.xxhash64(F.lit("n"), n).alias("key"), n.alias("n"), F.lit(0).alias("start"), F.size(w).alias("end"), n.alias("m"))
+    return F.filter(F.array(of(F.size(w)), of(F.size(w) - 1)), lambda s: s["n"] >= least)
+
 
-    def of(n: Column) -> Column:
-        h = F.floor(n / 2).cast("int")
-        head, tail = F.concat_ws(" ", F.slice(w, F.lit(1), h)), F.concat_ws(" ", F.slice(w, F.size(w) - (n - h) + 1, n - h))
-        keys = F.array(F.struct(F.xxhash64(F.lit("p"), n, head).alias("key"), n.alias("n"), F.lit(True).alias("head")), F.struct(F.xxhash64(F.lit("s"), n, tail).alias("key"), n.alias("n"), F.lit(False).alias("head")))
-        return F.when(n >= least, keys).otherwise(F.filter(keys, lambda x: F.lit(False)))
+def _halve(w: Column, states: Column) -> Column:
+    """One edit leaves one half of the region alone: its hash joins the key, the other half is the region."""
 
-    return F.concat(of(F.size(w)), of(F.size(w) - 1))
+    def halves(s: Column) -> Column:
+        q = F.floor(s["m"] / 2).cast("int")
+        r = s["m"] - q
+        head = F.xxhash64(F.lit("p"), s["key"], q, F.array_join(F.slice(w, s["start"] + 1, q), " "))
+        tail = F.xxhash64(F.lit("s"), s["key"], q, F.array_join(F.slice(w, s["end"] - r + 1, r), " "))
+        make = lambda key, start, end, m: F.struct(key.alias("key"), s["n"].alias("n"), start.alias("start"), end.alias("end"), m.alias("m"))
+        return F.array(make(head, s["start"] + q, s["end"], r), make(tail, s["start"], s["end"] - r, q))
+
+    return F.flatten(F.transform(states, halves))
 
 
 def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
     """``doc_id, line_no, first_doc_id, first_line_no`` for each removed line; the last two name the
     earliest line that it is a copy or near copy of."""
     whole = F.concat_ws(" ", "w")
-    hashed = _lines(docs).select("doc_id", "line_no", F.xxhash64(whole).alias("e1"), F.xxhash64(F.lit(1), whole).alias("e2"), _half_keys(F.col("w"), least).alias("keys"))
+    hashed = _lines(docs).select("doc_id", "line_no", F.xxhash64(whole).alias("e1"), F.xxhash64(F.lit(1), whole).alias("e2"), F.transform(_halve(F.col("w"), _states(F.col("w"), least)), lambda s: s["key"]).alias("keys"))
     place = F.struct("doc_id", "line_no")
     lines = cut(hashed.select("e1", "e2", place.alias("place"), "keys"), "lines")
     firsts = cut(lines.groupBy("e1", "e2").agg(F.min("place").alias("place"), F.first("keys").alias("keys")), "firsts")
 
-    halves = firsts.select("e1", "e2", "place", F.explode("keys").alias("k")).select("e1", "e2", "place", "k.*")
-    shared = halves.groupBy("key").agg(F.min("e1").alias("a"), F.max("e1").alias("b")).where("a <> b").select("key")
-    open_lines = halves.join(shared, "key").groupBy("e1", "e2", "place").agg(F.collect_set(F.struct("key", "n", "head")).alias("halves"))
+    def shared(rows: DataFrame) -> DataFrame:
+        """Rows whose key another line has, too."""
+        return rows.join(rows.groupBy("key").agg(F.min("e1").alias("a"), F.max("e1").alias("b")).where("a <> b").select("key"), "key")
+
     texts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    first = shared(firsts.select("e1", "e2", "place", F.explode("keys").alias("key"))).select("e1", "e2", "place").distinct()
     opened = cut(
-        open_lines.select("e1", "e2", "place", F.col("place.doc_id").alias("doc_id"), F.col("place.line_no").alias("line_no"), "halves").join(texts, ["doc_id", "line_no"])
-        .select("e1", "e2", "place", "halves", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w")).where(F.xxhash64(whole) == F.col("e1")), "open"
+        first.select("e1", "e2", "place", F.col("place.doc_id").alias("doc_id"), F.col("place.line_no").alias("line_no")).join(texts, ["doc_id", "line_no"])
+        .select("e1", "e2", "place", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w")).where(F.xxhash64(whole) == F.col("e1")), "open"
     )
 
-    one = opened.select("e1", "e2", "place", "w", F.explode("halves").alias("h"))
-    n, size = F.col("h.n"), F.size("w")
-    half = F.floor(n / 2).cast("int")
-    # places that may differ: behind the head, or before the tail
-    low, high = F.when(F.col("h.head"), half).otherwise(F.lit(0)), F.when(F.col("h.head"), size - 1).otherwise(size - (n - half) - 1)
-    less = lambda i: F.concat_ws(" ", F.slice("w", F.lit(1), i), F.slice("w", i + 2, F.greatest(size - i - 1, F.lit(0))))
-    spots = F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    variants = F.when(size == n, F.concat(F.transform(spots, lambda i: F.xxhash64(F.lit("r"), "h.key", i, less(i))), F.array(F.xxhash64(F.lit("i"), "h.key", whole)))).otherwise(F.transform(spots, lambda i: F.xxhash64(F.lit("i"), "h.key", less(i))))
-    keyed = one.select("e1", "e2", "place", F.explode(F.array_distinct(variants)).alias("key"))
+    states = _states(F.col("w"), least)
+    for _ in range(LEVELS):
+        states = _halve(F.col("w"), states)
+    close = cut(shared(opened.select("e1", "e2", F.explode(states).alias("s")).select("e1", "e2", "s.*")).groupBy("e1", "e2").agg(F.collect_set(F.struct("key", "n", "start", "end")).alias("states")), "close")
+    one = opened.join(close, ["e1", "e2"]).select("e1", "e2", "place", F.size("w").alias("size"), F.explode("states").alias("s"), "w").select("e1", "e2", "place", "size", F.col("s.key").alias("state"), "s.n", F.slice("w", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("r"))
+    less = lambda i: F.concat_ws(" ", F.slice("r", F.lit(1), i), F.slice("r", i + 2, F.greatest(F.size("r") - i - 1, F.lit(0))))
+    spots = F.when(F.size("r") > 0, F.sequence(F.lit(0), F.size("r") - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.concat(F.transform(spots, lambda i: F.xxhash64(F.lit("r"), "state", i, less(i))), F.array(F.xxhash64(F.lit("i"), "state", F.concat_ws(" ", "r"))))
+    variants = F.when(F.col("size") == F.col("n"), own).otherwise(F.transform(spots, lambda i: F.xxhash64(F.lit("i"), "state", less(i))))
+    keyed = cut(one.select("e1", "e2", "place", F.explode(F.array_distinct(variants)).alias("key")), "variants")
     met = keyed.groupBy("key").agg(F.min(F.struct("place", "e1", "e2")).alias("first"), F.max("e1").alias("most"), F.min("e1").alias("least")).where("most <> least").select("key", "first")
     near = cut(keyed.join(met, "key").where("first.place < place").groupBy("e1", "e2").agg(F.min("first").alias("first")), "near")
 
