@@ -76,7 +76,7 @@ def write_pages(made: DataFrame, path: str) -> None:
 
 def edition_dates(names: DataFrame) -> DataFrame:
     """Dates of archive file names (``name``); names that are no date are skipped."""
-    return names.select(F.try_to_date(F.regexp_extract("name", r"(?:^|/)(\d{4}-\d{2}-\d{2})\.html$", 1), F.lit("yyyy-MM-dd")).alias("day")).where("day is not null").distinct()
+    return names.select(F.try_to_date(F.regexp_extract("name", r"(?:^|/)(\d{4}-\d{2}-\d{2})\.html$", 1), "yyyy-MM-dd").alias("day")).where("day is not null").distinct()
 
 
 def calendar_grid(days: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ class Table:
     def append_ignore(self, df: DataFrame, key: str, order: Column) -> int:
         """Adds what is new; returns how many rows that was."""
         before = self._current()
-        self._write(append_ignore(self.read(), align(df, self.schema), key, order), before)
+        self._write(append_ignore(self.read(), df, key, order), before)
         return self.spark.read.parquet(self._current()[-1]).count()
 
     def upsert(self, df: DataFrame, key: str, at: str) -> None:
