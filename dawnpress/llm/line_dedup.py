@@ -29,12 +29,30 @@ from dawnpress.plans.lineage import cut
 #: Halvings of a line before its variants are written out.
 LEVELS = 5
 
-_WORD = r"[^\x20\x09-\x0D]+"
+#: White space inside a text that is not one space between words (lines stay apart).
+_GAP = r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").rlike(_WORD)).select("doc_id", "line_no", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w"))
+    """``doc_id, line_no, line``: lines that have words, lower-cased, one space between words. Texts are
+    cleaned whole, once, and no line becomes an array of words here."""
+    clean = F.regexp_replace(F.lower("text"), _GAP, " ")
+    return docs.select("doc_id", F.posexplode(F.split(clean, "\n")).alias("line_no", "line")).select("doc_id", "line_no", F.trim("line").alias("line")).where("line <> ''")
+
+
+def _half_keys(least: int) -> Column:
+    """The keys of a line's halves, by its own length and by one word less: what :func:`_halve` gives
+    for the first states, by cutting the line at its n-th space."""
+    words = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "))) + 1
+
+    def keys(n: Column) -> list[Column]:
+        q = F.floor(n / 2).cast("int")
+        key = F.xxhash64(F.lit("n"), n)
+        cut_at = lambda k: F.call_function("substring_index", F.col("line"), F.lit(" "), k)
+        both = F.xxhash64(F.lit("p"), key, q, cut_at(q)), F.xxhash64(F.lit("s"), key, q, cut_at(q - n))
+        return [F.when(n >= least, x) for x in both]
+
+    return F.array_compact(F.array(*keys(words), *keys(words - 1)))
 
 
 def _states(w: Column, least: int) -> Column:
@@ -61,21 +79,22 @@ def _halve(w: Column, states: Column) -> Column:
 def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
     """``doc_id, line_no, first_doc_id, first_line_no`` for each removed line; the last two name the
     earliest line that it is a copy or near copy of."""
-    whole = F.concat_ws(" ", "w")
-    hashed = _lines(docs).select("doc_id", "line_no", F.xxhash64(whole).alias("e1"), F.xxhash64(F.lit(1), whole).alias("e2"), F.transform(_halve(F.col("w"), _states(F.col("w"), least)), lambda s: s["key"]).alias("keys"))
     place = F.struct("doc_id", "line_no")
-    lines = cut(hashed.select("e1", "e2", place.alias("place"), "keys"), "lines")
+    hashed = _lines(docs).select(F.xxhash64("line").alias("e1"), F.xxhash64(F.lit(1), "line").alias("e2"), place.alias("place"), _half_keys(least).alias("keys"))
+    lines = cut(hashed, "lines")
     firsts = cut(lines.groupBy("e1", "e2").agg(F.min("place").alias("place"), F.first("keys").alias("keys")), "firsts")
 
     def shared(rows: DataFrame) -> DataFrame:
         """Rows whose key another line has, too."""
         return rows.join(rows.groupBy("key").agg(F.min("e1").alias("a"), F.max("e1").alias("b")).where("a <> b").select("key"), "key")
 
-    texts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    first = shared(firsts.select("e1", "e2", "place", F.explode("keys").alias("key"))).select("e1", "e2", "place").distinct()
+    # Only two numbers a key are shuffled; the lines of the documents that hold a hit are fetched again,
+    # documents and hits meeting by doc_id alone.
+    hits = shared(firsts.select("e1", F.explode("keys").alias("key"))).select("e1").distinct()
+    first = cut(firsts.join(hits, "e1", "left_semi").select("e1", "e2", "place", "place.doc_id", "place.line_no"), "hits")
+    held = docs.select("doc_id", "text").join(first.select("doc_id").distinct(), "doc_id", "left_semi")
     opened = cut(
-        first.select("e1", "e2", "place", F.col("place.doc_id").alias("doc_id"), F.col("place.line_no").alias("line_no")).join(texts, ["doc_id", "line_no"])
-        .select("e1", "e2", "place", F.regexp_extract_all(F.lower("line"), F.lit(_WORD), F.lit(0)).alias("w")).where(F.xxhash64(whole) == F.col("e1")), "open"
+        first.join(_lines(held), ["doc_id", "line_no"]).where(F.xxhash64("line") == F.col("e1")).select("e1", "e2", "place", F.split("line", " ").alias("w")), "open"
     )
 
     states = _states(F.col("w"), least)
@@ -93,7 +112,7 @@ def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
 
     side = lambda p: opened.select(F.col("e1").alias(f"{p}1"), F.col("e2").alias(f"{p}2"), F.col("w").alias(f"{p}w"))
     pairs = near.select("e1", "e2", "first").join(side("x"), (F.col("e1") == F.col("x1")) & (F.col("e2") == F.col("x2"))).join(side("y"), (F.col("first.e1") == F.col("y1")) & (F.col("first.e2") == F.col("y2")))
-    proved = pairs.where(within_one("xw", "yw")).select("e1", "e2", F.col("first.place").alias("near"))
+    proved = pairs.where(within_one("xw", "yw")).groupBy("e1", "e2").agg(F.min("first.place").alias("near"))  # once, though rows repeat
 
     keep = firsts.select("e1", "e2", F.col("place").alias("first")).join(proved, ["e1", "e2"], "left").select("e1", "e2", F.coalesce(F.least("near", "first"), "first").alias("first"))
     return lines.select("e1", "e2", "place").join(keep, ["e1", "e2"]).where("first < place").select("place.doc_id", "place.line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
