@@ -40,19 +40,21 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(F.split(clean, "\n")).alias("line_no", "line")).select("doc_id", "line_no", F.trim("line").alias("line")).where("line <> ''")
 
 
-def _half_keys(least: int) -> Column:
-    """The keys of a line's halves, by its own length and by one word less: what :func:`_halve` gives
-    for the first states, by cutting the line at its n-th space."""
-    words = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "))) + 1
-
-    def keys(n: Column) -> list[Column]:
-        q = F.floor(n / 2).cast("int")
-        key = F.xxhash64(F.lit("n"), n)
-        cut_at = lambda k: F.call_function("substring_index", F.col("line"), F.lit(" "), k)
-        both = F.xxhash64(F.lit("p"), key, q, cut_at(q)), F.xxhash64(F.lit("s"), key, q, cut_at(q - n))
-        return [F.when(n >= least, x) for x in both]
-
-    return F.array_compact(F.array(*keys(words), *keys(words - 1)))
+def _half_keys(lines: DataFrame, least: int) -> DataFrame:
+    """``e1, e2, place, keys``: two hashes of each line and the keys of its halves, by its own length and
+    by one word less (as :func:`_halve` splits the first states). Of both lengths, the even one's halves are
+    the other's but for one word at the middle: the line is cut once."""
+    n, q, blob = F.col("n"), F.col("q"), lambda c: F.col(c).cast("binary")
+    cutter = lambda c, k: F.call_function("substring_index", F.col(c), F.lit(" "), k)
+    size = F.octet_length
+    sized = lines.select("doc_id", "line_no", "line", (size("line") - size(F.replace("line", F.lit(" "))) + 1).alias("n"))
+    headed = sized.withColumn("q", F.floor(n / 2).cast("int")).withColumn("head", cutter("line", q))
+    halved = headed.withColumn("tail", F.substring(blob("line"), size("head") + F.when(q > 0, 2).otherwise(1), size("line")).cast("string"))
+    less_head = F.when(n % 2 == 0, F.substring(blob("head"), F.lit(1), F.greatest(size("head") - size(cutter("head", F.lit(-1))) - 1, F.lit(0)))).otherwise(blob("head"))
+    less_tail = F.when(n % 2 == 1, F.substring(blob("tail"), size(cutter("tail", F.lit(1))) + 2, size("tail"))).otherwise(blob("tail"))
+    key = lambda side, m, part: F.when(m >= least, F.xxhash64(F.lit(side), m, part))
+    keys = F.array_compact(F.array(key("p", n, blob("head")), key("s", n, blob("tail")), key("p", n - 1, less_head), key("s", n - 1, less_tail)))
+    return halved.select(F.xxhash64("line").alias("e1"), F.xxhash64(F.lit(1), "line").alias("e2"), F.struct("doc_id", "line_no").alias("place"), keys.alias("keys"))
 
 
 def _states(w: Column, least: int) -> Column:
@@ -79,9 +81,7 @@ def _halve(w: Column, states: Column) -> Column:
 def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
     """``doc_id, line_no, first_doc_id, first_line_no`` for each removed line; the last two name the
     earliest line that it is a copy or near copy of."""
-    place = F.struct("doc_id", "line_no")
-    hashed = _lines(docs).select(F.xxhash64("line").alias("e1"), F.xxhash64(F.lit(1), "line").alias("e2"), place.alias("place"), _half_keys(least).alias("keys"))
-    lines = cut(hashed, "lines")
+    lines = cut(_half_keys(_lines(docs), least), "lines")
     firsts = cut(lines.groupBy("e1", "e2").agg(F.min("place").alias("place"), F.first("keys").alias("keys")), "firsts")
 
     def shared(rows: DataFrame) -> DataFrame:
@@ -89,12 +89,12 @@ def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
         return rows.join(rows.groupBy("key").agg(F.min("e1").alias("a"), F.max("e1").alias("b")).where("a <> b").select("key"), "key")
 
     # Only two numbers a key are shuffled; the lines of the documents that hold a hit are fetched again,
-    # documents and hits meeting by doc_id alone.
+    # documents and hits meeting by doc_id alone. Hits grow with the corpus: no plan broadcasts them.
     hits = shared(firsts.select("e1", F.explode("keys").alias("key"))).select("e1").distinct()
     first = cut(firsts.join(hits, "e1", "left_semi").select("e1", "e2", "place", "place.doc_id", "place.line_no"), "hits")
-    held = docs.select("doc_id", "text").join(first.select("doc_id").distinct(), "doc_id", "left_semi")
+    held = docs.select("doc_id", "text").join(first.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     opened = cut(
-        first.join(_lines(held), ["doc_id", "line_no"]).where(F.xxhash64("line") == F.col("e1")).select("e1", "e2", "place", F.split("line", " ").alias("w")), "open"
+        first.hint("merge").join(_lines(held), ["doc_id", "line_no"]).where(F.xxhash64("line") == F.col("e1")).select("e1", "e2", "place", F.split("line", " ").alias("w")), "open"
     )
 
     states = _states(F.col("w"), least)
