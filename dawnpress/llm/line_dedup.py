@@ -12,6 +12,9 @@ lines are judged on the input, not on what is left.
 3. Lines that still share all but their regions emit a key for each word deleted in the region: with its
    place, for replacements; without it, beside the whole region's key, for insertions. Equal keys join;
    per key only the earliest line is gathered (``min`` combines before the shuffle): no key emits pairs.
+   Keys of insertions gather the earliest shorter and the earliest longer line apart, and only a shorter
+   and a longer line meet: two longer lines that each lose a word are two edits apart. So all that meet
+   are near copies (up to equal hashes), and the earliest of them over all keys is the one to compare.
 4. The two lines' words are compared and the earliest line is kept.
 
 Defined cases: null text and lines without words are no lines; repeated rows are at the same place and
@@ -105,10 +108,14 @@ def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
     less = lambda i: F.concat_ws(" ", F.slice("r", F.lit(1), i), F.slice("r", i + 2, F.greatest(F.size("r") - i - 1, F.lit(0))))
     spots = F.when(F.size("r") > 0, F.sequence(F.lit(0), F.size("r") - 1)).otherwise(F.array().cast("array<int>"))
     own = F.concat(F.transform(spots, lambda i: F.xxhash64(F.lit("r"), "state", i, less(i))), F.array(F.xxhash64(F.lit("i"), "state", F.concat_ws(" ", "r"))))
-    variants = F.when(F.col("size") == F.col("n"), own).otherwise(F.transform(spots, lambda i: F.xxhash64(F.lit("i"), "state", less(i))))
-    keyed = cut(one.select("e1", "e2", "place", F.explode(F.array_distinct(variants)).alias("key")), "variants")
-    met = keyed.groupBy("key").agg(F.min(F.struct("place", "e1", "e2")).alias("first"), F.max("e1").alias("most"), F.min("e1").alias("least")).where("most <> least").select("key", "first")
-    near = cut(keyed.join(met, "key").where("first.place < place").groupBy("e1", "e2").agg(F.min("first").alias("first")), "near")
+    own = F.transform(own, lambda key, i: F.struct(key.alias("key"), F.when(i < F.size("r"), "r").otherwise("s").alias("role")))
+    longer = F.transform(spots, lambda i: F.struct(F.xxhash64(F.lit("i"), "state", less(i)).alias("key"), F.lit("l").alias("role")))
+    variants = F.when(F.col("size") == F.col("n"), own).otherwise(longer)
+    keyed = cut(one.select("e1", "e2", "place", F.explode(F.array_distinct(variants)).alias("v")).select("e1", "e2", "place", "v.key", "v.role"), "variants")
+    line = F.struct("place", "e1", "e2")
+    met = keyed.groupBy("key").agg(F.min(F.when(F.col("role") != "l", line)).alias("even"), F.min(F.when(F.col("role") == "l", line)).alias("longer"), F.max("e1").alias("most"), F.min("e1").alias("least")).where("most <> least").select("key", "even", "longer")
+    facing = keyed.join(met, "key").select("e1", "e2", "place", F.when(F.col("role") == "s", F.col("longer")).otherwise(F.col("even")).alias("first"))
+    near = cut(facing.where("first.place < place").groupBy("e1", "e2").agg(F.min("first").alias("first")), "near")
 
     side = lambda p: opened.select(F.col("e1").alias(f"{p}1"), F.col("e2").alias(f"{p}2"), F.col("w").alias(f"{p}w"))
     pairs = near.select("e1", "e2", "first").join(side("x"), (F.col("e1") == F.col("x1")) & (F.col("e2") == F.col("x2"))).join(side("y"), (F.col("first.e1") == F.col("y1")) & (F.col("first.e2") == F.col("y2")))

@@ -212,6 +212,14 @@ def test_line_dedup(spark, docs, odd, empty, tmp_path):
         assert line_dedup.drop_near_lines(df).columns == df.columns
 
 
+def test_line_dedup_earliest_true_copy(spark):
+    a, d, b = "a1 a2 a3 x a4 a5 a6 a7 a8", "a1 a2 a3 a4 z a5 a6 a7 a8", "a1 a2 a3 a4 y a5 a6 a7 a8"
+    base = "a1 a2 a3 a4 a5 a6 a7 a8"
+    for lines, want in (([a, d, b], {(3, 2)}), ([a, base, b], {(2, 1), (3, 2)}), ([base, a, b], {(2, 1), (3, 1)})):
+        rows = spark.createDataFrame([(i + 1, t) for i, t in enumerate(lines)], "doc_id long, text string")
+        assert {(r["doc_id"], r["first_doc_id"]) for r in line_dedup.near_lines(rows).collect()} == want
+
+
 def test_toxicity(spark, docs, odd, empty):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
