@@ -1,15 +1,17 @@
 """LM scoring by masked pseudo-likelihood with a small bidirectional window network, in numpy.
 
-Tokens are lower-cased words: the ``V - OOV`` most frequent words of the whole corpus have ids of their
-own, the others share ``OOV`` hashed ones. Each token is predicted from the ``SPAN`` tokens on either
-side: their embeddings, weighted by place, are summed and squashed; a two-level softmax (class, then
-word in class) gives normalised probabilities. A document's score is the sum of its tokens' conditional
-log-probabilities.
+Tokens are lower-cased words: all words that occur ``FREQUENT`` times in the corpus (the ``V - OOV`` most
+frequent at least) have ids of their own, so ids and classes grow with the corpus; the others share
+``OOV`` hashed ones. Each token is predicted from the ``SPAN`` tokens on either side: their embeddings,
+weighted by place, are summed and squashed; a two-level softmax (class, then word in class) gives
+normalised probabilities. A word without an id of its own has the probability of its hashed id times its
+share of that id's tokens in the whole corpus, so every word is predicted as itself. A document's score
+is the sum of its tokens' conditional log-probabilities.
 
 Word counts cover all documents (counted per batch, then per share of the hash space). Training covers
 all documents, too: each partition runs once over its tokens from common starting weights, and the
-weights are averaged by token count, so what is gathered is a fixed size per partition. Scoring is one
-pass without a shuffle.
+weights are averaged by token count. Scoring meets the counts by share of the hash space (a share holds
+one hashed id's words), as they are never gathered in one place; its sums go back by chunk of documents.
 
 Defined cases: a null or blank text has no token and the score 0, with a null mean; repeated rows are
 scored alike; an empty corpus scores nothing; other columns are not looked at.
@@ -17,31 +19,32 @@ scored alike; an empty corpus scores nothing; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dawnpress.llm.textscan import U64, word_chunks
+from dawnpress.plans.lineage import cut
 
 V, OOV, CLASSES, DIM, SPAN = 1024, 64, 32, 16, 3
-WIDE = V // CLASSES
-BATCH, RATE, SHARES = 8192, 0.1, 64
+BATCH, RATE = 8192, 0.1
 
+#: A word of so many tokens has an id of its own.
+FREQUENT = 1000
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Hashes of the ``V - OOV`` most frequent words, most frequent first."""
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``share, words, counts``: for each share of the hash space all its words, in order, and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, n = _sums([(w.hashes, np.ones(len(w.hashes), np.int64)) for _, _, w in word_chunks(batch.column(0))])
-            share = (h % U64(SHARES)).astype(np.int64)
-            order = np.argsort(share, kind="stable")
-            h, n, share = h[order], n[order], share[order]
-            cuts = np.searchsorted(share, np.arange(SHARES + 1))
-            rows = [(k, h[a:b].tobytes(), n[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            rows = [(k, h[at].tobytes(), n[at].tobytes()) for k, at in _by_share(h)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["share", "words", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,13 +54,36 @@ def vocabulary(docs: DataFrame) -> np.ndarray:
                 held.setdefault(k, []).append((np.frombuffer(w.as_buffer(), U64), np.frombuffer(c.as_buffer(), np.int64)))
                 if len(held[k]) > 16:
                     held[k] = [_sums(held[k])]
-        for parts in held.values():
+        for k, parts in held.items():
             h, n = _sums(parts)
-            top = np.lexsort((h, -n))[: V - OOV]
-            yield pa.RecordBatch.from_arrays([pa.array(h[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([h.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["share", "words", "counts"])
+
+    schema = "share int, words binary, counts binary"
+    return docs.select("text").mapInArrow(count, schema).repartition(OOV, "share").mapInArrow(add, schema)
+
+
+def vocabulary(counts: DataFrame) -> np.ndarray:
+    """Hashes of the words with ids of their own, most frequent first."""
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w, c in zip(batch.column(0), batch.column(1), strict=True):
+                h, n = np.frombuffer(w.as_buffer(), U64), np.frombuffer(c.as_buffer(), np.int64)
+                top = np.lexsort((h, -n))[: max(V - OOV, int((n >= FREQUENT).sum()))]
+                yield pa.RecordBatch.from_arrays([pa.array(h[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
+
+    top = counts.select("words", "counts").mapInArrow(often, "word long, n long").orderBy(F.desc("n"), "word")
+    first = top.limit(V - OOV).collect()
+    rows = first if len(first) < V - OOV or first[-1]["n"] < FREQUENT else top.where(F.col("n") >= FREQUENT).collect()
+    return np.array([r["word"] for r in rows], np.int64).view(U64)
+
 
-    counts = docs.select("text").mapInArrow(count, "share int, words binary, counts binary").repartition(SHARES, "share").mapInArrow(add, "word long, n long")
-    return np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(V - OOV).collect()], np.int64).view(U64)
+def _by_share(h: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Where the hashes of each share are, for shares that have any."""
+    share = (h % U64(OOV)).astype(np.uint8)
+    order = np.argsort(share, kind="stable")
+    cuts = np.searchsorted(share[order], np.arange(OOV + 1))
+    return [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
 
 
 def _sums(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,14 +94,15 @@ def _sums(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
 
 
 class Tokens:
-    """Word hash to id."""
+    """Word hash to id; the last ``OOV`` of ``size`` ids are the hashed ones."""
 
     def __init__(self, words: np.ndarray):
+        self.size = max(V, len(words) + OOV)
         self.order = np.argsort(words)
         self.words = words[self.order]
 
     def ids(self, h: np.ndarray) -> np.ndarray:
-        out = (V - OOV + (h % U64(OOV)).astype(np.int64)).astype(np.int64)
+        out = self.size - OOV + (h % U64(OOV)).astype(np.int64)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
             known = self.words[at] == h
@@ -87,7 +114,7 @@ class Tokens:
         n = np.diff(words.first)
         row = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(row)) + SPAN * (row + 1)
-        out = np.full(len(row) + SPAN * (len(n) + 1), V, np.int64)
+        out = np.full(len(row) + SPAN * (len(n) + 1), self.size, np.int64)
         out[place] = self.ids(words.hashes)
         return out, place, row
 
@@ -96,10 +123,13 @@ OFFSETS = [o for o in range(-SPAN, SPAN + 1) if o]
 
 
 class Network:
-    def __init__(self, seed: int = 3):
+    def __init__(self, seed: int = 3, size: int = V):
+        self.size, self.classes = size, max(CLASSES, math.ceil(math.sqrt(size)))
+        self.wide = -(-size // self.classes)
         r = np.random.Generator(np.random.PCG64(seed))
         f = lambda *s: r.normal(0, 0.1, s).astype(np.float32)
-        self.p = [f(V + 1, DIM), np.ones((len(OFFSETS), DIM), np.float32), f(DIM, CLASSES), np.zeros(CLASSES, np.float32), f(CLASSES, DIM, WIDE), np.zeros((CLASSES, WIDE), np.float32)]
+        self.p = [f(size + 1, DIM), np.ones((len(OFFSETS), DIM), np.float32), f(DIM, self.classes), np.zeros(self.classes, np.float32), f(self.classes, DIM, self.wide), np.zeros((self.classes, self.wide), np.float32)]
+        self.p[5].ravel()[size:] = -1e4  # no word
         self.g = None
 
     def _hidden(self, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -117,9 +147,9 @@ class Network:
         return z
 
     def _by_class(self, target: np.ndarray):
-        cls = target // WIDE
+        cls = target // self.wide
         order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
         return cls, [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
 
     def log_probs(self, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -133,7 +163,7 @@ class Network:
             p = self._softmax(h @ self.p[2] + self.p[3])[np.arange(len(at)), cls].astype(np.float64)
             for k, rows in groups:
                 q = self._softmax(h[rows] @ self.p[4][k] + self.p[5][k])
-                p[rows] *= q[np.arange(len(rows)), target[rows] % WIDE]
+                p[rows] *= q[np.arange(len(rows)), target[rows] % self.wide]
             out[a : a + len(at)] = np.log(np.maximum(p, 1e-30))
         return out
 
@@ -154,7 +184,7 @@ class Network:
             back = d @ self.p[2].T
             for k, rows in groups:
                 q = self._softmax(h[rows] @ self.p[4][k] + self.p[5][k])
-                q[np.arange(len(rows)), target[rows] % WIDE] -= 1
+                q[np.arange(len(rows)), target[rows] % self.wide] -= 1
                 q *= n
                 grads[4][k], grads[5][k] = h[rows].T @ q, q.sum(0)
                 back[rows] += q @ self.p[4][k].T
@@ -162,7 +192,7 @@ class Network:
             for j, e in enumerate(around):
                 grads[1][j] = (back * e).sum(0)
             words = np.concatenate([ids[at + o] for o in OFFSETS])
-            order = np.argsort(words.astype(np.uint16), kind="stable")
+            order = np.argsort(words.astype(np.min_scalar_type(self.size)), kind="stable")
             moved = np.concatenate([back * w for w in self.p[1]])[order]
             cuts = np.flatnonzero(np.append(True, np.diff(words[order]) != 0))
             grads[0] = np.zeros_like(self.p[0])
@@ -176,7 +206,8 @@ def train(docs: DataFrame, words: np.ndarray, seed: int = 3) -> Network:
     """Weights averaged over the partitions' passes over their tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, net, seen = Tokens(words), Network(seed), 0
+        tokens = Tokens(words)
+        net, seen = Network(seed, tokens.size), 0
         for batch in batches:
             for _, _, w in word_chunks(batch.column(0)):
                 ids, place, _ = tokens.padded(w)
@@ -196,7 +227,7 @@ def train(docs: DataFrame, words: np.ndarray, seed: int = 3) -> Network:
             yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["n", "weights"])
 
     schema = "n long, weights binary"
-    net = Network(seed)
+    net = Network(seed, Tokens(words).size)
     got = docs.select("text").mapInArrow(run, schema).repartition(8).mapInArrow(average, schema).collect()  # at most eight rows
     if got:
         got.sort(key=lambda r: r["n"])
@@ -208,20 +239,84 @@ def train(docs: DataFrame, words: np.ndarray, seed: int = 3) -> Network:
     return net
 
 
+#: Rows that meet by share: counts (kind 0), words without an id (1), then what is known of a chunk (2).
+_PARTS = "chunk long, share int, kind int, a binary, b binary, c binary"
+
+
+def _parts(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["chunk", "share", "kind", "a", "b", "c"])
+
+
+def _view(x: pa.Scalar, kind) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), kind)
+
+
 def score_lm(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, log_prob, mean_log_prob`` for each row of ``docs(doc_id, text)``."""
-    words = vocabulary(docs)
-    model = docs.sparkSession.sparkContext.broadcast((words, train(docs, words).p))  # of fixed size
+    counts = cut(word_counts(docs), "counts")
+    words = vocabulary(counts)
+    model = docs.sparkSession.sparkContext.broadcast((words, train(docs, words).p))  # words of FREQUENT tokens
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, net = Tokens(model.value[0]), Network()
+        tokens = Tokens(model.value[0])
+        net = Network(size=tokens.size)
         net.p = model.value[1]
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first, to, w in word_chunks(batch.column(1)):
                 ids, place, row = tokens.padded(w)
-                n = np.bincount(row, minlength=to - first)
+                n = np.bincount(row, minlength=to - first).astype(np.int64)
                 total = np.bincount(row, net.log_probs(ids, place), to - first).astype(np.float64)
-                mean = pa.array(np.divide(total, n, out=np.zeros_like(total), where=n > 0), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, to - first), pa.array(n.astype(np.int64)), pa.array(total), mean], ["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+                rare = np.flatnonzero(ids[place] >= tokens.size - OOV)
+                h, row = w.hashes[rare], row[rare].astype(np.int32)
+                known = batch.column(0).slice(first, to - first)
+                out = [(chunk, k, 1, h[at].tobytes(), row[at].tobytes(), None) for k, at in _by_share(h)]
+                out.append((chunk, chunk % OOV, 2, known.fill_null(0).to_numpy(zero_copy_only=False).tobytes(), known.is_null().to_numpy(zero_copy_only=False).tobytes(), n.tobytes() + total.tobytes()))
+                yield _parts(out)
+                chunk += 1
+
+    def share_of_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words to the sum of their log-shares for each row of the chunk; a share's counts come first."""
+        own, h, logs = np.sort(model.value[0]), None, None
+        for batch in batches:
+            out = []
+            for chunk, share, kind, a, b, c in zip(*(batch.column(k) if k > 2 else batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if kind == 0:
+                    h, n = _view(a, U64), _view(b, np.int64)
+                    logs = np.log(n / max(1, n[~np.isin(h, own)].sum()))
+                elif kind == 1:
+                    rows = _view(b, np.int32)
+                    there, at = np.unique(rows, return_inverse=True)
+                    out.append((chunk, share, 1, there.tobytes(), np.bincount(at, logs[np.searchsorted(h, _view(a, U64))]).tobytes(), None))
+                else:
+                    out.append((chunk, share, 2, a.as_py(), b.as_py(), c.as_py()))
+            yield _parts(out)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A chunk's sums to its rows; what is known of it comes first."""
+        at, held = None, None
+
+        def done() -> pa.RecordBatch:
+            ids, null, n, total = held
+            mean = pa.array(np.divide(total, n, out=np.zeros_like(total), where=n > 0), mask=n == 0)
+            return pa.RecordBatch.from_arrays([pa.array(ids, mask=null), pa.array(n), pa.array(total), mean], ["doc_id", "n_tokens", "log_prob", "mean_log_prob"])
+
+        for batch in batches:
+            for chunk, kind, a, b, c in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), *(batch.column(k) for k in (3, 4, 5)), strict=True):
+                if kind == 2:
+                    if held:
+                        yield done()
+                    ids, null = _view(a, np.int64), _view(b, bool)
+                    at, held = chunk, (ids, null, _view(c, np.int64)[: len(ids)], _view(c, np.float64)[len(ids) :].copy())
+                else:
+                    assert chunk == at
+                    held[3][_view(a, np.int32)] += _view(b, np.float64)
+        if held:
+            yield done()
+
+    known = counts.select(F.lit(-1).cast("long").alias("chunk"), "share", F.lit(0).alias("kind"), F.col("words").alias("a"), F.col("counts").alias("b"), F.lit(None).cast("binary").alias("c"))
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, _PARTS)
+    met = known.union(scored).repartition(OOV, "share").sortWithinPartitions("share", "kind").mapInArrow(share_of_id, _PARTS)
+    # sums are added in the order of shares, so that repeated rows and runs score alike
+    return met.repartition("chunk").sortWithinPartitions("chunk", F.desc("kind"), "share").mapInArrow(add, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")

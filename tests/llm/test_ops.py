@@ -249,6 +249,39 @@ def test_lm_scores(docs, odd, empty):
     assert lm_score.score_lm(empty).count() == 0
 
 
+def test_lm_scores_words_as_themselves(spark):
+    often = " ".join(f"w{i}" for i in range(lm_score.V - lm_score.OOV))
+    rare = [f"real{i}" for i in range(200)]
+    rows = [(i, often) for i in range(30)] + [(100 + i, " ".join(rare)) for i in range(5)] + [(200 + i, f"{often} {rare[i]}") for i in range(20)] + [(300 + i, f"{often} zq{i}xk") for i in range(20)] + [(None, often), (400, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in lm_score.score_lm(docs).collect()}
+    # a word that occurs once scores below one that occurs six times, by the logarithm of the counts
+    real, junk = (np.mean([got[k + i]["log_prob"] for i in range(20)]) for k in (200, 300))
+    assert abs((real - junk) - np.log(6)) < 1.0
+    assert len(got) == 30 + 5 + 40 + 2 and got[None]["n_tokens"] == lm_score.V - lm_score.OOV and got[400]["log_prob"] == 0
+    # over all words of the corpus the shares of a hashed id sum to one
+    counts = lm_score.word_counts(docs)
+    table = [(r["share"], np.frombuffer(r["words"], np.uint64), np.frombuffer(r["counts"], np.int64)) for r in counts.collect()]
+    assert sum(n.sum() for _, _, n in table) == sum(r["n_tokens"] for r in got.values())
+    assert all((h % np.uint64(lm_score.OOV) == k).all() for k, h, _ in table)
+
+
+def test_lm_vocabulary_grows(docs, monkeypatch):
+    counts = lm_score.word_counts(docs).cache()
+    n = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in counts.collect()])
+    monkeypatch.setattr(lm_score, "FREQUENT", 5)
+    words = lm_score.vocabulary(counts)
+    assert len(words) == (n >= 5).sum() > lm_score.V - lm_score.OOV
+    size = lm_score.Tokens(words).size
+    net = lm_score.Network(size=size)
+    ids = np.concatenate([[size] * 3, [1, 2, 3, 4, 5], [size] * 3])
+    total = 0.0
+    for w in range(size):
+        ids[5] = w
+        total += np.exp(net.log_probs(ids, np.array([5])))[0]
+    assert abs(total - 1) < 1e-4
+
+
 def test_secrets(spark, odd, empty, docs):
     key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
     rows = [(1, f'the token = "{key}" of it'), (2, f"commit {key} fixed"), (3, "https://a.com/report/summary/chapter/section12345.html"), (4, None), (5, f"x password: {key.upper()} " + "w " * 1000)]
