@@ -17,13 +17,15 @@ from dawnpress.sources import feeds, store
 CATEGORY = {"click": "makro", "view": "global", "purchase": "pasar", "signup": "politik", "error": "makro"}
 
 
-def articles(spark: SparkSession, d: str) -> DataFrame:
-    """Articles over the driver's tables, with their edition."""
+def articles(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    """Articles over the driver's tables, with their edition. ``whole``: the title is the whole first line;
+    queries with SQL take 120 characters of it, as their SQL does."""
+    line = F.split("text", "\n")[0]
     docs, ev = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/events.parquet")
     category = F.create_map(*(F.lit(x) for kv in CATEGORY.items() for x in kv))
     rows = docs.join(ev, docs["doc_id"] == ev["event_id"]).select(
         F.col("doc_id").alias("article_id"), F.concat(F.lit("https://"), "source", F.lit(".example/"), F.col("doc_id").cast("string")).alias("url"), F.col("source").alias("domain"),
-        F.substring(F.split("text", "\n")[0], 1, 120).alias("title"), F.substring("text", 1, 400).alias("summary"), F.col("ts").cast("timestamp_ntz").alias("published_at"),
+        (line if whole else F.substring(line, 1, 120)).alias("title"), F.substring("text", 1, 400).alias("summary"), F.col("ts").cast("timestamp_ntz").alias("published_at"),
         category[F.col("event_type")].alias("category"), F.when(F.col("source") == "src0", 2.0).otherwise(1.0).alias("weight"), F.lit(None).cast("string").alias("image"), "lang",
     )
     return edition.with_edition(rows)
@@ -159,7 +161,7 @@ def canonical_url(s, d):
 
 def page_summary_clean(s, d):
     p = s.read.parquet(f"{d}/pages.parquet")
-    return p.select("page_id", X.clean_html("html").alias("summary"), X.escape_html(F.substring("html", 1, 80)).alias("escaped"))
+    return p.select("page_id", X.clean_html("html").alias("summary"), X.escape_html("html").alias("escaped"))
 
 
 def edition_assign(s, d):
@@ -226,11 +228,11 @@ def edition_sections(s, d):
 
 
 def edition_compose(s, d):
-    return edition.compose(articles(s, d)).select("edition", "section", "rank", "event_id", "impact", "reason", "sentiment", "n_media", "title")
+    return edition.compose(articles(s, d, whole=True)).select("edition", "section", "rank", "event_id", "impact", "reason", "sentiment", "n_media", "title")
 
 
 def edition_pages(s, d):
-    a = articles(s, d)
+    a = articles(s, d, whole=True)
     return report.pages(edition.compose(a), edition.totals(a))
 
 
