@@ -46,3 +46,9 @@ def test_whole_titles_and_html(spark, duck):
     html = dict(duck.sql("select page_id, html from pages").fetchall())
     got = {r["page_id"]: unescape(r["escaped"]) for r in QUERIES["page_summary_clean"](spark, D).collect() if r["escaped"] is not None}
     assert got == {k: v for k, v in html.items() if v is not None} and any(len(v) > 80 for v in got.values())
+
+
+def test_calendar_page_of_all_events(spark, duck):
+    days = [str(r[0]) for r in duck.sql("select distinct cast(ts + interval 2 hour as date) + 1 from events where ts is not null").fetchall()]
+    html = QUERIES["calendar_page"](spark, D).first()["html"]
+    assert all(f'href="{day}.html"' in html for day in days)
