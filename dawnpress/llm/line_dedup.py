@@ -18,7 +18,8 @@ lines are judged on the input, not on what is left.
 4. The two lines' words are compared and the earliest line is kept.
 
 Defined cases: null text and lines without words are no lines; repeated rows are at the same place and
-do not remove each other; an empty table gives an empty result; lines may have any length; other
+do not remove each other; rows without a doc_id come before all others and are at one place, and
+:func:`drop_near_lines`, which cannot name them, leaves their texts as they are; an empty table gives an empty result; lines may have any length; other
 columns are not looked at.
 """
 
@@ -94,8 +95,10 @@ def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
     # Only two numbers a key are shuffled; the lines of the documents that hold a hit are fetched again,
     # documents and hits meeting by doc_id alone. Hits grow with the corpus: no plan broadcasts them.
     hits = shared(firsts.select("e1", F.explode("keys").alias("key"))).select("e1").distinct()
-    first = cut(firsts.join(hits, "e1", "left_semi").select("e1", "e2", "place", "place.doc_id", "place.line_no"), "hits")
-    held = docs.select("doc_id", "text").join(first.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+    # A missing doc_id meets as -1: what else has that number is told apart by the line's hash.
+    known = lambda c: F.coalesce(c, F.lit(-1)).alias("doc_id")
+    first = cut(firsts.join(hits, "e1", "left_semi").select("e1", "e2", "place", known("place.doc_id"), "place.line_no"), "hits")
+    held = docs.select(known("doc_id"), "text").join(first.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     opened = cut(
         first.hint("merge").join(_lines(held), ["doc_id", "line_no"]).where(F.xxhash64("line") == F.col("e1")).select("e1", "e2", "place", F.split("line", " ").alias("w")), "open"
     )

@@ -220,6 +220,15 @@ def test_line_dedup_earliest_true_copy(spark):
         assert {(r["doc_id"], r["first_doc_id"]) for r in line_dedup.near_lines(rows).collect()} == want
 
 
+def test_line_dedup_near_copy_of_a_row_without_id(spark):
+    t = "b1 b2 b3 b4 b5 b6 b7 b8 b9"
+    rows = spark.createDataFrame([(None, t), (5, t), (7, t.replace("b4", "zz")), (8, "another line that has no copy at all here")], "doc_id long, text string")
+    got = {(r["doc_id"], r["first_doc_id"]) for r in line_dedup.near_lines(rows).collect()}
+    assert got == {(5, None), (7, None)}
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_near_lines(rows).collect()}
+    assert kept[None] == t and kept[5] == kept[7] == "" and kept[8] != ""
+
+
 def test_toxicity(spark, docs, odd, empty):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
