@@ -13,7 +13,8 @@ set. It is read in blocks of ``block`` items, each sent to the scan whole; one s
 all documents, without a shuffle and without gathering the documents that share a passage.
 
 Defined cases: a null or blank document or item matches nothing; an item with fewer words than a seed
-is caught when the document holds it whole as a run of words; repeated rows are judged alike; an empty
+is caught when the document holds it whole as a run of words; repeated rows are judged alike; an item
+without item_id takes part in :func:`drop_leaks`, while :func:`leaks`, which names items, leaves it out; an empty
 benchmark or corpus gives an empty result; other columns are not looked at.
 """
 
@@ -154,7 +155,7 @@ def _pairs(words, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
 
 
 def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list[int], list[str]]]:
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null")
+    rows = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
     total = rows.count()
     n = max(1, -(-total // block))
     for k in range(n if total else 0):
@@ -165,6 +166,11 @@ def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list[int], list[
 def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, block: int = BLOCK) -> DataFrame:
     """``doc_id, item_id, n_marked, n_words, n_tiles, coverage`` for each document and item whose
     coverage is ``coverage`` or more."""
+    return _found(docs, benchmark.where("item_id is not null"), seed, coverage, block)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, block: int = BLOCK) -> DataFrame:
+    """As :func:`leaks`, with items that have no id."""
     schema = "doc_id long, item_id long, n_marked long, n_words long, n_tiles long, coverage double"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
@@ -190,5 +196,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: flo
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that cover a benchmark item, with the same columns. Rows without
     a ``doc_id`` cannot be named by a leak and stay."""
-    found = leaks(docs, benchmark, **how).where("doc_id is not null").select(F.col("doc_id").alias("__leak")).distinct()
+    found = _found(docs, benchmark, **how).where("doc_id is not null").select(F.col("doc_id").alias("__leak")).distinct()
     return docs.join(found, F.col("doc_id") == F.col("__leak"), "left_anti")

@@ -203,6 +203,13 @@ def test_tiles_and_leaks(spark, odd, empty):
     assert sorted(r["doc_id"] for r in decontam.drop_leaks(odd, bench).where("doc_id is not null").collect()) == [1, 2, 3, 9, 10, 11, 12, 14]
 
 
+def test_drop_leaks_of_items_without_id(spark):
+    docs = spark.createDataFrame([(1, BASE), (2, "nothing of the benchmark is in this text")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, BASE), (None, None)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontam.drop_leaks(docs, bench).collect()] == [2]
+    assert [r["doc_id"] for r in decontam.drop_leaks(docs, bench, block=1).collect()] == [2]
+
+
 def test_line_dedup(spark, docs, odd, empty, tmp_path):
     for name, df in (("a", docs), ("b", odd.where("doc_id is not null and doc_id not in (10, 11)")), ("c", empty)):
         df.select("doc_id", "text").write.parquet(str(tmp_path / name))
