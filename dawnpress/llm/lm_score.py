@@ -1,20 +1,24 @@
 """LM scoring by masked pseudo-likelihood with a small bidirectional window network, in numpy.
 
-Tokens are lower-cased words: all words that occur ``FREQUENT`` times in the corpus (the ``V - OOV`` most
-frequent at least) have ids of their own, so ids and classes grow with the corpus; the others share
-``OOV`` hashed ones. Each token is predicted from the ``SPAN`` tokens on either side: their embeddings,
-weighted by place, are summed and squashed; a two-level softmax (class, then word in class) gives
-normalised probabilities. A word without an id of its own has the probability of its hashed id times its
-share of that id's tokens in the whole corpus, so every word is predicted as itself. A document's score
-is the sum of its tokens' conditional log-probabilities.
-
-Word counts cover all documents (counted per batch, then per share of the hash space). Training covers
-all documents, too: each partition runs once over its tokens from common starting weights, and the
-weights are averaged by token count. Scoring meets the counts by share of the hash space (a share holds
-one hashed id's words), as they are never gathered in one place; its sums go back by chunk of documents.
-
-Defined cases: a null or blank text has no token and the score 0, with a null mean; repeated rows are
-scored alike; an empty corpus scores nothing; other columns are not looked at.
+Tokens are lower-cased words. Every word that makes up 2 ** -15 of the corpus (and occurs ``FREQUENT``
+times) has an id of its own, so there are at most 2 ** 15 of them at any size; the others share ``OOV``
+hashed ids. Each token is predicted from the ``SPAN`` tokens on either side: their embeddings, weighted
+by place, are summed and squashed; a two-level softmax (class, then word in class) gives normalised
+probabilities. A word without an id of its own has the probability of its hashed id times its share of
+that id's tokens in the whole corpus, so every word is predicted as itself. A document's score is the
+sum of its tokens' conditional log-probabilities.
+
+Word counts cover all documents and stay a table; only frequent words and the hashed ids' totals reach
+the driver. The softmax starts from the words' exact frequencies. Training covers all documents, too:
+documents are dealt by their hash to shards (one for ``SHARD_TOKENS`` tokens, ``MOST_SHARDS`` at most), a
+shard runs once over its tokens in the order of the hashes, in steps of ``BATCH`` places, and the
+shards' weights are averaged by token count in the shards' order. So weights and scores follow from
+the documents alone and not from files, partitions or the order in which tasks end. Scoring meets the counts by
+share of the hash space, as they are never gathered in one place; its sums go back by chunk of documents.
+
+Defined cases: a null or blank text has no token and the score 0, with a null mean; a null doc_id is
+scored as any other; repeated rows are scored alike; an empty corpus scores nothing; texts are read
+whole, whatever their length; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,75 +35,44 @@ from pyspark.sql import functions as F
 from dawnpress.llm.textscan import U64, word_chunks
 from dawnpress.plans.lineage import cut
 
-V, OOV, CLASSES, DIM, SPAN = 1024, 64, 32, 16, 3
+OOV, DIM, SPAN = 64, 16, 3
 BATCH, RATE = 8192, 0.1
+#: Weights stay below ``LIMIT`` and biases above ``LEAST_BIAS`` (no word), so that no exponential
+#: overflows; no probability is given as less than ``LEAST_P``.
+LIMIT, LEAST_BIAS, LEAST_P = np.float32(4), np.float32(-1e4), np.float32(1e-30)
 
-#: A word of so many tokens has an id of its own.
-FREQUENT = 1000
+#: A word of so many tokens, and of so large a share of all (as a power of two), has an id of its own.
+FREQUENT, SHARE_BITS = 20, 15
+#: Tokens of a training shard, shards at most, and shards whose weights are summed by one task.
+SHARD_TOKENS, MOST_SHARDS, FAN = 1 << 20, 4096, 64
+#: Distinct words of a share of the hash space, and shares at most; both are powers of two.
+SHARE_WORDS, MOST_SHARES = 1 << 18, 4096
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``share, words, counts``: for each share of the hash space all its words, in order, and their counts."""
+    """``word, n``: the hash of each word of the corpus and how often it occurs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, n = _sums([(w.hashes, np.ones(len(w.hashes), np.int64)) for _, _, w in word_chunks(batch.column(0))])
-            rows = [(k, h[at].tobytes(), n[at].tobytes()) for k, at in _by_share(h)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["share", "words", "counts"])
+            found = [np.unique(w.hashes, return_counts=True) for _, _, w in word_chunks(batch.column(0))]
+            if found:
+                h, where = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([f[1] for f in found]), len(h)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for k, w, c in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                held.setdefault(k, []).append((np.frombuffer(w.as_buffer(), U64), np.frombuffer(c.as_buffer(), np.int64)))
-                if len(held[k]) > 16:
-                    held[k] = [_sums(held[k])]
-        for k, parts in held.items():
-            h, n = _sums(parts)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([h.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["share", "words", "counts"])
-
-    schema = "share int, words binary, counts binary"
-    return docs.select("text").mapInArrow(count, schema).repartition(OOV, "share").mapInArrow(add, schema)
-
-
-def vocabulary(counts: DataFrame) -> np.ndarray:
-    """Hashes of the words with ids of their own, most frequent first."""
-
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for w, c in zip(batch.column(0), batch.column(1), strict=True):
-                h, n = np.frombuffer(w.as_buffer(), U64), np.frombuffer(c.as_buffer(), np.int64)
-                top = np.lexsort((h, -n))[: max(V - OOV, int((n >= FREQUENT).sum()))]
-                yield pa.RecordBatch.from_arrays([pa.array(h[top].view(np.int64)), pa.array(n[top])], ["word", "n"])
-
-    top = counts.select("words", "counts").mapInArrow(often, "word long, n long").orderBy(F.desc("n"), "word")
-    first = top.limit(V - OOV).collect()
-    rows = first if len(first) < V - OOV or first[-1]["n"] < FREQUENT else top.where(F.col("n") >= FREQUENT).collect()
-    return np.array([r["word"] for r in rows], np.int64).view(U64)
-
-
-def _by_share(h: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Where the hashes of each share are, for shares that have any."""
-    share = (h % U64(OOV)).astype(np.uint8)
-    order = np.argsort(share, kind="stable")
-    cuts = np.searchsorted(share[order], np.arange(OOV + 1))
-    return [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-
-
-def _sums(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    h, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return h, np.bincount(where, np.concatenate([p[1] for p in parts]), len(h)).astype(np.int64)
+    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Tokens:
-    """Word hash to id; the last ``OOV`` of ``size`` ids are the hashed ones."""
+class Vocabulary:
+    """Words with ids of their own, most frequent first, then the ``OOV`` hashed ids; how many tokens each
+    id has; ``blank`` stands between documents."""
 
-    def __init__(self, words: np.ndarray):
-        self.size = max(V, len(words) + OOV)
+    def __init__(self, words: np.ndarray, tokens: np.ndarray, hashed: np.ndarray):
         self.order = np.argsort(words)
         self.words = words[self.order]
+        self.tokens = np.concatenate([tokens, hashed]).astype(np.int64)
+        self.hashed = hashed
+        self.size = self.blank = len(words) + OOV
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         out = self.size - OOV + (h % U64(OOV)).astype(np.int64)
@@ -107,135 +80,212 @@ class Tokens:
             at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
             known = self.words[at] == h
             out[known] = self.order[at[known]]
-        return out
+        return out.astype(np.uint16)
 
-    def padded(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids with ``SPAN`` blanks between rows, places of the tokens, row of each token)."""
+    def stream(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids with ``SPAN`` blanks before, between and behind rows, places of the tokens, row of each)."""
         n = np.diff(words.first)
         row = np.repeat(np.arange(len(n)), n)
         place = np.arange(len(row)) + SPAN * (row + 1)
-        out = np.full(len(row) + SPAN * (len(n) + 1), self.size, np.int64)
+        out = np.full(len(row) + SPAN * (len(n) + 1), self.blank, np.uint16)
         out[place] = self.ids(words.hashes)
         return out, place, row
 
 
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
+    """The vocabulary, and in how many shares the other words are met."""
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    least = max(FREQUENT, total >> SHARE_BITS)
+    rows = sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], r["word"]))  # 2 ** SHARE_BITS at most
+    hashed = np.zeros(OOV, np.int64)
+    for r in counts.where(F.col("n") < least).groupBy(F.col("word").bitwiseAND(OOV - 1).alias("k")).agg(F.sum("n").alias("n")).collect():
+        hashed[r["k"]] = r["n"]
+    shares = 1 << max(0, (distinct // SHARE_WORDS).bit_length())
+    words = np.array([r["word"] for r in rows], np.int64).view(U64)
+    return Vocabulary(words, np.array([r["n"] for r in rows], np.int64), hashed), min(max(shares, OOV), MOST_SHARES)
+
+
 OFFSETS = [o for o in range(-SPAN, SPAN + 1) if o]
 
 
 class Network:
-    def __init__(self, seed: int = 3, size: int = V):
-        self.size, self.classes = size, max(CLASSES, math.ceil(math.sqrt(size)))
-        self.wide = -(-size // self.classes)
+    """Weights: embeddings, a weight per place and dimension, classes, words in classes.
+
+    It works on a piece of a stream of ids: all places but the outer ``SPAN`` are predicted."""
+
+    def __init__(self, tokens: np.ndarray, seed: int = 3):
+        self.size = len(tokens)
+        self.classes = max(1, math.ceil(math.sqrt(self.size)))
+        self.wide = -(-self.size // self.classes)
         r = np.random.Generator(np.random.PCG64(seed))
         f = lambda *s: r.normal(0, 0.1, s).astype(np.float32)
-        self.p = [f(size + 1, DIM), np.ones((len(OFFSETS), DIM), np.float32), f(DIM, self.classes), np.zeros(self.classes, np.float32), f(self.classes, DIM, self.wide), np.zeros((self.classes, self.wide), np.float32)]
-        self.p[5].ravel()[size:] = -1e4  # no word
+        mass = np.zeros(self.classes * self.wide)
+        mass[: self.size] = tokens + 0.5
+        mass = mass.reshape(self.classes, self.wide)
+        with np.errstate(divide="ignore"):
+            of_class, in_class = np.log(mass.sum(1) / mass.sum()), np.log(mass / np.maximum(mass.sum(1, keepdims=True), 0.5))
+        self.p = [
+            f(self.size + 1, DIM), np.ones((len(OFFSETS), DIM), np.float32), 0.1 * f(DIM, self.classes), np.maximum(of_class, LEAST_BIAS).astype(np.float32),
+            0.1 * f(self.classes, DIM, self.wide), np.maximum(in_class, LEAST_BIAS).astype(np.float32),
+        ]
         self.g = None
+        self.rooms = [np.empty(BATCH * self.classes, np.float32), np.empty(BATCH * self.wide, np.float32)]
 
-    def _hidden(self, ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        around = [self.p[0][ids[place + o]] for o in OFFSETS]
-        total = np.zeros((len(place), DIM), np.float32)
-        for e, w in zip(around, self.p[1], strict=True):
-            total += e * w
-        return np.tanh(total), around
+    def _hidden(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        e = self.p[0][ids]
+        n = len(ids) - 2 * SPAN
+        total, one = np.zeros((n, DIM), np.float32), np.empty((n, DIM), np.float32)
+        for o, w in zip(OFFSETS, self.p[1], strict=True):
+            total += np.multiply(e[SPAN + o : SPAN + o + n], w, out=one)
+        return np.tanh(total, out=total), e
 
     @staticmethod
-    def _softmax(z: np.ndarray) -> np.ndarray:
-        z -= z.max(1, keepdims=True)
+    def _odds(room: np.ndarray, h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials and their sum for each row; the weights' ``LIMIT`` keeps them finite. A row's values
+        do not depend on the rows beside it (a product with ones would add in another order)."""
+        z = np.matmul(h, weights, out=room[: len(h) * len(bias)].reshape(len(h), len(bias)))
+        z += bias
         np.exp(z, out=z)
-        z /= z.sum(1, keepdims=True)
-        return z
+        return z, z.sum(1)
 
-    def _by_class(self, target: np.ndarray):
-        cls = target // self.wide
+    def _by_class(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+        """Places of a piece's words in the order of their classes, classes, words in class, and where the
+        words of each class are."""
+        target = ids[SPAN:-SPAN]
+        cls = target // np.uint16(self.wide)
         order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes + 1))
-        return cls, [(k, order[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-
-    def log_probs(self, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Of each token at ``place`` given the tokens around it."""
-        out = np.zeros(len(place))
-        for a in range(0, len(place), 4 * BATCH):
-            at = place[a : a + 4 * BATCH]
-            h, _ = self._hidden(ids, at)
-            target = ids[at]
-            cls, groups = self._by_class(target)
-            p = self._softmax(h @ self.p[2] + self.p[3])[np.arange(len(at)), cls].astype(np.float64)
+        order = order[target[order] != self.size]
+        cls = cls[order].astype(np.intp)
+        cuts = np.searchsorted(cls, np.arange(self.classes + 1)).tolist()
+        return order, cls, target[order] - cls * self.wide, [(k, slice(x, y)) for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+
+    def log_probs(self, ids: np.ndarray) -> np.ndarray:
+        """Of the id at each place but the outer ``SPAN``, given the ids around it; 0 for blanks."""
+        out = np.zeros(max(0, len(ids) - 2 * SPAN))
+        for a in range(0, len(out), BATCH):
+            piece = ids[a : a + BATCH + 2 * SPAN]
+            order, cls, inside, groups = self._by_class(piece)
+            h = self._hidden(piece)[0][order]
+            z, total = self._odds(self.rooms[0], h, self.p[2], self.p[3])
+            p = z[np.arange(len(z)), cls] / total
             for k, rows in groups:
-                q = self._softmax(h[rows] @ self.p[4][k] + self.p[5][k])
-                p[rows] *= q[np.arange(len(rows)), target[rows] % self.wide]
-            out[a : a + len(at)] = np.log(np.maximum(p, 1e-30))
+                z, total = self._odds(self.rooms[1], h[rows], self.p[4][k], self.p[5][k])
+                p[rows] *= z[np.arange(len(z)), inside[rows]] / total
+            out[a + order] = np.log(np.maximum(p, LEAST_P).astype(np.float64))
         return out
 
-    def train(self, ids: np.ndarray, place: np.ndarray) -> None:
-        """One pass of minibatch steps with rates adapted per weight."""
+    def step(self, ids: np.ndarray) -> int:
+        """One step over a piece, with rates adapted per weight; returns how many tokens were predicted."""
         if self.g is None:
             self.g = [np.full_like(x, 1e-6) for x in self.p]
-        for a in range(0, len(place), BATCH):
-            at = place[a : a + BATCH]
-            n = np.float32(1 / len(at))
-            h, around = self._hidden(ids, at)
-            target = ids[at]
-            cls, groups = self._by_class(target)
-            d = self._softmax(h @ self.p[2] + self.p[3])
-            d[np.arange(len(at)), cls] -= 1
-            d *= n
-            grads = [None, np.zeros_like(self.p[1]), h.T @ d, d.sum(0), np.zeros_like(self.p[4]), np.zeros_like(self.p[5])]
-            back = d @ self.p[2].T
-            for k, rows in groups:
-                q = self._softmax(h[rows] @ self.p[4][k] + self.p[5][k])
-                q[np.arange(len(rows)), target[rows] % self.wide] -= 1
-                q *= n
-                grads[4][k], grads[5][k] = h[rows].T @ q, q.sum(0)
-                back[rows] += q @ self.p[4][k].T
-            back *= 1 - h * h
-            for j, e in enumerate(around):
-                grads[1][j] = (back * e).sum(0)
-            words = np.concatenate([ids[at + o] for o in OFFSETS])
-            order = np.argsort(words.astype(np.min_scalar_type(self.size)), kind="stable")
-            moved = np.concatenate([back * w for w in self.p[1]])[order]
-            cuts = np.flatnonzero(np.append(True, np.diff(words[order]) != 0))
-            grads[0] = np.zeros_like(self.p[0])
-            grads[0][words[order][cuts]] = np.add.reduceat(moved, cuts, axis=0)
-            for x, g, s in zip(self.p, grads, self.g, strict=True):
-                s += g * g
-                x -= RATE * g / np.sqrt(s)
-
-
-def train(docs: DataFrame, words: np.ndarray, seed: int = 3) -> Network:
-    """Weights averaged over the partitions' passes over their tokens."""
+        order, cls, inside, groups = self._by_class(ids)
+        if not len(order):
+            return 0
+        every, e = self._hidden(ids)
+        h, n = every[order], np.float32(1 / len(order))
+        d, total = self._odds(self.rooms[0], h, self.p[2], self.p[3])
+        d *= (n / total)[:, None]
+        d[np.arange(len(d)), cls] -= n
+        grads = [np.zeros_like(self.p[0]), np.zeros_like(self.p[1]), h.T @ d, d.sum(0), np.zeros_like(self.p[4]), np.zeros_like(self.p[5])]
+        back = d @ self.p[2].T
+        for k, rows in groups:
+            q, total = self._odds(self.rooms[1], h[rows], self.p[4][k], self.p[5][k])
+            q *= (n / total)[:, None]
+            q[np.arange(len(q)), inside[rows]] -= n
+            np.matmul(h[rows].T, q, out=grads[4][k])
+            q.sum(0, out=grads[5][k])
+            back[rows] += q @ self.p[4][k].T
+        back *= 1 - h * h
+        around, one, moved = np.zeros_like(every), np.empty_like(every), np.zeros_like(e)
+        around[order] = back
+        for j, (o, w) in enumerate(zip(OFFSETS, self.p[1], strict=True)):
+            beside = slice(SPAN + o, SPAN + o + len(around))
+            grads[1][j] = np.einsum("ij,ij->j", around, e[beside])
+            moved[beside] += np.multiply(around, w, out=one)
+        order = np.argsort(ids, kind="stable")
+        words = ids[order]
+        cuts = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+        grads[0][words[cuts]] = np.add.reduceat(moved[order], cuts, axis=0)
+        for x, g, s in zip(self.p, grads, self.g, strict=True):
+            s += g * g
+            x -= RATE * g / np.sqrt(s)
+            np.clip(x, LEAST_BIAS, LIMIT, out=x)
+        return len(h)
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.p])
+
+    def take(self, flat: np.ndarray) -> None:
+        at = 0
+        for k, x in enumerate(self.p):
+            self.p[k] = flat[at : at + x.size].astype(np.float32).reshape(x.shape)
+            at += x.size
+
+
+_WEIGHTS = "shard int, n long, weights binary"
+
+
+def _weights(shard: int, n: int, w: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n]), pa.array([w.astype(np.float64).tobytes()], pa.binary())], ["shard", "n", "weights"])
+
+
+def train(docs: DataFrame, vocab: Vocabulary, seed: int = 3) -> Network:
+    """Weights averaged over the shards' passes over their tokens."""
+    shards = min(MOST_SHARDS, max(1, -(-int(vocab.tokens.sum()) // SHARD_TOKENS)))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, to, w in word_chunks(batch.column(1)):
+                ids = vocab.ids(w.hashes)
+                blobs = [ids[a:b].tobytes() for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, to - first), pa.array(blobs, pa.binary())], ["key", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(words)
-        net, seen = Network(seed, tokens.size), 0
+        at, net, held, have, seen = None, None, [], 0, 0
+        gap = np.full(SPAN, vocab.blank, np.uint16)
         for batch in batches:
-            for _, _, w in word_chunks(batch.column(0)):
-                ids, place, _ = tokens.padded(w)
-                if len(place):
-                    net.train(ids, place)
-                    seen += len(place)
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([np.concatenate([x.ravel() for x in net.p]).tobytes()], pa.binary())], ["n", "weights"])
-
-    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = None, 0
+            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                if shard != at:
+                    if net is not None:
+                        yield _weights(at, seen + net.step(np.concatenate(held)), net.flat())
+                    at, net, held, have, seen = shard, Network(vocab.tokens, seed), [gap], SPAN, 0
+                held += [np.frombuffer(blob.as_buffer(), np.uint16), gap]
+                have += len(held[-2]) + SPAN
+                if have >= BATCH + 2 * SPAN:
+                    stream, a = np.concatenate(held), 0
+                    while len(stream) - a >= BATCH + 2 * SPAN:
+                        seen += net.step(stream[a : a + BATCH + 2 * SPAN])
+                        a += BATCH
+                    held, have = [stream[a:]], len(stream) - a
+        if net is not None:
+            yield _weights(at, seen + net.step(np.concatenate(held)), net.flat())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total, seen = None, None, 0
         for batch in batches:
-            for n, w in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                x = np.frombuffer(w.as_buffer(), np.float32).astype(np.float64) * n
-                total, seen = (x if total is None else total + x), seen + n
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["n", "weights"])
-
-    schema = "n long, weights binary"
-    net = Network(seed, Tokens(words).size)
-    got = docs.select("text").mapInArrow(run, schema).repartition(8).mapInArrow(average, schema).collect()  # at most eight rows
-    if got:
-        got.sort(key=lambda r: r["n"])
-        flat = sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * r["n"] for r in got) / sum(r["n"] for r in got)
-        at = 0
-        for k, x in enumerate(net.p):
-            net.p[k] = flat[at : at + x.size].astype(np.float32).reshape(x.shape)
-            at += x.size
+            for shard, n, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if at is not None and shard // FAN != at:
+                    yield _weights(at, seen, total / seen)
+                    total, seen = None, 0
+                x = np.frombuffer(w.as_buffer(), np.float64) * n
+                at, total, seen = shard // FAN, (x if total is None else total + x), seen + n
+        if at is not None:
+            yield _weights(at, seen, total / seen)
+
+    net = Network(vocab.tokens, seed)
+    # the id is part of the key: copies of one text, however many, are dealt to all shards
+    keyed = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("key"), "text")
+    coded = keyed.mapInArrow(encode, "key long, ids binary").where("octet_length(ids) > 0")
+    dealt = coded.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "key", "ids").repartitionById(shards, "shard")
+    got = cut(dealt.sortWithinPartitions("shard", "key", "ids").mapInArrow(run, _WEIGHTS), "weights")
+    while True:
+        groups = -(-shards // FAN)
+        got = got.repartitionById(groups, F.expr(f"shard div {FAN}").cast("int")).sortWithinPartitions("shard").mapInArrow(add, _WEIGHTS)
+        shards = groups
+        if shards == 1:
+            break
+    for r in got.collect():  # one row, of bounded size
+        net.take(np.frombuffer(r["weights"], np.float64))
     return net
 
 
@@ -252,43 +302,66 @@ def _view(x: pa.Scalar, kind) -> np.ndarray:
     return np.frombuffer(x.as_buffer(), kind)
 
 
+def _by_share(h: np.ndarray, shares: int) -> list[tuple[int, np.ndarray]]:
+    """Where the hashes of each share are, for shares that have any."""
+    if not len(h):
+        return []
+    share = (h % U64(shares)).astype(np.uint16)
+    order = np.argsort(share, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(share[order]) != 0))
+    return [(int(share[order[a]]), order[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(order)), strict=True)]
+
+
 def score_lm(docs: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, log_prob, mean_log_prob`` for each row of ``docs(doc_id, text)``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = cut(word_counts(docs), "counts")
-    words = vocabulary(counts)
-    model = docs.sparkSession.sparkContext.broadcast((words, train(docs, words).p))  # words of FREQUENT tokens
+    vocab, shares = vocabulary(counts)
+    return score_with(docs, counts, vocab, shares, train(docs, vocab))
+
+
+def score_with(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, shares: int, net: Network) -> DataFrame:
+    """The scores by a trained network."""
+    model = docs.sparkSession.sparkContext.broadcast((vocab, net.p))  # 2 ** SHARE_BITS words and the hashed ids
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(model.value[0])
-        net = Network(size=tokens.size)
+        vocab = model.value[0]
+        net = Network(vocab.tokens)
         net.p = model.value[1]
         chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for first, to, w in word_chunks(batch.column(1)):
-                ids, place, row = tokens.padded(w)
+                ids, place, row = vocab.stream(w)
                 n = np.bincount(row, minlength=to - first).astype(np.int64)
-                total = np.bincount(row, net.log_probs(ids, place), to - first).astype(np.float64)
-                rare = np.flatnonzero(ids[place] >= tokens.size - OOV)
+                total = np.bincount(row, net.log_probs(ids)[place - SPAN], to - first).astype(np.float64)
+                rare = np.flatnonzero(ids[place] >= vocab.size - OOV)
                 h, row = w.hashes[rare], row[rare].astype(np.int32)
                 known = batch.column(0).slice(first, to - first)
-                out = [(chunk, k, 1, h[at].tobytes(), row[at].tobytes(), None) for k, at in _by_share(h)]
-                out.append((chunk, chunk % OOV, 2, known.fill_null(0).to_numpy(zero_copy_only=False).tobytes(), known.is_null().to_numpy(zero_copy_only=False).tobytes(), n.tobytes() + total.tobytes()))
+                out = [(chunk, k, 1, h[at].tobytes(), row[at].tobytes(), None) for k, at in _by_share(h, shares)]
+                out.append((chunk, chunk % shares, 2, known.fill_null(0).to_numpy(zero_copy_only=False).tobytes(), known.is_null().to_numpy(zero_copy_only=False).tobytes(), n.tobytes() + total.tobytes()))
                 yield _parts(out)
                 chunk += 1
 
     def share_of_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words to the sum of their log-shares for each row of the chunk; a share's counts come first."""
-        own, h, logs = np.sort(model.value[0]), None, None
+        at, held, h, logs = None, [], None, None
+        of_id = np.log(np.maximum(model.value[0].hashed, 1))
         for batch in batches:
             out = []
             for chunk, share, kind, a, b, c in zip(*(batch.column(k) if k > 2 else batch.column(k).to_pylist() for k in range(6)), strict=True):
                 if kind == 0:
-                    h, n = _view(a, U64), _view(b, np.int64)
-                    logs = np.log(n / max(1, n[~np.isin(h, own)].sum()))
+                    if share != at:
+                        at, held = share, []
+                    held.append((_view(a, U64), _view(b, np.int64)))
+                    h = None
                 elif kind == 1:
+                    if h is None:
+                        h, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                        order = np.argsort(h)
+                        h, logs = h[order], np.log(n[order]) - of_id[at % OOV]
                     rows = _view(b, np.int32)
-                    there, at = np.unique(rows, return_inverse=True)
-                    out.append((chunk, share, 1, there.tobytes(), np.bincount(at, logs[np.searchsorted(h, _view(a, U64))]).tobytes(), None))
+                    there, where = np.unique(rows, return_inverse=True)
+                    out.append((chunk, share, 1, there.tobytes(), np.bincount(where, logs[np.searchsorted(h, _view(a, U64))]).tobytes(), None))
                 else:
                     out.append((chunk, share, 2, a.as_py(), b.as_py(), c.as_py()))
             yield _parts(out)
@@ -315,8 +388,13 @@ def score_lm(docs: DataFrame) -> DataFrame:
         if held:
             yield done()
 
-    known = counts.select(F.lit(-1).cast("long").alias("chunk"), "share", F.lit(0).alias("kind"), F.col("words").alias("a"), F.col("counts").alias("b"), F.lit(None).cast("binary").alias("c"))
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, _PARTS)
-    met = known.union(scored).repartition(OOV, "share").sortWithinPartitions("share", "kind").mapInArrow(share_of_id, _PARTS)
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts by share, a blob for each that a batch has."""
+        for batch in batches:
+            h, n = batch.column(0).to_numpy().view(U64), batch.column(1).to_numpy()
+            yield _parts([(-1, k, 0, h[at].tobytes(), n[at].tobytes(), None) for k, at in _by_share(h, shares)])
+
+    scored = docs.mapInArrow(score, _PARTS)
+    met = counts.mapInArrow(packed, _PARTS).union(scored).repartitionById(shares, "share").sortWithinPartitions("share", "kind").mapInArrow(share_of_id, _PARTS)
     # sums are added in the order of shares, so that repeated rows and runs score alike
     return met.repartition("chunk").sortWithinPartitions("chunk", F.desc("kind"), "share").mapInArrow(add, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
