@@ -3,16 +3,19 @@
 Each round points every node at the smallest node of its closed neighbourhood (in a hashed order,
 so that long paths contract by a constant share), renames both ends of all edges and drops loops
 and repeats. The graph shrinks geometrically; no round gathers the neighbours of a node in one
-place (``min`` combines before the shuffle), so a node may have any number of edges. Every round
-is written to the shared folder, so a lost executor repeats one round at most.
+place: ``min`` combines before the shuffle, and the edges of a node with very many of them stay where
+they are when they are renamed. Every round is written to the shared folder, so a lost executor
+repeats one round at most. Names are then carried back from the last round to the first; what is no
+longer read is deleted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from dawnpress.plans.lineage import cut
+from dawnpress.plans.lineage import cut, drop
+from dawnpress.plans.skew import hot_keys, join_spread
 
 MAX_ROUNDS = 200
 
@@ -24,22 +27,38 @@ def connected_components(edges: DataFrame, src: str = "u", dst: str = "v") -> Da
     an empty result.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
-    start = cut(pairs.where("u <> v").distinct(), "edges")
-    single = pairs.where("u = v").select(F.col("u").alias("node"))
-    nodes = start.select(F.col("u").alias("node")).union(start.select(F.col("v").alias("node"))).union(single)
-    labels = nodes.distinct().select("node", F.col("node").alias("at"))
-    current, rounds = start, 0
+    current, rounds = cut(pairs.where("u <> v").distinct(), "edges"), []
+    spark = current.sparkSession
     while not current.isEmpty():
-        if rounds == MAX_ROUNDS:
+        if len(rounds) == MAX_ROUNDS:
             raise RuntimeError("components did not settle")
-        order = lambda c, r=rounds // 2: F.struct(F.xxhash64(F.lit(r), F.col(c)).alias("h"), F.col(c).alias("x"))
+        order = lambda c, r=len(rounds) // 2: F.struct(F.xxhash64(F.lit(r), F.col(c)).alias("h"), F.col(c).alias("x"))
         both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        best = both.groupBy("u").agg(F.min(order("v")).alias("m"))
-        parents = cut(best.select("u", F.least("m", order("u"))["x"].alias("p")), "parents")
+        best = both.groupBy("u").agg(F.min(order("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+        parents = cut(best.select("u", F.least("m", order("u"))["x"].alias("p"), "n"), "parents")
+        hot = hot_keys(parents, ["u"])
         pu, pv = (parents.select(F.col("u").alias(k), F.col("p").alias(f"p{k}")) for k in ("u", "v"))
-        moved = current.join(pu, "u").join(pv, "v").where("pu <> pv")
-        current = cut(moved.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(), "edges")
-        labels = labels.join(parents.select(F.col("u").alias("at"), "p"), "at", "left").select("node", F.coalesce("p", "at").alias("at"))
-        rounds += 1
-    smallest = labels.groupBy("at").agg(F.min("node").alias("component"))
-    return cut(labels.join(smallest, "at").select("node", "component"), "components")
+        moved = join_spread(join_spread(current, pu, ["u"], hot), pv, ["v"], hot).where("pu <> pv")
+        after = cut(moved.select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(), "edges")
+        drop(spark, current)
+        rounds.append(parents)
+        current = after
+    drop(spark, current)
+    single = pairs.where("u = v").select(F.col("u").alias("node")).distinct()
+    if not rounds:
+        return cut(single.select("node", F.col("node").alias("component")), "components")
+    # a round's nodes are those of the rounds after it and the ones that they were renamed from
+    roots = rounds[-1].select(F.col("u").alias("node"), F.col("p").alias("root"))
+    for k, parents in enumerate(reversed(rounds[:-1])):
+        up = parents.select(F.col("u").alias("node"), "p")
+        hot = hot_keys(up.groupBy("p").agg(F.count(F.lit(1)).alias("n")), ["p"])
+        found = cut(join_spread(up, roots.select(F.col("node").alias("p"), "root"), ["p"], hot, "left").select("node", F.coalesce("root", "p").alias("root")), "roots")
+        if k:
+            drop(spark, roots)
+        roots = found
+    least = cut(roots.groupBy("root").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("n")), "least")
+    named = join_spread(roots, least.drop("n"), ["root"], hot_keys(least, ["root"])).select("node", "component")
+    alone = single.join(roots, "node", "left_anti").select("node", F.col("node").alias("component"))
+    out = cut(named.unionByName(alone), "components")
+    drop(spark, least, *rounds, *([roots] if len(rounds) > 1 else []))
+    return out

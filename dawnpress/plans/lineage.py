@@ -1,7 +1,8 @@
 """Cutting lineage: intermediate results become Parquet tables in the shared folder.
 
-The folder is the one that the cluster names in ``spark.checkpoint.dir``. Only where that setting
-is missing (tests on one machine) a temporary folder is made. Tables written there survive the
+The folder is the one that the cluster names in ``spark.checkpoint.dir``. Where that setting is missing,
+a temporary folder is made if all runs in one process (tests), and an error is raised if not: executors
+would each write to a folder of their own. Tables written there survive the
 loss of any executor, and reading them again never recomputes what stands before them.
 """
 
@@ -20,6 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="dawnpress-")

@@ -178,3 +178,32 @@ def test_stream_appends_once(spark, tmp_path):
     q = stream.append_and_recompose(stream.article_stream(spark, src, rows.schema.simpleString()[7:-1].replace(":", " ")), table, lambda df, days: seen.append((df.count(), days)), str(tmp_path / "c"))
     q.awaitTermination()
     assert table.read().count() == 2 and seen[-1] == (2, [date(2026, 9, 9), date(2026, 9, 10)])
+
+
+def test_components_of_hubs(spark, monkeypatch):
+    """A star, a long path, loops, repeats and null ends, with every key hot or none."""
+    from dawnpress.plans import skew
+
+    star = [(0, k) for k in range(1, 400)] + [(k, 0) for k in range(1, 50)]
+    path = [(1000 + k, 1001 + k) for k in range(150)]
+    edges = spark.createDataFrame([*star, *path, (5000, 5000), (0, 0), (None, 3), (7000, 7001)], "u long, v long")
+    want = {(k, 0) for k in range(400)} | {(1000 + k, 1000) for k in range(151)} | {(5000, 5000), (7000, 7000), (7001, 7000)}
+    for least, keys in ((1000, 1024), (2, 1024)):
+        monkeypatch.setattr(skew, "LEAST_ROWS", least)
+        monkeypatch.setattr(skew, "HOT_KEYS", keys)
+        got = [tuple(r) for r in connected_components(edges).collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert connected_components(edges.where("false")).count() == 0
+    assert {tuple(r) for r in connected_components(edges.where("u = v")).collect()} == {(5000, 5000), (0, 0)}
+
+
+def test_join_spread(spark, monkeypatch):
+    from dawnpress.plans import skew
+
+    monkeypatch.setattr(skew, "LEAST_ROWS", 10)
+    many = spark.createDataFrame([(k % 3 if k < 200 else k, k) for k in range(260)], "k long, v long")
+    one = spark.createDataFrame([(k, f"x{k}") for k in range(0, 300, 2)], "k long, name string")
+    hot = skew.hot_keys(many.groupBy("k").count(), ["k"], "count")
+    assert {r["k"] for r in hot} == {0, 1, 2}
+    for how in ("inner", "left"):
+        assert sorted(map(tuple, skew.join_spread(many, one, ["k"], hot, how).collect()), key=str) == sorted(map(tuple, many.join(one, "k", how).collect()), key=str)
