@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dawnpress.plans.lineage import cut
+from dawnpress.plans.skew import hot_keys, join_spread
 
 #: Halvings of a line before its variants are written out.
 LEVELS = 5
@@ -86,7 +87,7 @@ def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
     """``doc_id, line_no, first_doc_id, first_line_no`` for each removed line; the last two name the
     earliest line that it is a copy or near copy of."""
     lines = cut(_half_keys(_lines(docs), least), "lines")
-    firsts = cut(lines.groupBy("e1", "e2").agg(F.min("place").alias("place"), F.first("keys").alias("keys")), "firsts")
+    firsts = cut(lines.groupBy("e1", "e2").agg(F.min("place").alias("place"), F.first("keys").alias("keys"), F.count(F.lit(1)).alias("n")), "firsts")
 
     def shared(rows: DataFrame) -> DataFrame:
         """Rows whose key another line has, too."""
@@ -122,10 +123,12 @@ def near_lines(docs: DataFrame, least: int = 8) -> DataFrame:
 
     side = lambda p: opened.select(F.col("e1").alias(f"{p}1"), F.col("e2").alias(f"{p}2"), F.col("w").alias(f"{p}w"))
     pairs = near.select("e1", "e2", "first").join(side("x"), (F.col("e1") == F.col("x1")) & (F.col("e2") == F.col("x2"))).join(side("y"), (F.col("first.e1") == F.col("y1")) & (F.col("first.e2") == F.col("y2")))
-    proved = pairs.where(within_one("xw", "yw")).groupBy("e1", "e2").agg(F.min("first.place").alias("near"))  # once, though rows repeat
+    proved = cut(pairs.where(within_one("xw", "yw")).groupBy("e1", "e2").agg(F.min("first.place").alias("near")), "proved")  # once, though rows repeat
 
     keep = firsts.select("e1", "e2", F.col("place").alias("first")).join(proved, ["e1", "e2"], "left").select("e1", "e2", F.coalesce(F.least("near", "first"), "first").alias("first"))
-    return lines.select("e1", "e2", "place").join(keep, ["e1", "e2"]).where("first < place").select("place.doc_id", "place.line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
+    # a line may be in any share of all documents
+    met = join_spread(lines.select("e1", "e2", "place"), keep, ["e1", "e2"], hot_keys(firsts, ["e1", "e2"]))
+    return met.where("first < place").select("place.doc_id", "place.line_no", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line_no").alias("first_line_no"))
 
 
 def within_one(a: str, b: str) -> Column:

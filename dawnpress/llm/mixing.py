@@ -9,11 +9,11 @@ their documents one after the other and hand on the one document that is left fr
 tree combines those residuals, ``fan`` at a time, until one per source is left, which is rounded by
 itself. So a source's words differ from its target by less than one document's size.
 
-All random numbers are hashes of ids and a seed, and every order is total, so reruns agree.
+All random numbers are hashes of ids, texts and a seed, and every order is total, so reruns agree.
 
 Defined cases: a null or blank text has size 0 and is taken 0 words; a null source is a source of its
-own, last in the order of weights; repeated rows are rounded as separate documents; an empty table
-gives an empty result; other columns are not looked at.
+own, last in the order of weights; a null doc_id is told apart by its text; repeated rows are rounded as
+separate documents, all in one leaf if they are equal in id and text; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ from dawnpress.plans.lineage import cut
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UNIT = float(1 << 53)
+#: Sources whose targets are broadcast at most, and into how many parts a source is split beyond that.
+FEW, SALTS = 100_000, 64
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size``; size is the number of words of the whole text."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
+    """``doc_id, mark, source, size``: the text's hash and the number of words of the whole text."""
+    return docs.select("doc_id", F.xxhash64("text").alias("mark"), "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
 
 
 def share_out(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
@@ -53,13 +55,23 @@ def share_out(sizes: list[int], weights: list[float], share: float, most: float)
     return out
 
 
-def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0) -> DataFrame:
-    """``source, source_size, target``, one row per source."""
-    by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0, leaf: int = 4096) -> list[tuple[str | None, int, float, int]]:
+    """(source, source_size, target, leaves) for each source."""
+    by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     rows = sorted((r for r in by.collect()), key=lambda r: (r["source"] is None, r["source"] or ""))  # a row per source
     got = share_out([r["source_size"] for r in rows], [weights[i % len(weights)] for i in range(len(rows))], share, most)
-    data = [(r["source"], r["source_size"], t) for r, t in zip(rows, got, strict=True)]
-    return sizes.sparkSession.createDataFrame(data, "source string, source_size long, target double")
+    return [(r["source"], r["source_size"], t, -(-r["n"] // leaf)) for r, t in zip(rows, got, strict=True)]
+
+
+def _with_targets(sizes: DataFrame, rows: list[tuple]) -> DataFrame:
+    """``sizes`` with its source's size, target and leaves. A source may hold any share of the rows: up to
+    ``FEW`` sources are broadcast, and of more, each one's target is sent to ``SALTS`` tasks."""
+    t = sizes.sparkSession.createDataFrame(rows, "__s string, source_size long, target double, leaves long")
+    if len(rows) <= FEW:
+        return sizes.join(F.broadcast(t), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    t = t.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = sizes.withColumn("__j", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(SALTS)).cast("int"))
+    return salted.join(t, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__j") == F.col("__k"))).drop("__s", "__j", "__k")
 
 
 def _settle(size: list[int], x: list[float], luck: list[float]) -> tuple[list[int], int | None, float]:
@@ -95,28 +107,26 @@ def _settle(size: list[int], x: list[float], luck: list[float]) -> tuple[list[in
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.0, most: float = 3.0, seed: int = 17, leaf: int = 4096, fan: int = 64) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` (and ``source, copies``) for each row of
+    """``doc_id, size, source_size, target, taken`` (and ``source, mark, copies``) for each row of
     ``docs(doc_id, text, source)``."""
     sizes = cut(sized(docs), "sizes")
     return _mix_sizes(sizes, weights, share, most, seed, leaf, fan)
 
 
 def _mix_sizes(sizes: DataFrame, weights, share, most, seed, leaf, fan) -> DataFrame:
-    t = targets(sizes, weights, share, most)
-    count = sizes.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(leaf)).cast("long").alias("leaves"))
-    # sources are few and both tables have a row for each: they are broadcast where Spark finds them small
-    due = sizes.join(t.join(count, t["source"].eqNullSafe(count["source"])).select(t["source"].alias("__s"), "source_size", "target", "leaves"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    sources = targets(sizes, weights, share, most, leaf)
+    due = _with_targets(sizes, sources)
     due = due.withColumn("each", F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)))
     due = due.withColumn("whole", F.floor("each").cast("long")).withColumn("x", F.when(F.col("size") > 0, F.col("each") - F.floor("each")).otherwise(0.0))
     rest = due.select(
-        "doc_id", "source", "size", "source_size", "target", "whole", "x", "leaves",
-        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("leaves")).alias("at"),
+        "doc_id", "mark", "source", "size", "source_size", "target", "whole", "x", "leaves",
+        F.pmod(F.xxhash64(F.lit(seed), "doc_id", "mark"), F.col("leaves")).alias("at"),
     )
     schema = rest.drop("leaves", "at").schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ")
     out_schema = schema + ", leaves long, at long, extra long"
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "order", "doc_id", "x"], ascending=[False, True, True, True], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["size", "order", "doc_id", "mark", "x"], ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
         copies, held, f = _settle(pdf["size"].tolist(), pdf["x"].tolist(), pdf["luck"].tolist())
         pdf["extra"] = pd.array(copies, "Int64")
         if held is not None:
@@ -125,10 +135,10 @@ def _mix_sizes(sizes: DataFrame, weights, share, most, seed, leaf, fan) -> DataF
         return pdf.drop(columns=["order", "luck"])
 
     parts: list[DataFrame] = []
-    level, top = 0, int(count.agg(F.max("leaves")).first()[0] or 0)
+    level, top = 0, max((r[3] for r in sources), default=0)
     while True:
-        luck = (F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "doc_id", "size"), F.lit(1 << 53)) / F.lit(_UNIT)).alias("luck")
-        order = F.xxhash64(F.lit(seed), F.lit(level), F.lit("o"), "doc_id").alias("order")
+        luck = (F.pmod(F.xxhash64(F.lit(seed), F.lit(level), "doc_id", "mark"), F.lit(1 << 53)) / F.lit(_UNIT)).alias("luck")
+        order = F.xxhash64(F.lit(seed), F.lit(level), F.lit("o"), "doc_id", "mark").alias("order")
         done = cut(rest.select("*", order, luck).groupBy("source", "at").applyInPandas(settle, out_schema), f"round{level}")
         if top <= 1:
             parts.append(done)
@@ -137,21 +147,21 @@ def _mix_sizes(sizes: DataFrame, weights, share, most, seed, leaf, fan) -> DataF
         top = -(-top // fan)
         rest = done.where("extra is null").drop("extra").withColumn("at", F.floor(F.col("at") / F.lit(fan)).cast("long"))
         level += 1
-    alone = F.pmod(F.xxhash64(F.lit(seed), F.lit("last"), "doc_id", "size"), F.lit(1 << 53)) / F.lit(_UNIT)
+    alone = F.pmod(F.xxhash64(F.lit(seed), F.lit("last"), "doc_id", "mark"), F.lit(1 << 53)) / F.lit(_UNIT)
     parts[-1] = parts[-1].withColumn("extra", F.coalesce("extra", (alone < F.col("x")).cast("long")))
     got = parts[0]
     for p in parts[1:]:
         got = got.unionByName(p)
     copies = F.col("whole") + F.when(F.col("size") > 0, F.col("extra")).otherwise(0)
-    return got.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies"))
+    return got.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", "mark", copies.alias("copies"))
 
 
 def take_mix(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with the same columns. Documents without
-    words are taken once: they weigh nothing. Rows are told apart by ``doc_id``, size and their place
-    among equal ones."""
-    key = ["doc_id", "source", "size"]
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("__row"), docs["doc_id"].alias("doc_id"), docs["source"].alias("source"), F.coalesce(F.regexp_count(docs["text"], F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
+    words are taken once: they weigh nothing. Rows are told apart by ``doc_id``, the text's hash and their
+    place among equal ones."""
+    key = ["doc_id", "mark", "source", "size"]
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("__row"), docs["doc_id"].alias("doc_id"), F.xxhash64(docs["text"]).alias("mark"), docs["source"].alias("source"), F.coalesce(F.regexp_count(docs["text"], F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
     plan = mix(docs, **how).select(*key, F.when(F.col("size") > 0, F.col("copies")).otherwise(1).alias("__n"))
     place = lambda *order: F.row_number().over(Window.partitionBy(*key).orderBy(*order)).alias("__k")
     plan = plan.select(*(F.col(c).alias(f"__{c}") for c in key), "__n", place(F.desc("__n")))

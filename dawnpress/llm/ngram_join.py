@@ -14,13 +14,13 @@ A document is the set of hashes of its five-word shingles. Equal sets are one no
    sets from above, those of a point and a box's upper corner bound it for the whole box. Pairs that
    survive are verified on the sets. Pairs already in one component are skipped: links are kept as a
    spanning forest, never as all pairs.
-   An island over ``island_cap`` nodes is split by a salt; each pair of salts is a unit of its own, so
+   An island over ``island_cap`` nodes or ``island_shingles`` shingles is split by a salt; each pair of salts is a unit of its own, so
    that a task stays bounded and no pair is lost.
 4. Components of the links give each document its class.
 
 Defined cases: null or blank text has no shingle (``n_shingles`` 0) and is a class of its own; fewer
-than five words are one shingle; repeated rows are rows of the same class; a null ``doc_id`` row gets
-its class's smallest id that is not null; other columns of the input are not looked at.
+than five words are one shingle; repeated rows are rows of the same class; a null ``doc_id`` row links
+as any other and gets its class's smallest id that is not null (null if there is none); other columns of the input are not looked at.
 """
 
 from __future__ import annotations
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from dawnpress.llm.textscan import MULTIPLIERS, mix, word_chunks
 from dawnpress.plans.components import connected_components
-from dawnpress.plans.lineage import cut
+from dawnpress.plans.lineage import cut, drop
+from dawnpress.plans.skew import hot_keys, join_spread
 
 SKETCH_BITS = 22
 SKETCH_PARTS = 64
@@ -302,7 +303,18 @@ def _verify(units: DataFrame, shingle: int, num: int, den: int) -> DataFrame:
     return units.repartition("unit").sortWithinPartitions("unit").mapInArrow(join, "u long, v long")
 
 
-def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int = 4, island_cap: int = 4096) -> DataFrame:
+def _nameless(docs: DataFrame, shingle: int) -> DataFrame:
+    """``node, text`` of the rows without a ``doc_id``, a row for each node."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [_node(s) if len(s) else None for _, _, words in word_chunks(batch.column(0)) for s in words.shingle_sets(shingle)]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0).cast(pa.string())], ["node", "text"])
+
+    return docs.where("doc_id is null").select("text").mapInArrow(name, "node long, text string").groupBy("node").agg(F.min("text").alias("text"))
+
+
+def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int = 4, island_cap: int = 4096, island_shingles: int = 4_000_000) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs(doc_id, text)``; two rows link when
     the Jaccard similarity of their sets is ``num / den`` or more."""
     rank = _sketch(docs, shingle)
@@ -311,26 +323,34 @@ def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int =
     near = found.where("kind = 2").select(F.col("node").alias("u"), F.col("other").alias("v"))
     islands = connected_components(near.union(_chain(found.where("kind = 1"))))
 
-    stands = nodes.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    size = islands.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
-    salts = F.ceil(F.col("m") / F.lit(island_cap)).cast("int")
+    stands = cut(nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n")), "nodes")
+    placed = cut(islands.join(stands, "node"), "islands")
+    size = placed.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
+    size = cut(size.select("component", "m", F.ceil(F.greatest(F.col("m") / F.lit(island_cap), F.col("all") / F.lit(island_shingles))).cast("int").alias("salts")), "sizes")
     # component, then the salts of the two halves; a node of salt s belongs to each pair with s
     own = F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")
-    placed = (
-        islands.join(size, "component").withColumn("salts", salts).withColumn("own", own)
+    salted = (
+        join_spread(placed, size.drop("m"), ["component"], hot_keys(size, ["component"], "m")).withColumn("own", own)
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .select("node", F.struct("component", F.least("own", "with").alias("a"), F.greatest("own", "with").alias("b")).alias("unit"), F.when(F.col("own") == F.col("with"), 0).otherwise(F.when(F.col("own") < F.col("with"), 1).otherwise(2)).alias("part"))
+        .select("node", "doc_id", F.struct("component", F.least("own", "with").alias("a"), F.greatest("own", "with").alias("b")).alias("unit"), F.when(F.col("own") == F.col("with"), 0).otherwise(F.when(F.col("own") < F.col("with"), 1).otherwise(2)).alias("part"))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    units = placed.join(stands, "node").join(texts, "doc_id").select(F.concat_ws("/", F.col("unit.component"), F.col("unit.a"), F.col("unit.b")).alias("unit"), "node", "part", "text")
+    met = salted.join(texts, "doc_id").select("unit", "node", "part", "text")
+    met = met.unionByName(salted.where("doc_id is null").join(_nameless(docs, shingle), "node").select("unit", "node", "part", "text"))
+    units = met.select(F.concat_ws("/", F.col("unit.component"), F.col("unit.a"), F.col("unit.b")).alias("unit"), "node", "part", "text")
     links = cut(_verify(units, shingle, num, den), "links")
-
-    comp = connected_components(links).withColumnRenamed("component", "class")
-    member = nodes.join(comp, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    least = member.where("node is not null").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-    return member.join(least, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id")
-    )
+    drop(docs.sparkSession, islands, placed, size)
+
+    # a class's smallest id meets its nodes, then the nodes' rows; a class or a node may have any number
+    comp = connected_components(links)
+    classes = cut(stands.join(comp, "node").select("component", "node", "doc_id"), "classes")
+    least = cut(classes.groupBy("component").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("m")), "least")
+    linked = join_spread(classes, least.drop("m"), ["component"], hot_keys(least, ["component"], "m")).select("node", "first_id")
+    first = cut(stands.join(linked, "node", "left").select("node", F.coalesce("first_id", "doc_id").alias("first_id")), "first")
+    drop(docs.sparkSession, links, comp, classes, least)
+    rows = join_spread(nodes.where("node is not null"), first, ["node"], hot_keys(stands, ["node"], "rows"))
+    blank = nodes.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("first_id").alias("component_id")).unionByName(blank)
 
 
 def keep_one_per_class(docs: DataFrame, **how) -> DataFrame:

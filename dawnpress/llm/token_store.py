@@ -29,11 +29,12 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dawnpress.llm.textscan import U64, mix, word_chunks
 from dawnpress.plans.lineage import table_path
+from dawnpress.plans.skew import hot_keys, join_spread
 
 WINDOW, MEAN, LEAST, MOST = 16, 512, 64, 4096
 DIGEST = 20
@@ -251,6 +252,11 @@ def _width(spark: SparkSession, tokenizer: str, end_id: int) -> int:
     return 2 if encoder_for(tokenizer).width.itemsize == 2 and end_id < 1 << 16 else 4
 
 
+def _hot(listed: DataFrame) -> list[Row]:
+    """Chunks that many recipes hold."""
+    return hot_keys(listed.groupBy("key").agg(F.count(F.lit(1)).alias("n")), ["key"])
+
+
 def read_index(spark: SparkSession, path: str, width: int) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` from a store's files, which are checked on the way."""
 
@@ -285,7 +291,7 @@ def read_index(spark: SparkSession, path: str, width: int) -> DataFrame:
     digest = F.transform(F.sequence(F.lit(0), (F.length("recipe") / F.lit(DIGEST)).cast("int") - 1), lambda i: F.substring(F.col("recipe"), i * DIGEST + 1, F.lit(DIGEST)))
     listed = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode(digest).alias("pos", "key"))
     # a document's position is its own: it names the row
-    whole = listed.join(chunks, "key").groupBy("start").agg(
+    whole = join_spread(listed, chunks, ["key"], _hot(listed)).groupBy("start").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.first("root").alias("root"),
         F.sort_array(F.collect_list(F.struct("pos", "key", "n", "crc"))).alias("parts"),
     )
@@ -298,7 +304,8 @@ def read_documents(spark: SparkSession, path: str, width: int) -> DataFrame:
     manifest = spark.read.parquet(f"{path}/manifest").select("part", F.col("start").alias("__start"))
     recipes = spark.read.parquet(f"{path}/recipes").join(manifest, "part").select("doc_id", (F.col("__start") + F.col("before")).alias("start"), "recipe")
     digest = F.transform(F.sequence(F.lit(0), (F.length("recipe") / F.lit(DIGEST)).cast("int") - 1), lambda i: F.substring(F.col("recipe"), i * DIGEST + 1, F.lit(DIGEST)))
-    whole = recipes.select("doc_id", "start", F.posexplode(digest).alias("pos", "key")).join(chunks, "key").groupBy("start").agg(
+    listed = recipes.select("doc_id", "start", F.posexplode(digest).alias("pos", "key"))
+    whole = join_spread(listed, chunks, ["key"], _hot(listed)).groupBy("start").agg(
         F.first("doc_id").alias("doc_id"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "payload"))), lambda x: x["payload"]).alias("parts")
     )
 

@@ -64,6 +64,18 @@ def test_ngram_join_empty_and_kept(empty, odd):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == sorted(i for i, _ in first)
 
 
+def test_ngram_join_of_hot_keys_and_rows_without_id(spark, docs, monkeypatch):
+    from dawnpress.plans import skew
+
+    whole = {tuple(r) for r in ngram_join.jaccard_classes(docs).collect()}
+    monkeypatch.setattr(skew, "LEAST_ROWS", 1)
+    monkeypatch.setattr(skew, "HOT_KEYS", 1 << 20)
+    assert {tuple(r) for r in ngram_join.jaccard_classes(docs, island_shingles=50).collect()} == whole
+    rows = [(None, BASE), (7, BASE.replace("word5x5", "zzz")), (9, BASE.replace("word90x90", "yyy")), (None, "a class of rows without any id at all here"), (None, "")]
+    got = {tuple(r) for r in ngram_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(None, 116, 7), (7, 116, 7), (9, 116, 7), (None, 6, None), (None, 0, None)}
+
+
 def test_tree_bound_loses_nothing():
     r = np.random.default_rng(3)
     base = [np.unique(r.integers(0, 1 << 60, 80, dtype=np.uint64)) for _ in range(30)]
@@ -129,6 +141,15 @@ def test_token_store(spark, which, request, tmp_path):
     assert texts == collections.Counter((i, tuple(ids)) for _, i, ids in store)
 
 
+def test_token_store_hot_chunks(spark, tmp_path, docs, monkeypatch):
+    from dawnpress.plans import skew
+
+    want = {tuple(r) for r in token_store.token_index(docs, queries.tokenizer_path(), path=str(tmp_path / "a")).collect()}
+    monkeypatch.setattr(skew, "LEAST_ROWS", 1)
+    monkeypatch.setattr(skew, "HOT_KEYS", 1 << 20)
+    assert {tuple(r) for r in token_store.token_index(docs, queries.tokenizer_path(), path=str(tmp_path / "b")).collect()} == want
+
+
 def test_word_cache_on_marks():
     import pyarrow as pa
     from tokenizers import Tokenizer
@@ -171,6 +192,28 @@ def test_mixing(odd, docs, empty):
     assert mixing.share_out([10, 100], [5, 1], 1.0, 3) == [30.0, 80.0]
 
 
+def test_mixing_of_many_sources(docs, monkeypatch):
+    want = collections.Counter(map(tuple, mixing.mix(docs, leaf=8, fan=3).collect()))
+    monkeypatch.setattr(mixing, "FEW", 3)
+    assert collections.Counter(map(tuple, mixing.mix(docs, leaf=8, fan=3).collect())) == want
+
+
+def test_mixing_keeps_expectations():
+    """Each document is taken as often as it is due, on average over the luck, and the words stay."""
+    r = np.random.default_rng(5)
+    size, x = [3, 10, 7, 1, 25, 4], [0.2, 0.5, 0.9, 0.33, 0.6, 0.75]
+    due, n = sum(a * b for a, b in zip(size, x, strict=True)), 20_000
+    total = np.zeros(len(x))
+    for _ in range(n):
+        copies, held, f = mixing._settle(size, x, r.random(len(x)).tolist())
+        got = np.array(copies, float)
+        if held is not None:
+            got[held] = f
+        assert abs(got @ np.array(size) - due) < 1e-6
+        total += got
+    assert np.abs(total / n - x).max() < 0.02
+
+
 def test_tiles_and_leaks(spark, odd, empty):
     assert sorted(decontam.tile(np.array([1, 2, 3, 4, 5, 6, 7, 8], np.uint64), np.array([5, 6, 7, 8, 99, 1, 2, 3, 4], np.uint64), 4)) == [(0, 5, 4), (4, 0, 4)]
     bench = spark.createDataFrame([(1, " ".join(BASE.split()[20:60])), (2, " ".join(BASE.split()[40:60] + BASE.split()[20:40])), (3, None), (4, ""), (5, "one two"), (6, "nowhere to be found in any text at all"), (None, BASE)], "item_id long, text string")
@@ -205,6 +248,32 @@ def test_line_dedup_earliest_true_copy(spark):
         assert {(r["doc_id"], r["first_doc_id"]) for r in line_dedup.near_lines(rows).collect()} == want
 
 
+@pytest.mark.parametrize("n", [8, 9, 12, 16, 40, 100])
+def test_line_dedup_insertions(spark, n, monkeypatch):
+    """A line with one word more, the line, and the line with another word more, at every place."""
+    from dawnpress.plans import skew
+
+    monkeypatch.setattr(skew, "LEAST_ROWS", 1)  # every line is hot
+    rows, base = [], lambda k: [f"s{k}w{i}" for i in range(n)]
+    for k in range(n + 1):
+        w = base(k)
+        rows += [(3 * k + i, " ".join(w[:k] + more + w[k:])) for i, more in enumerate((["foo"], [], ["bar"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["first_doc_id"]) for r in line_dedup.near_lines(df).collect()}
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = {(r[0], r[2]) for r in con.sql(line_dedup.ORACLE).fetchall()}
+    assert got == want and len(got) == 2 * (n + 1)
+
+
+def test_line_dedup_long_lines(spark):
+    """SQL writes out every variant of a line, which 20,000 words do not allow: the answer is known here."""
+    w = LONG.split()[:20_000]
+    edits = [w, [*w[:9_999], "other", *w[10_000:]], [*w[:5], *w[6:]], [*w[:-1], "x", w[-1]], [*w[:10], "one", *w[11:500], "two", *w[501:]], w[1:-1]]
+    rows = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(edits)], "doc_id long, text string")
+    assert {(r["doc_id"], r["first_doc_id"]) for r in line_dedup.near_lines(rows).collect()} == {(1, 0), (2, 0), (3, 0)}
+
+
 def test_line_dedup_near_copy_of_a_row_without_id(spark):
     t = "b1 b2 b3 b4 b5 b6 b7 b8 b9"
     rows = spark.createDataFrame([(None, t), (5, t), (7, t.replace("b4", "zz")), (8, "another line that has no copy at all here")], "doc_id long, text string")
