@@ -14,7 +14,7 @@ most ``FEATURES`` n-grams and a bitmap). Only n-grams of the dictionary count, s
 diluted by its ordinary words.
 
 Defined cases: a null or empty text has no n-gram and gets the intercept's score; a null label or a
-label without document trains nothing; repeated labels of an id count once, as toxic if one is; with
+label without document trains nothing; a null doc_id is scored, is not held out and trains nothing; repeated labels of an id count once, as toxic if one is; with
 one class or none the score is the share of toxic labels (0 without labels); labels, lang, source and
 doc_id are no inputs of a score; other columns are not looked at.
 """
@@ -35,6 +35,8 @@ from dawnpress.plans.lineage import cut
 SAMPLE = 40_000
 SHORTEST, LONGEST = 3, 7
 BITS, FEATURES, LEAST_CHI2 = 20, 4096, 20.0
+#: Parts of the table of counters, which are summed apart.
+TABLE_PARTS = 16
 #: Code points of a text that are looked at together; parts overlap, so no n-gram is lost.
 PART = 1 << 20
 
@@ -126,6 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5)
     if not n_pos or not n_neg:
         return _constant(1.0 if n_pos else 0.0)
 
+    wide = (1 << BITS) // TABLE_PARTS
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros((2, 1 << BITS), np.uint16), np.zeros(1 << BITS, bool)
         for batch in batches:
@@ -135,11 +139,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5)
                 u = np.flatnonzero(seen)
                 total[int(y > 0), u] += 1  # a task has fewer rows than 2 ** 16: the sample is dealt over more tasks
                 seen[u] = False
-        yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([x.tobytes() for x in total], pa.binary())], ["y", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(TABLE_PARTS, dtype=np.int32)), pa.array([total[:, k * wide : (k + 1) * wide].tobytes() for k in range(TABLE_PARTS)], pa.binary())], ["part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[part] = sums.get(part, 0) + np.frombuffer(x.as_buffer(), np.uint16).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "counts"])
 
+    schema = "part int, counts binary"
+    dealt = rows.repartition(max(8, -(-sample // 5_000))).mapInArrow(count, schema)
     counts = np.zeros((2, 1 << BITS))
-    for r in rows.repartition(max(2, -(-sample // 5_000))).mapInArrow(count, "y int, counts binary").toLocalIterator():
-        counts[r["y"]] += np.frombuffer(r["counts"], np.uint16)  # one table a task, of fixed size
+    for r in dealt.repartition(TABLE_PARTS, "part").mapInArrow(add, schema).collect():  # one table of fixed size
+        counts[:, r["part"] * wide : (r["part"] + 1) * wide] = np.frombuffer(r["counts"], np.uint32).reshape(2, wide)
     chi2 = _chi2(counts[1], counts[0], n_pos, n_neg)
     best = np.argsort(-chi2, kind="stable")[:FEATURES]
     bitmap = np.zeros(1 << BITS, bool)
@@ -153,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int = 5)
                 out.append(np.unique(np.concatenate(kept)).tobytes() if kept else b"")
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(out, pa.binary())], ["toxic", "grams"])
 
-    got = rows.mapInArrow(gather, "toxic int, grams binary").collect()  # at most ``sample`` rows
+    got = rows.repartition(max(8, -(-sample // 5_000))).mapInArrow(gather, "toxic int, grams binary").collect()  # at most ``sample`` rows
     got.sort(key=lambda r: (r["toxic"], bytes(r["grams"])))  # the order of the sum does not depend on the tasks
     y = np.array([float(r["toxic"] > 0) for r in got])
     grams = [np.frombuffer(r["grams"], U64) for r in got]

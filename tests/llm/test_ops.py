@@ -2,7 +2,6 @@
 
 import collections
 import hashlib
-import re
 import zlib
 
 import duckdb
@@ -10,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dawnpress.llm import bwt_dedup, decontam, line_dedup, mixing, ngram_join, quality, queries, secrets, token_store, toxicity
+from dawnpress.llm import bwt_dedup, decontam, line_dedup, mixing, ngram_join, quality, queries, token_store, toxicity
 
 from tests.llm.conftest import BASE, D, LONG, ODD
 
@@ -283,30 +282,60 @@ def test_line_dedup_near_copy_of_a_row_without_id(spark):
     assert kept[None] == t and kept[5] == kept[7] == "" and kept[8] != ""
 
 
-def test_toxicity(spark, docs, odd, empty):
+def auc(score, label):
+    """Share of pairs of a toxic and another row that are in the right order."""
+    order = np.argsort(score, kind="stable")
+    s, y = np.array(score)[order], np.array(label)[order] > 0
+    _, first, n = np.unique(s, return_index=True, return_counts=True)
+    rank = np.repeat(first + (n - 1) / 2, n)
+    return (rank[y].sum() - y.sum() * (y.sum() - 1) / 2) / (y.sum() * (~y).sum())
+
+
+def test_toxicity(spark, odd, empty):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert auc([0.1, 0.4, 0.4, 0.9], [0, 0, 1, 1]) == 0.875
     got = toxicity.score_toxicity(big, labels).join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").where("held_out").collect()
-    right = sum(r["predicted"] == r["toxic"] for r in got) / len(got)
-    assert right > 0.9
+    assert auc([r["score"] for r in got], [r["toxic"] for r in got]) > 0.8
+    found, toxic, right = (sum(x) for x in zip(*((r["predicted"], r["toxic"], r["predicted"] * r["toxic"]) for r in got), strict=True))
+    assert right / toxic > 0.6 and right / found > 0.8
     none = toxicity.score_toxicity(odd, labels.where("false")).collect()
     assert len(none) == len(ODD) and all(r["score"] < 0.01 and r["predicted"] == 0 for r in none)
     assert toxicity.score_toxicity(empty, labels).count() == 0
-    model = toxicity.Model(np.sort(np.concatenate(list(toxicity.ngrams("moron")))), np.ones(15), 0.0, np.ones(1 << toxicity.BITS, bool))
-    assert len(model.present("x" * 10 + " moron " + "y" * 10)) >= 10 and len(model.present(None)) == 0
 
 
-def test_secrets(spark, odd, empty, docs):
-    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
-    rows = [(1, f'the token = "{key}" of it'), (2, f"commit {key} fixed"), (3, "https://a.com/report/summary/chapter/section12345.html"), (4, None), (5, f"x password: {key.upper()} " + "w " * 1000)]
-    got = {r["doc_id"] for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1, 5}
-    forest = secrets.fit_forest(secrets.labelled_findings())
-    held = secrets.labelled_findings(600, seed=101)
-    assert sum((secrets.forest_score(forest, [m.plain(*r[:4]) for m in secrets.MEASURES]) >= 0.5) == bool(r[4]) for r in held) / len(held) > 0.95
-    assert secrets.scan_secrets(empty).count() == 0 and secrets.scan_secrets(odd).count() == 0
-    planted = sum(len(re.findall(r'(?i)token = "[0-9a-f]{40}"', r["text"] or "")) for r in docs.select("text").collect())
-    assert secrets.scan_secrets(docs).count() == planted
+def test_toxicity_by_loops(spark, docs, monkeypatch):
+    """Features, ratios and scores from the definition, n-gram by n-gram."""
+    monkeypatch.setattr(toxicity, "LEAST_CHI2", 8.0)
+    labels = spark.read.parquet(f"{D}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    trained = {r["doc_id"]: r["toxic"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    texts = [(r["text"], trained[r["doc_id"]]) for r in docs.collect() if r["doc_id"] in trained]
+
+    def grams(text):
+        t = " " + " ".join((text or "").lower().split()) if text else ""
+        return {t[k : k + n] for n in range(toxicity.SHORTEST, toxicity.LONGEST + 1) for k in range(len(t) - n + 1)}
+
+    of = [(grams(t), y > 0) for t, y in texts]
+    pos, neg = (collections.Counter(g for s, y in of if y == want for g in s) for want in (True, False))
+    n_pos = sum(y for _, y in of)
+    n_neg, n = len(of) - n_pos, len(of)
+    chi2 = {g: n * (pos[g] * n_neg - neg[g] * n_pos) ** 2 / ((pos[g] + neg[g]) * (n - pos[g] - neg[g]) * n_pos * n_neg) for g in pos | neg if pos[g] + neg[g] < n}
+    code = lambda g: int(list(toxicity.ngrams(g[1:]))[-1][0])  # of one that begins with a blank
+    chosen = {g for g, c in chi2.items() if c >= 8}
+    assert 0 < len(model.hashes) <= len(chosen)
+    known = set(model.hashes.tolist())
+    assert all(code(g) in known for g in sorted(chosen, key=chi2.get)[-20:] if g[0] == " ")
+    for text, _ in texts[::10]:
+        have = {h for x in toxicity.ngrams(text) for h in x.tolist()} & known
+        z = model.intercept + sum(w for h, w in zip(model.hashes.tolist(), model.weights, strict=True) if h in have)
+        assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_toxicity_long_texts():
+    model = toxicity.Model(np.sort(np.concatenate(list(toxicity.ngrams("moron")))), np.ones(15), 0.0, np.ones(1 << toxicity.BITS, bool))
+    assert len(model.present("x" * 10 + " moron " + "y" * 10)) >= 10 and len(model.present(None)) == 0
+    assert len(model.present("y " * (toxicity.PART // 2 - 2) + "moron")) >= 10  # over the seam of two parts
 
 
 def test_pipeline(spark):
