@@ -4,20 +4,24 @@ A *window* is ``length`` bytes at one position of one document. The steps:
 
 1. Screening. Every window names its anchor: the least-hashed 32 bytes inside it (the leftmost of
    equals). Equal windows have equal anchors at equal places, so windows whose anchor occurs once are
-   unique. Consecutive windows with one anchor are a *segment*. Segments with the same bytes are copies:
-   all but the earliest are covered whole. What is left open are different segments around one anchor,
-   which may still share windows in part.
-2. The open segments of a bucket of anchors are cut into shards. Each shard gets its suffix order and
-   its Burrows-Wheeler transform, over symbols of twenty bytes (numbered by their hashes). The shards' transforms are merged by
-   refining their interleave: a stable pass over the current interleave sorts it by one more symbol,
-   without sorting the suffixes again. Block borders that appear on the way are the common prefixes;
-   blocks that are still whole after ``length`` bytes are the repeated intervals. In each, every window
-   but the earliest is covered.
+   unique. Consecutive windows with one anchor are a *segment*. Segments with the same bytes have one
+   *representative*, the earliest, and the others are its members: only places, no bytes.
+2. Representatives that have members or share an anchor with others are dealt to buckets of anchors and
+   cut into shards. Each shard gets its suffix order and its Burrows-Wheeler transform, over symbols of
+   twenty bytes (numbered by their hashes). The shards' transforms are merged by refining their
+   interleave: a stable pass over the current interleave sorts it by one more symbol, without sorting the
+   suffixes again. The pass in which a border between two neighbours appears is the length of their
+   common prefix. Where it reaches ``length`` bytes, neighbours are one repeated interval, which counts
+   each representative with its members. Every window of an interval but the earliest is covered, in
+   representatives and in members.
 3. Covered windows meet their documents' texts again, which are cut and hashed.
 
-Everything that one task gathers is a bucket: the anchors' and documents' hash spaces are split in
-proportion to the corpus. Copies inside a batch are settled before the shuffle, so an anchor in a
-third of all documents sends one row per batch and different segment.
+Everything that one task gathers at once is a bucket: the anchors' and documents' hash spaces are split
+in proportion to the corpus, and a task takes several buckets one after the other (``MOST_PARTS`` tasks).
+Copies inside a batch get their representative before the shuffle, so an anchor in a third of all
+documents sends one row per batch and different segment, and a place per member. An anchor with over
+``HOT`` different segments is dealt by single windows: the windows' own hashes name the buckets, copies
+inside a batch and equal segments are covered at once, and the rest goes through the transforms.
 
 Defined cases: null counts as empty; documents under ``length`` bytes lose nothing; rows that repeat
 a ``doc_id`` with the same text are one document and lose the same bytes, with another text they are
@@ -35,13 +39,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dawnpress.llm.textscan import _BYTE, U64, _powers, bytes_and_bounds, mix, portions
+from dawnpress.llm.textscan import _BYTE, MULTIPLIERS, U64, _powers, bytes_and_bounds, mix, portions
 from dawnpress.plans.lineage import cut
 
 GRAM = 32
 NULL_ID = -(1 << 63)
 #: Windows that are scanned at once; text bytes for each bucket; strings of a shard.
 PART, BUCKET_BYTES, SHARD = 1 << 20, 12 << 20, 1024
+#: Tasks of a stage at most; each takes its buckets one after the other.
+MOST_PARTS = 8192
 #: Bytes of a symbol; open bytes of a bucket; different segments around an anchor that are dealt by
 #: single windows instead.
 WIDTH, OPEN_BYTES, HOT = 20, 1 << 20, 4096
@@ -94,7 +100,7 @@ def segments(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _scan(docs: DataFrame, length: int, buckets: int, groups: int, versions: bool) -> DataFrame:
-    """kind 0: segments, by anchor bucket; kind 1: covered runs, by document bucket."""
+    """By anchor bucket: representatives (kind 0) and their members (kind 3), as far as a batch knows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,12 +120,13 @@ def _scan(docs: DataFrame, length: int, buckets: int, groups: int, versions: boo
                 continue
             s = np.concatenate(got)
             first, again = earliest(s)
-            yield from _emit([(0, first, first["anchor"] % U64(buckets)), (1, runs(again), np.mod(again["doc"], groups))])
+            yield from _emit([(0, first, first["anchor"] % U64(buckets)), (3, again, again["anchor"] % U64(buckets))])
 
     return docs.mapInArrow(scan, _BLOBS)
 
 
 _BLOBS = "kind int, bucket long, rows binary"
+_PIECES = f"{_BLOBS}, bytes binary"
 
 
 def _emit(parts) -> Iterator[pa.RecordBatch]:
@@ -156,41 +163,73 @@ def earliest(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[new], s[~new & ~here & ~at_lead]
 
 
+def _key(s: np.ndarray) -> np.ndarray:
+    """One number for what copies have in common."""
+    return mix(s["anchor"] * MULTIPLIERS[50] ^ s["same"])
+
+
+def _owner(members: np.ndarray, reps: np.ndarray) -> np.ndarray:
+    """Which representative each member has."""
+    key = _key(reps)
+    order = np.argsort(key)
+    return order[np.searchsorted(key[order], _key(members))]
+
+
+def _dealt(blobs: DataFrame, buckets: int) -> DataFrame:
+    return blobs.repartition(min(buckets, MOST_PARTS), "bucket").sortWithinPartitions("bucket", "kind")
+
+
 def _settle(blobs: DataFrame, buckets: int, groups: int) -> DataFrame:
-    """kind 1: covered runs; kind 2: open segments; both by document bucket."""
+    """kind 1: covered runs, by document bucket; kind 2: representatives to open, by document bucket; kind 3:
+    their members, by anchor bucket."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
+        at, held, members = None, [], []
         for batch in batches:
             for kind, bucket, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if kind:
-                    yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([bucket], pa.int64()), pa.array([rows.as_py()], pa.binary())], ["kind", "bucket", "rows"])
-                    continue
                 if bucket != at and held:
-                    yield from close(held)
-                    held = []
+                    yield from close(held, members)
+                    held, members = [], []
                 at = bucket
-                held.append(unpack(rows.as_buffer(), SEGMENT))
+                (members if kind else held).append(unpack(rows.as_buffer(), SEGMENT))
         if held:
-            yield from close(held)
+            yield from close(held, members)
 
-    def close(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def close(held: list[np.ndarray], members: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         first, again = earliest(np.concatenate(held))
+        again = np.concatenate([again, *members])
         same = first["anchor"][1:] == first["anchor"][:-1]
         many = np.append(False, same) | np.append(same, False)
+        owner = _owner(again, first)
+        many[owner] = True
+        _, which, count = np.unique(first["anchor"], return_inverse=True, return_counts=True)
+        hot = count[which] > HOT
+        loose = hot[owner]
+        first["same"][hot] = 0
         opened = first[many]
-        _, which, count = np.unique(opened["anchor"], return_inverse=True, return_counts=True)
-        opened["same"][count[which] > HOT] = 0
-        yield from _emit([(1, runs(again), np.mod(again["doc"], groups)), (2, opened, np.mod(opened["doc"], groups))])
+        yield from _emit([(1, runs(again[loose]), np.mod(again["doc"][loose], groups)), (2, opened, np.mod(opened["doc"], groups)), (3, again[~loose], again["anchor"][~loose] % U64(buckets))])
+
+    return _dealt(blobs, buckets).mapInArrow(settle, _BLOBS)
+
+
+def _members(blobs: DataFrame, buckets: int) -> DataFrame:
+    """Members beside their representatives' pieces, by anchor bucket."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in batch.column(2):
+                s = unpack(rows.as_buffer(), SEGMENT)
+                for x in _emit([(3, s, s["anchor"] % U64(buckets))]):
+                    yield x.append_column("bytes", pa.nulls(len(x), pa.binary()))
 
-    return blobs.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(settle, _BLOBS)
+    return blobs.mapInArrow(deal, _PIECES)
 
 
 def _beside_texts(blobs: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
     """Texts and the blobs of their document bucket in one partition, the blobs of a bucket first."""
     texts = docs.select(F.pmod(F.coalesce("doc_id", F.lit(NULL_ID)), F.lit(groups)).alias("bucket"), F.lit(9).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("rows"))
     rows = blobs.select("bucket", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "rows")
-    return texts.unionByName(rows).repartition(groups, "bucket").sortWithinPartitions("bucket", "kind")
+    return _dealt(texts.unionByName(rows), groups)
 
 
 def _with_rows(batches: Iterator[pa.RecordBatch], kind: np.dtype, versions: bool) -> Iterator[tuple[int | None, np.ndarray, np.ndarray]]:
@@ -258,7 +297,7 @@ def _pieces(blobs: DataFrame, docs: DataFrame, groups: int, buckets: int, length
         if segs:
             yield from flush()
 
-    return _beside_texts(blobs, docs, groups).mapInArrow(fetch, "kind int, bucket long, rows binary, bytes binary")
+    return _beside_texts(blobs, docs, groups).mapInArrow(fetch, _PIECES)
 
 
 def _windows(s: np.ndarray, raw: bytes, length: int) -> np.ndarray:
@@ -323,16 +362,19 @@ class ShardTransform:
 
 
 def merge_transforms(shards: list[ShardTransform], symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """(interleave, block of each suffix by its first ``symbols`` symbols), by iterative refinement."""
+    """(interleave, for each suffix the symbols that it shares with the one before it, ``symbols`` at most),
+    by iterative refinement."""
     sizes = [len(s.transform) for s in shards]
     total, ends = sum(sizes), sum(s.ends for s in shards)
     kind = np.uint8 if len(shards) < 256 else np.uint16
     bwt = np.concatenate([s.transform for s in shards])
     interleave = np.repeat(np.arange(len(shards)), sizes).astype(kind)
     block = np.zeros(total, np.int32)
+    common = np.full(total, symbols, np.int16)
+    common[0] = 0
     first_ends = np.repeat(np.arange(len(shards)), [s.ends for s in shards]).astype(kind)
     here = np.empty(total, bwt.dtype)
-    for _ in range(symbols):
+    for done in range(symbols):
         here[np.argsort(interleave, kind="stable")] = bwt
         moved = np.argsort(here, kind="stable")
         symbol, was = here[moved], block[moved]
@@ -343,10 +385,11 @@ def merge_transforms(shards: list[ShardTransform], symbols: int) -> tuple[np.nda
         np.not_equal(was[1:], was[:-1], out=border[1:])
         border[1:] |= symbol[1:] != symbol[:-1]
         border[: min(ends + 1, total)] = True
+        common[border & (common == symbols)] = done  # a border stays where it appeared
         block = np.cumsum(border, dtype=np.int32)
         if block[-1] == total:
             break
-    return interleave, block
+    return interleave, common
 
 
 def _symbols(data: np.ndarray, width: int) -> np.ndarray:
@@ -364,22 +407,32 @@ def symbol_width(length: int) -> int:
     return next(w for w in range(min(WIDTH, length), 0, -1) if length % w == 0)
 
 
-def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int = SHARD) -> np.ndarray:
-    """Runs of windows of the open segments ``segs`` (bytes one after the other in ``data``) that an
-    earlier equal window covers."""
+def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int | None = None, members: np.ndarray | None = None) -> np.ndarray:
+    """Runs of windows that an earlier equal window covers, of the segments ``segs`` (bytes one after the other
+    in ``data``) and of their ``members``."""
+    shard = shard or SHARD
     size = segs["n"].astype(np.int64) + length - 1
     start = np.cumsum(size) - size
     width = symbol_width(length)
     symbols = _symbols(data, width)
     cuts = list(range(0, len(segs), shard))
     shards = [ShardTransform(symbols, start[a : a + shard], size[a : a + shard], width) for a in cuts]
-    interleave, block = merge_transforms(shards, length // width)
+    interleave, common = merge_transforms(shards, length // width)
     order = np.argsort(interleave, kind="stable")
-    seg, place = np.empty(len(block), np.int64), np.empty(len(block), np.int64)
+    seg, place = np.empty(len(common), np.int64), np.empty(len(common), np.int64)
     seg[order] = np.concatenate([s.string + a for s, a in zip(shards, cuts, strict=True)])
     place[order] = np.concatenate([s.place for s in shards])
+    block = np.cumsum(common < length // width)
     ok = place < segs["n"][seg]
     block, seg, place = block[ok], seg[ok], place[ok]
+    found = []
+    if members is not None and len(members):
+        owner = _owner(members, segs)
+        copies = 1 + np.bincount(owner, minlength=len(segs))
+        repeated = np.bincount(block, copies[seg])[block] > 1
+        # members are equal to their representative, so its repeated windows are theirs
+        times = np.bincount(seg[repeated], minlength=len(segs))
+        found.append(runs(members[times[owner] == segs["n"][owner]]))
     doc, ver, at = segs["doc"][seg], segs["ver"][seg], segs["at"][seg] + place
     by = np.lexsort((at, ver, doc, block))
     block, doc, ver, at = block[by], doc[by], ver[by], at[by]
@@ -387,7 +440,7 @@ def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int
     later = (doc != doc[lead]) | (ver != ver[lead]) | (at != at[lead])
     out = np.empty(int(later.sum()), RUN)
     out["doc"], out["ver"], out["at"], out["n"] = doc[later], ver[later], at[later], 1
-    return join_runs(out)
+    return join_runs(np.concatenate([out, *found]))
 
 
 def join_runs(r: np.ndarray) -> np.ndarray:
@@ -410,26 +463,27 @@ def join_runs(r: np.ndarray) -> np.ndarray:
 
 def _merge(pieces: DataFrame, buckets: int, groups: int, length: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, segs, texts = None, [], []
+        at, segs, texts, members = None, [], [], []
         for batch in batches:
             for kind, bucket, rows, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if kind == 1:
                     yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([bucket], pa.int64()), pa.array([rows.as_py()], pa.binary())], ["kind", "bucket", "rows"])
                     continue
                 if bucket != at and segs:
-                    yield from close(segs, texts)
-                    segs, texts = [], []
+                    yield from close(segs, texts, members)
+                    segs, texts, members = [], [], []
                 at = bucket
-                segs.append(unpack(rows.as_buffer(), SEGMENT))
-                texts.append(np.frombuffer(raw.as_buffer(), np.uint8))
+                (segs if kind == 2 else members).append(unpack(rows.as_buffer(), SEGMENT))
+                if kind == 2:
+                    texts.append(np.frombuffer(raw.as_buffer(), np.uint8))
         if segs:
-            yield from close(segs, texts)
+            yield from close(segs, texts, members)
 
-    def close(segs: list[np.ndarray], texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = covered_windows(np.concatenate(segs), np.concatenate(texts), length)
+    def close(segs: list[np.ndarray], texts: list[np.ndarray], members: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = covered_windows(np.concatenate(segs), np.concatenate(texts), length, members=np.concatenate(members) if members else None)
         yield from _emit([(1, found, np.mod(found["doc"], groups))])
 
-    return pieces.repartition(buckets, "kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(work, _BLOBS)
+    return _dealt(pieces, buckets).mapInArrow(work, _BLOBS)
 
 
 def _finish(runs_by_doc: DataFrame, docs: DataFrame, groups: int, length: int, versions: bool) -> DataFrame:
@@ -475,5 +529,6 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     opened = settled.where("kind = 2")
     packed = opened.agg(F.sum(F.length("rows"))).first()[0] or 0
     open_buckets = max(8, -(-int(packed) // SEGMENT.itemsize * (length + GRAM) // OPEN_BYTES))
-    merged = cut(_merge(_pieces(opened, docs, groups, open_buckets, length, versions), open_buckets, groups, length), "merged")
+    pieces = _pieces(opened, docs, groups, open_buckets, length, versions).unionByName(_members(settled.where("kind = 3"), open_buckets))
+    merged = cut(_merge(pieces, open_buckets, groups, length), "merged")
     return _finish(settled.where("kind = 1").unionByName(merged), docs, groups, length, versions)

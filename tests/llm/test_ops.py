@@ -108,7 +108,7 @@ def brute_repeats(rows, length=100):
 
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_suffix_dedup(which, request):
-    df = request.getfixturevalue(which).where("doc_id is null or doc_id not in (10, 11)")
+    df = request.getfixturevalue(which)
     got = {tuple(r) for r in bwt_dedup.remove_repeats(df).collect()}
     assert got == set(brute_repeats(pairs(df)))
 
@@ -118,9 +118,48 @@ def test_suffix_dedup_empty_and_hot(empty, docs, monkeypatch):
     want = {tuple(r) for r in bwt_dedup.remove_repeats(docs).collect()}
     monkeypatch.setattr(bwt_dedup, "HOT", 1)
     monkeypatch.setattr(bwt_dedup, "SHARD", 3)
+    monkeypatch.setattr(bwt_dedup, "PART", 200)  # texts are scanned in many parts
+    monkeypatch.setattr(bwt_dedup, "MOST_PARTS", 3)  # and a task takes several buckets
     assert {tuple(r) for r in bwt_dedup.remove_repeats(docs).collect()} == want
 
 
+def test_merged_transforms():
+    """Against sorted suffixes: the order's common prefixes, over texts with many repeats."""
+    r = np.random.default_rng(2)
+    words = [bytes(r.integers(97, 99, 12).astype(np.uint8)) for _ in range(3)]
+    texts = [b"".join(words[k] for k in r.integers(0, 3, n)) for n in (4, 9, 1, 6, 6, 2, 7)]
+    data, size = np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts])
+    width, most = 2, 5
+    start = np.cumsum(size) - size
+    symbols = bwt_dedup._symbols(data, width)
+    shards = [bwt_dedup.ShardTransform(symbols, start[a : a + 3], size[a : a + 3], width) for a in (0, 3, 6)]
+    interleave, common = bwt_dedup.merge_transforms(shards, most)
+    order = np.argsort(interleave, kind="stable")
+    text, place = np.empty(len(common), int), np.empty(len(common), int)
+    text[order] = np.concatenate([s.string + a for s, a in zip(shards, (0, 3, 6), strict=True)])
+    place[order] = np.concatenate([s.place for s in shards])
+    suffix = [[texts[t][p + k : p + k + width] for k in range(0, len(texts[t]) - p - width + 1, width)][:most] for t, p in zip(text, place, strict=True)]
+    for k in range(1, len(suffix)):
+        a, b = suffix[k - 1], suffix[k]
+        same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        assert common[k] == same or (not a and not b and common[k] == 0)
+    whole = [(tuple(x)) for x in suffix if len(x) == most]
+    assert len({w for w in whole}) == sum(common[k] < most for k in range(len(suffix)) if len(suffix[k]) == most)
+
+
+def test_covered_windows_with_members():
+    r = np.random.default_rng(4)
+    base = bytes(r.integers(97, 123, 400).astype(np.uint8))
+    texts = {1: base[:150], 2: base[20:180], 3: base[:150], 9: base[:150], 11: base[300:400]}
+    rows = np.zeros(5, bwt_dedup.SEGMENT)
+    for k, (doc, t) in enumerate(texts.items()):
+        rows[k]["doc"], rows[k]["n"], rows[k]["anchor"], rows[k]["same"] = doc, len(t) - 99, 7, zlib.crc32(t)
+    reps, members = rows[[0, 1, 4]], rows[[2, 3]]
+    data = np.frombuffer(b"".join(texts[d] for d in reps["doc"].tolist()), np.uint8)
+    got = {tuple(x) for x in bwt_dedup.covered_windows(reps, data, 100, shard=1, members=members).tolist()}
+    assert got == {(3, 0, 0, 51), (9, 0, 0, 51), (2, 0, 0, 31)}  # doc, version, from, windows
+
+
 @pytest.mark.parametrize("which", ["odd", "docs", "empty"])
 def test_token_store(spark, which, request, tmp_path):
     from tokenizers import Tokenizer
