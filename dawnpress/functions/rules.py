@@ -1,4 +1,8 @@
-"""Rule classifiers compiled into column expressions: impact, direction, tax, AI, disaster."""
+"""Rule classifiers compiled into column expressions: impact, direction, tax, AI, disaster.
+
+A rule looks at a text's padded words once: they are bound to a name (:func:`_let`), and each phrase is
+looked up in what is bound. An expression inside a lambda is otherwise evaluated again for every phrase.
+"""
 
 from __future__ import annotations
 
@@ -6,48 +10,73 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from dawnpress.functions import fixed_values as V
-from dawnpress.functions.text import padded, word_list, word_set
+from dawnpress.functions.text import padded, word_list
 
 
-def has_phrase(text: Column, phrases: list[str]) -> Column:
+def _let(value: Column, body) -> Column:
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _texts(title: str, summary: str, body) -> Column:
+    """``body`` of the padded title and the padded title with summary."""
+    return _let(F.struct(padded(title).alias("head"), padded(title, summary).alias("whole")), lambda t: body(t["head"], t["whole"]))
+
+
+def _has(text: Column, phrases: list[str]) -> Column:
+    """Whether a padded text that is bound already holds one of the phrases, as whole words."""
     return F.exists(F.array(*(F.lit(f" {p} ") for p in phrases)), lambda p: F.contains(text, p))
 
 
+def _label(text: Column, groups: dict[str, list[str]]) -> Column:
+    return F.coalesce(*(F.when(_has(text, p), F.lit(label)) for label, p in groups.items()))
+
+
+def has_phrase(text: Column, phrases: list[str]) -> Column:
+    return _let(text, lambda t: _has(t, phrases))
+
+
 def first_label(text: Column, groups: dict[str, list[str]]) -> Column:
-    return F.coalesce(*(F.when(has_phrase(text, p), F.lit(label)) for label, p in groups.items()))
+    return _let(text, lambda t: _label(t, groups))
 
 
-def has_word(words: Column, wanted: list[str]) -> Column:
-    return F.arrays_overlap(words, F.array(*map(F.lit, wanted)))
+def _disaster(whole: Column) -> Column:
+    return _has(whole, V.DISASTER_EVENTS) & _has(whole, V.DISASTER_SCALE)
 
 
 def disaster(title: str, summary: str) -> Column:
-    w = word_set(title, summary)
-    return has_word(w, V.DISASTER_EVENTS) & has_word(w, V.DISASTER_SCALE)
+    return _texts(title, summary, lambda head, whole: _disaster(whole))
 
 
 def impact(title: str = "title", summary: str = "summary", n_media: str = "n_media", weight: str = "weight") -> Column:
     """``struct(impact, reason)``; 0 discards."""
-    text = padded(title, summary)
-    big, medium, crash = first_label(text, V.BIG_PHRASES), first_label(text, V.MEDIUM_PHRASES), disaster(title, summary)
     primary = F.col(weight) >= V.PRIMARY_WEIGHT
-    noise = big.isNull() & (has_phrase(text, V.DISCARD_PHRASES) | (~crash & has_phrase(text, V.ACCIDENT_PHRASES)))
     level = lambda n, reason: F.struct(F.lit(n).alias("impact"), reason.cast("string").alias("reason"))
-    return (
-        F.when(noise, level(0, F.lit(None)))
-        .when(big.isNotNull() | (F.col(n_media) >= V.WIDE_MEDIA), level(3, F.coalesce(big, F.lit(V.LABELS["wide"]))))
-        .when(crash, level(2, F.lit(V.LABELS["disaster"])))
-        .when(medium.isNotNull(), level(2, medium))
-        .when((F.col(n_media) >= V.SOME_MEDIA) | primary, level(2, F.when(primary, V.LABELS["primary"]).otherwise(V.LABELS["wider"])))
-        .otherwise(level(1, F.lit(None)))
-    )
+
+    def found(whole: Column) -> Column:
+        return F.struct(
+            _label(whole, V.BIG_PHRASES).alias("big"), _label(whole, V.MEDIUM_PHRASES).alias("medium"), _disaster(whole).alias("crash"),
+            _has(whole, V.DISCARD_PHRASES).alias("discard"), _has(whole, V.ACCIDENT_PHRASES).alias("accident"),
+        )
+
+    def judge(x: Column) -> Column:
+        noise = x["big"].isNull() & (x["discard"] | (~x["crash"] & x["accident"]))
+        return (
+            F.when(noise, level(0, F.lit(None)))
+            .when(x["big"].isNotNull() | (F.col(n_media) >= V.WIDE_MEDIA), level(3, F.coalesce(x["big"], F.lit(V.LABELS["wide"]))))
+            .when(x["crash"], level(2, F.lit(V.LABELS["disaster"])))
+            .when(x["medium"].isNotNull(), level(2, x["medium"]))
+            .when((F.col(n_media) >= V.SOME_MEDIA) | primary, level(2, F.when(primary, V.LABELS["primary"]).otherwise(V.LABELS["wider"])))
+            .otherwise(level(1, F.lit(None)))
+        )
+
+    return _let(_texts(title, summary, lambda head, whole: found(whole)), judge)
 
 
 def _any_marker(title: Column, whole: Column, markers: list[str], ambiguous: dict[str, list[str]], companions: bool) -> Column:
-    out = has_phrase(title, markers)
+    out = _has(title, markers)
     for word, others in ambiguous.items():
-        beside = has_phrase(whole, others)
-        out = out | (has_phrase(title, [word]) & (beside if companions else ~beside))
+        beside = _has(whole, others)
+        out = out | (F.contains(title, F.lit(f" {word} ")) & (beside if companions else ~beside))
     return out
 
 
@@ -58,41 +87,56 @@ def _ends(column: str, ends: list[str]) -> Column:
     return out
 
 
+def _is_tax(head: Column, whole: Column, domain: str) -> Column:
+    return ~F.col(domain).isin(V.TAX_FOREIGN) & _any_marker(head, whole, V.TAX_MARKERS, V.TAX_AMBIGUOUS, False)
+
+
+def _is_ai(head: Column, whole: Column, title: str) -> Column:
+    return F.col(title).rlike(V.AI_CAPITALS) | _any_marker(head, whole, V.AI_MARKERS, V.AI_AMBIGUOUS, True)
+
+
+def _ai_discard(head: Column, title: str, domain: str) -> Column:
+    return _has(head, V.AI_DISCARD) | F.col(domain).isin(V.AI_DISCARD_DOMAINS) | _ends(domain, V.AI_DISCARD_ENDS) | F.col(title).rlike(r"(?U)(\.\.\.|…)\s*$")
+
+
 def tax_class(title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
     """``struct(is_tax, regional, discard, topic)``."""
-    head, whole = padded(title), padded(title, summary)
-    regional = has_phrase(whole, V.TAX_REGIONAL) | _ends(domain, V.REGIONAL_DOMAINS)
-    return F.struct(
-        (~F.col(domain).isin(V.TAX_FOREIGN) & _any_marker(head, whole, V.TAX_MARKERS, V.TAX_AMBIGUOUS, False)).alias("is_tax"),
-        regional.alias("regional"),
-        has_phrase(head, V.TAX_DISCARD).alias("discard"),
-        F.when(regional, V.TAX_REGIONAL_TOPIC).otherwise(first_label(whole, V.TAX_TOPICS)).alias("topic"),
-    )
+
+    def judge(head: Column, whole: Column) -> Column:
+        regional = _has(whole, V.TAX_REGIONAL) | _ends(domain, V.REGIONAL_DOMAINS)
+        return F.struct(
+            _is_tax(head, whole, domain).alias("is_tax"), regional.alias("regional"), _has(head, V.TAX_DISCARD).alias("discard"),
+            F.when(regional, V.TAX_REGIONAL_TOPIC).otherwise(_label(whole, V.TAX_TOPICS)).alias("topic"),
+        )
+
+    return _texts(title, summary, judge)
 
 
 def ai_class(title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
     """``struct(is_ai, discard, topic)``."""
-    head, whole = padded(title), padded(title, summary)
-    return F.struct(
-        (F.col(title).rlike(V.AI_CAPITALS) | _any_marker(head, whole, V.AI_MARKERS, V.AI_AMBIGUOUS, True)).alias("is_ai"),
-        (has_phrase(head, V.AI_DISCARD) | F.col(domain).isin(V.AI_DISCARD_DOMAINS) | _ends(domain, V.AI_DISCARD_ENDS) | F.col(title).rlike(r"(?U)(\.\.\.|…)\s*$")).alias("discard"),
-        first_label(whole, V.AI_TOPICS).alias("topic"),
-    )
+    return _texts(title, summary, lambda head, whole: F.struct(_is_ai(head, whole, title).alias("is_ai"), _ai_discard(head, title, domain).alias("discard"), _label(whole, V.AI_TOPICS).alias("topic")))
+
+
+def ai_pool(category: str = "category", title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
+    """Whether the AI section will take an event, which the tax section has not taken first."""
+
+    def judge(head: Column, whole: Column) -> Column:
+        candidate = (F.col(category) == "ai") | F.col(category).isin(V.AI_MOVES_FROM)
+        to_tax = F.col(category).isin(V.TAX_MOVES_FROM) & _is_tax(head, whole, domain)
+        return candidate & _is_ai(head, whole, title) & ~_ai_discard(head, title, domain) & ~to_tax
+
+    return _texts(title, summary, judge)
 
 
 def relevant(category: str = "category", title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
     bank = F.col(domain).isin(V.CENTRAL_BANKS)
-    politics = has_word(word_set(title, summary), V.POLITICS_WORDS) | disaster(title, summary)
-    return F.when(bank, has_word(word_set(title), V.CENTRAL_BANK_WORDS)).when(F.col(category) == "politik", politics).otherwise(F.lit(True))
+    judge = lambda head, whole: F.when(bank, _has(head, V.CENTRAL_BANK_WORDS)).when(F.col(category) == "politik", _has(whole, V.POLITICS_WORDS) | _disaster(whole)).otherwise(F.lit(True))
+    return _texts(title, summary, judge)
 
 
 # -- direction (sentiment) -------------------------------------------------------------------------
 
 
-def _let(value: Column, body) -> Column:
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _set(words: list[str]) -> Column:
     return F.array(*map(F.lit, words))
 

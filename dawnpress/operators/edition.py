@@ -40,10 +40,7 @@ def with_defaults(articles: DataFrame) -> DataFrame:
 
 def merge_ai(events: DataFrame, threshold: float = V.AI_THRESHOLD) -> DataFrame:
     """Second clustering, looser, among the events that the AI section will take."""
-    tax, ai = rules.tax_class(), rules.ai_class()
-    taken_by_tax = F.col("category").isin(V.TAX_MOVES_FROM) & tax["is_tax"]
-    candidate = (F.col("category") == "ai") | F.col("category").isin(V.AI_MOVES_FROM)
-    pool = events.where(candidate & ~taken_by_tax & ai["is_ai"] & ~ai["discard"])
+    pool = cut(events.where(rules.ai_pool()), "pool")
     groups = clusters(pool.select("edition", F.col("event_id").alias("article_id"), "title"), threshold).select(F.col("article_id").alias("event_id"), F.col("event_id").alias("merged"))
     m = pool.join(groups, "event_id")
     lead = F.struct(F.col("n_media"), F.col("published_at"), (-F.col("event_id")).alias("i"))
@@ -107,7 +104,10 @@ def order_keys() -> list[Column]:
 def sections(events: DataFrame) -> DataFrame:
     """The displayed events with ``section`` and ``rank``. Events of the top block leave their own section;
     those that overflow it return to theirs. Each ranking is a top-k, which Spark limits before it shuffles."""
-    ok = events.where(passes())
+    return _ranked(events.where(passes()))
+
+
+def _ranked(ok: DataFrame) -> DataFrame:
     limits = F.create_map(*(F.lit(x) for kv in V.SECTION_LIMITS.items() for x in kv))
     top = ok.where("impact = 3").withColumn("rank", F.row_number().over(Window.partitionBy("edition").orderBy(*order_keys()))).where(F.col("rank") <= V.TOP_LIMIT).withColumn("section", F.lit(V.TOP_SECTION))
     rest = ok.join(top.select("edition", "event_id"), ["edition", "event_id"], "left_anti").where(F.col("category").isin(list(V.SECTION_LIMITS)))
@@ -121,7 +121,7 @@ def compose(articles: DataFrame, merge: bool = True) -> DataFrame:
     by the next, so it is written first."""
     events = cut(events_of(with_defaults(articles)), "events")
     merged = cut(merge_ai(events), "merged") if merge else events
-    return sections(cut(reroute(cut(score(merged), "scored")), "routed"))
+    return _ranked(cut(reroute(cut(score(merged), "scored")).where(passes()), "routed"))
 
 
 def totals(articles: DataFrame) -> DataFrame:

@@ -5,19 +5,50 @@ so that long paths contract by a constant share), renames both ends of all edges
 and repeats. The graph shrinks geometrically; no round gathers the neighbours of a node in one
 place: ``min`` combines before the shuffle, and the edges of a node with very many of them stay where
 they are when they are renamed. Every round is written to the shared folder, so a lost executor
-repeats one round at most. Names are then carried back from the last round to the first; what is no
+repeats one round at most. What is left when ``LAST_EDGES`` edges are, one task settles. Names are then carried back from the last round to the first; what is no
 longer read is deleted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from dawnpress.plans.lineage import cut, drop
 from dawnpress.plans.skew import hot_keys, join_spread
 
 MAX_ROUNDS = 200
+#: So many edges (16 MB) are settled by one task.
+LAST_EDGES = 1 << 20
+
+
+def _settled(edges: DataFrame) -> DataFrame:
+    """``u, p``: each node with the smallest node that it reaches, by a single task."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), pa_schema)
+        ends = np.concatenate([table.column(k).to_numpy() for k in ("u", "v")])
+        nodes, at = np.unique(ends, return_inverse=True)
+        a, b = np.split(at, 2)
+        label = np.arange(len(nodes))
+        while True:
+            x, y = label[a], label[b]
+            if np.array_equal(x, y):
+                break
+            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))  # a root joins a smaller one
+            while not np.array_equal(up := label[label], label):
+                label = up
+        kind = pa_schema.field("u").type
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, kind), pa.array(nodes[label], kind)], ["u", "p"])
+
+    pa_schema = to_arrow_schema(edges.schema)
+    kind = edges.schema["u"].dataType.simpleString()
+    return edges.coalesce(1).mapInArrow(settle, f"u {kind}, p {kind}")
 
 
 def connected_components(edges: DataFrame, src: str = "u", dst: str = "v") -> DataFrame:
@@ -29,7 +60,10 @@ def connected_components(edges: DataFrame, src: str = "u", dst: str = "v") -> Da
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
     current, rounds = cut(pairs.where("u <> v").distinct(), "edges"), []
     spark = current.sparkSession
-    while not current.isEmpty():
+    while n := current.count():
+        if n <= LAST_EDGES:
+            rounds.append(cut(_settled(current), "parents"))
+            break
         if len(rounds) == MAX_ROUNDS:
             raise RuntimeError("components did not settle")
         order = lambda c, r=len(rounds) // 2: F.struct(F.xxhash64(F.lit(r), F.col(c)).alias("h"), F.col(c).alias("x"))

@@ -182,15 +182,15 @@ def test_stream_appends_once(spark, tmp_path):
 
 def test_components_of_hubs(spark, monkeypatch):
     """A star, a long path, loops, repeats and null ends, with every key hot or none."""
-    from dawnpress.plans import skew
+    from dawnpress.plans import components, skew
 
     star = [(0, k) for k in range(1, 400)] + [(k, 0) for k in range(1, 50)]
     path = [(1000 + k, 1001 + k) for k in range(150)]
     edges = spark.createDataFrame([*star, *path, (5000, 5000), (0, 0), (None, 3), (7000, 7001)], "u long, v long")
     want = {(k, 0) for k in range(400)} | {(1000 + k, 1000) for k in range(151)} | {(5000, 5000), (7000, 7000), (7001, 7000)}
-    for least, keys in ((1000, 1024), (2, 1024)):
+    for least, last in ((1000, 1 << 20), (1000, 30), (2, 0)):
         monkeypatch.setattr(skew, "LEAST_ROWS", least)
-        monkeypatch.setattr(skew, "HOT_KEYS", keys)
+        monkeypatch.setattr(components, "LAST_EDGES", last)
         got = [tuple(r) for r in connected_components(edges).collect()]
         assert len(got) == len(want) and set(got) == want
     assert connected_components(edges.where("false")).count() == 0
