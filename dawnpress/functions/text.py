@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,10 +28,6 @@ def word_list(*parts: str | Column) -> Column:
     return F.filter(F.split(padded(*parts), " "), lambda w: w != "")
 
 
-def word_set(*parts: str | Column) -> Column:
-    return F.array_distinct(word_list(*parts))
-
-
 def stem(word: Column) -> Column:
     """At most one suffix, then at most one prefix, each leaving enough; too short a rest is undone."""
     cut = word
@@ -75,16 +75,41 @@ def strip(text: str | Column) -> Column:
     return F.regexp_replace(_c(text), r"(?U)^\s+|\s+$", "")
 
 
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&eacute;", "é"), ("&amp;", "&")]
+#: Python's own tables of HTML: names that end in ``;``, older names that need none (the longest that
+#: fits counts), and what stands for code points that HTML does not allow.
+_NAMED = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+_BARE = {k: v for k, v in html5.items() if not k.endswith(";")}
+_CODES = {str(k): v for k, v in html._invalid_charrefs.items()} | {str(k): "" for k in html._invalid_codepoints if k not in html._invalid_charrefs}
+_BARE_NAME = f"^({'|'.join(sorted(_BARE, key=lambda k: (-len(k), k)))})"
+
+
+def _table(rows: dict[str, str]) -> Column:
+    return F.from_json(F.lit(json.dumps(rows)), "map<string,string>")
 
 
 def unescape(text: str | Column) -> Column:
-    """The entities that feeds use; ``&amp;`` last, so that one level is undone. Feeds with rarer ones go
-    through :func:`dawnpress.sources.feeds.parse_feeds`, which knows all."""
-    out = _c(text)
-    for entity, char in _ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """All named and numeric entities, one level of them."""
+
+    def one(part: Column) -> Column:
+        number = F.regexp_extract(part, "^#([0-9]{1,9}|[xX][0-9A-Fa-f]{1,8});?", 1)
+        name, bare = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]{0,31});", 1), F.regexp_extract(part, _BARE_NAME, 1)
+        code = F.when(F.lower(F.substring(number, 1, 1)) == "x", F.conv(F.substring(number, 2, 9), 16, 10)).otherwise(number).cast("long")
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        by_code = (
+            F.when(F.element_at(_table(_CODES), code.cast("string")).isNotNull(), F.element_at(_table(_CODES), code.cast("string")))
+            .when((code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd")).otherwise(char)
+        )
+        rest = lambda used: F.substring(part, used + 1, F.length(part))
+        return (
+            F.when(number != "", F.concat(by_code, rest(F.length(F.regexp_extract(part, "^#[xX]?[0-9A-Fa-f]+;?", 0)))))
+            .when((name != "") & F.element_at(_table(_NAMED), name).isNotNull(), F.concat(F.element_at(_table(_NAMED), name), rest(F.length(name) + 1)))
+            .when(bare != "", F.concat(F.element_at(_table(_BARE), bare), rest(F.length(bare))))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    parts = F.split(_c(text), "&")
+    undone = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), one), ""))
+    return F.when(F.contains(_c(text), F.lit("&")), undone).otherwise(_c(text))
 
 
 def clean_html(text: str | Column, most: int = V.SUMMARY_CHARS) -> Column:
@@ -94,10 +119,15 @@ def clean_html(text: str | Column, most: int = V.SUMMARY_CHARS) -> Column:
     return F.when(tidy != "", F.substring(tidy, 1, most))
 
 
-def drop_source_suffix(title: str | Column, source: str | Column) -> Column:
+def without_source(title: str | Column, source: str | Column) -> Column:
+    """A title without its publisher's name at the end."""
     tail = F.concat(F.lit(" - "), _c(source))
     cut = F.when(_c(source).isNotNull() & (_c(source) != "") & F.endswith(_c(title), tail), F.substring(_c(title), F.lit(1), F.length(_c(title)) - F.length(tail))).otherwise(_c(title))
-    return unescape(strip(cut))
+    return strip(cut)
+
+
+def drop_source_suffix(title: str | Column, source: str | Column) -> Column:
+    return unescape(without_source(title, source))
 
 
 def useful_summary(summary: str | Column, title: str | Column) -> Column:

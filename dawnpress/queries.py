@@ -17,15 +17,15 @@ from dawnpress.sources import feeds, store
 CATEGORY = {"click": "makro", "view": "global", "purchase": "pasar", "signup": "politik", "error": "makro"}
 
 
-def articles(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
-    """Articles over the driver's tables, with their edition. ``whole``: the title is the whole first line;
-    queries with SQL take 120 characters of it, as their SQL does."""
+def articles(spark: SparkSession, d: str) -> DataFrame:
+    """Articles over the driver's tables, with their edition: the title is the first line, the summary has the
+    stored length."""
     line = F.split("text", "\n")[0]
     docs, ev = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/events.parquet")
     category = F.create_map(*(F.lit(x) for kv in CATEGORY.items() for x in kv))
     rows = docs.join(ev, docs["doc_id"] == ev["event_id"]).select(
         F.col("doc_id").alias("article_id"), F.concat(F.lit("https://"), "source", F.lit(".example/"), F.col("doc_id").cast("string")).alias("url"), F.col("source").alias("domain"),
-        (line if whole else F.substring(line, 1, 120)).alias("title"), F.substring("text", 1, 400).alias("summary"), F.col("ts").cast("timestamp_ntz").alias("published_at"),
+        line.alias("title"), F.substring("text", 1, V.SUMMARY_CHARS).alias("summary"), F.col("ts").cast("timestamp_ntz").alias("published_at"),
         category[F.col("event_type")].alias("category"), F.when(F.col("source") == "src0", 2.0).otherwise(1.0).alias("weight"), F.lit(None).cast("string").alias("image"), "lang",
     )
     return edition.with_edition(rows)
@@ -43,7 +43,7 @@ def _case(column: str, items: list[str], prefix: bool) -> str:
 
 
 _ART = f"""art as (
-  select doc_id article_id, 'https://' || source || '.example/' || doc_id url, source as "domain", substr(string_split(text, chr(10))[1], 1, 120) title, substr(text, 1, 400) summary, ts published_at,
+  select doc_id article_id, 'https://' || source || '.example/' || doc_id url, source as "domain", string_split(text, chr(10))[1] title, substr(text, 1, {V.SUMMARY_CHARS}) summary, ts published_at,
     case event_type {' '.join(f"when '{k}' then '{v}'" for k, v in CATEGORY.items())} end category, case when source = 'src0' then 2.0::double else 1.0::double end weight, lang,
     cast(ts + interval 2 hour as date) + 1 edition
   from documents join events on event_id = doc_id where ts is not null)"""
@@ -68,7 +68,7 @@ mem as (select art.*, event_id, popularity from art join comp using (article_id)
 rep as (select * from (select *, row_number() over (partition by event_id order by coalesce(summary, '') <> '' desc, length(coalesce(summary, '')) desc, popularity desc, published_at, article_id) k from mem) where k = 1),
 cat as (select event_id, category from (select event_id, category, row_number() over (partition by event_id order by count(*) desc, max(published_at) desc, min(article_id)) k from mem group by event_id, category) where k = 1),
 agg as (select event_id, count(distinct "domain") n_media, max(weight) weight, count(*) n_articles from mem group by 1),
-ev as (select rep.edition, event_id, rep.title, rep.url, rep."domain", rep.published_at, cat.category, n_media, agg.weight, n_articles from rep join cat using (event_id) join agg using (event_id))"""
+ev as (select rep.edition, event_id, rep.title, rep.summary, rep.url, rep."domain", rep.published_at, cat.category, n_media, agg.weight, n_articles from rep join cat using (event_id) join agg using (event_id))"""
 _TO_EVENT = f"with recursive {_ART}, {_TOK}, {_PAIR}, {_COMP}, {_EVENT}"
 
 #: Headlines for the rule queries: title, summary, domain, n_media, weight.
@@ -103,12 +103,29 @@ HEADLINES = [
 ]
 
 
-def headlines(spark: SparkSession) -> DataFrame:
+def fixed_headlines(spark: SparkSession) -> DataFrame:
     rows = [(i, *r) for i, r in enumerate(HEADLINES)]
     return spark.createDataFrame(rows, "id long, title string, summary string, domain string, n_media int, weight double").withColumn("category", F.lit("politik"))
 
 
+def headlines(spark: SparkSession, d: str) -> DataFrame:
+    """The fixed headlines, and one for each document: its first line before a fixed one, its text behind the
+    summary, its own domain for every fifth."""
+    fixed = fixed_headlines(spark)
+    docs = spark.read.parquet(f"{d}/documents.parquet").select((F.col("doc_id") + len(HEADLINES)).alias("i"), "text", "source")
+    of = F.broadcast(fixed.withColumnRenamed("id", "h"))
+    each = docs.join(of, F.pmod("i", F.lit(len(HEADLINES))) == F.col("h")).select(
+        F.col("i").alias("id"), F.concat_ws(" ", F.split("text", "\n")[0], "title").alias("title"), F.concat_ws(" ", "summary", "text").alias("summary"),
+        F.when(F.col("i") % 5 == 0, F.concat("source", F.lit(".example"))).otherwise(F.col("domain")).alias("domain"), "n_media", "weight", "category",
+    )
+    return fixed.unionByName(each)
+
+
 _HEAD = "h(id, title, summary, \"domain\", n_media, weight) as (values " + ", ".join(f"({i}::bigint, " + ", ".join("null" if x is None else "'" + x.replace("'", "''") + "'" for x in r[:3]) + f", {r[3]}, {r[4]}::double)" for i, r in enumerate(HEADLINES)) + ")"
+_N = len(HEADLINES)
+_HEADS = f"""f{_HEAD[1:]}, h as (select id, title, summary, "domain", n_media, weight from f union all
+  select d.doc_id + {_N}, concat_ws(' ', string_split(d.text, chr(10))[1], f.title), concat_ws(' ', f.summary, d.text), case when (d.doc_id + {_N}) % 5 = 0 then d.source || '.example' else f."domain" end, f.n_media, f.weight
+  from documents d join f on f.id = (d.doc_id + {_N}) % {_N})"""
 _PAD = r"""p as (select *, ' ' || trim(regexp_replace(lower(title), '[^\p{L}\p{N}]+', ' ', 'g')) || ' ' ti, ' ' || trim(regexp_replace(lower(title || ' ' || coalesce(summary, '')), '[^\p{L}\p{N}]+', ' ', 'g')) || ' ' tx from h)"""
 
 
@@ -215,49 +232,43 @@ def edition_totals(s, d):
     return edition.totals(articles(s, d))
 
 
-def _plain(events_df: DataFrame) -> DataFrame:
-    """Coverage alone decides impact (the driver's texts hold no phrase of the rules)."""
-    none = lambda t: F.lit(None).cast(t)
-    impact = F.when(F.col("n_media") >= V.WIDE_MEDIA, 3).when((F.col("n_media") >= V.SOME_MEDIA) | (F.col("weight") >= V.PRIMARY_WEIGHT), 2).otherwise(1)
-    return events_df.withColumn("impact", impact).withColumn("tax", none("struct<is_tax:boolean,regional:boolean,discard:boolean,topic:string>")).withColumn("ai", none("struct<is_ai:boolean,discard:boolean,topic:string>"))
-
-
 def edition_sections(s, d):
-    shown = edition.sections(_plain(events.events_of(articles(s, d))).where("category <> 'politik'"))
-    return shown.select("edition", "section", F.col("rank").cast("long").alias("rank"), "event_id", F.col("impact").cast("long").alias("impact"), "n_media", "weight", "title")
+    """Scored, routed and ranked, without the second clustering of :func:`edition_compose`."""
+    shown = edition.compose(articles(s, d), merge=False)
+    return shown.select("edition", "section", F.col("rank").cast("long").alias("rank"), "event_id", F.col("impact").cast("long").alias("impact"), "reason", "n_media", "weight", "title")
 
 
 def edition_compose(s, d):
-    return edition.compose(articles(s, d, whole=True)).select("edition", "section", "rank", "event_id", "impact", "reason", "sentiment", "n_media", "title")
+    return edition.compose(articles(s, d)).select("edition", "section", "rank", "event_id", "impact", "reason", "sentiment", "n_media", "title")
 
 
 def edition_pages(s, d):
-    a = articles(s, d, whole=True)
+    a = articles(s, d)
     return report.pages(edition.compose(a), edition.totals(a))
 
 
 def impact_score(s, d):
-    return headlines(s).withColumn("i", rules.impact()).select("id", F.col("i.impact").cast("long").alias("impact"), "i.reason")
+    return headlines(s, d).withColumn("i", rules.impact()).select("id", F.col("i.impact").cast("long").alias("impact"), "i.reason")
 
 
 def sentiment_headlines(s, d):
-    return headlines(s).withColumn("s", rules.direction()).select("id", "s.label", "s.score", F.col("s.trigger").alias("trigger_name"))
+    return fixed_headlines(s).withColumn("s", rules.direction()).select("id", "s.label", "s.score", F.col("s.trigger").alias("trigger_name"))
 
 
 def tax_class(s, d):
-    return headlines(s).withColumn("t", rules.tax_class()).select("id", "t.is_tax", "t.regional", "t.discard", "t.topic")
+    return headlines(s, d).withColumn("t", rules.tax_class()).select("id", "t.is_tax", "t.regional", "t.discard", "t.topic")
 
 
 def ai_class(s, d):
-    return headlines(s).withColumn("t", rules.ai_class()).select("id", "t.is_ai", "t.discard", "t.topic")
+    return headlines(s, d).withColumn("t", rules.ai_class()).select("id", "t.is_ai", "t.discard", "t.topic")
 
 
 def disaster_flag(s, d):
-    return headlines(s).select("id", rules.disaster("title", "summary").alias("disaster"), rules.relevant().alias("relevant"))
+    return headlines(s, d).select("id", rules.disaster("title", "summary").alias("disaster"), rules.relevant().alias("relevant"))
 
 
 def reroute_sections(s, d):
-    h = headlines(s).withColumn("category", F.element_at(F.array(F.lit("makro"), F.lit("politik"), F.lit("global"), F.lit("pajak"), F.lit("ai"), F.lit("pasar")), (F.col("id") % 6 + 1).cast("int"))).withColumn("i", rules.impact())
+    h = headlines(s, d).withColumn("category", F.element_at(F.array(F.lit("makro"), F.lit("politik"), F.lit("global"), F.lit("pajak"), F.lit("ai"), F.lit("pasar")), (F.col("id") % 6 + 1).cast("int"))).withColumn("i", rules.impact())
     r = edition.reroute(h.select("id", "title", "summary", "domain", "category", F.col("i.impact").alias("impact"), F.col("i.reason").alias("reason")))
     return r.select("id", "category", F.col("impact").cast("long").alias("impact"), "reason", edition.passes().alias("passes"))
 
@@ -270,18 +281,18 @@ def phrase_hits(s, d):
 
 
 def _states(s, d):
-    return s.read.parquet(f"{d}/events.parquet").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("url"), F.col("ts").alias("last_success"), F.col("event_id"), "event_type")
+    return s.read.parquet(f"{d}/events.parquet").select(F.concat_ws("/", F.concat(F.lit("u"), F.col("user_id").cast("string")), "event_type").alias("url"), F.col("ts").alias("last_success"), F.col("event_id"), "event_type")
 
 
 def append_ignore(s, d):
     ev = _states(s, d)
-    return store.append_ignore(ev.where("event_id % 2 = 0 and url like '%3'"), ev.where("event_id % 2 = 1"), "url", F.struct("event_id"))
+    return store.append_ignore(ev.where("event_id % 2 = 0"), ev.where("event_id % 2 <> 0"), "url", F.struct("event_id"))
 
 
 def upsert_state(s, d):
     ev = _states(s, d)
-    old = store.first_per_key(ev.where("event_id % 3 = 0"), "url", F.struct("event_id"))
-    new = store.first_per_key(ev.where("event_id % 3 = 1"), "url", F.struct("event_id"))
+    old = store.first_per_key(ev.where("event_id % 2 = 0"), "url", F.struct("event_id"))
+    new = store.first_per_key(ev.where("event_id % 2 <> 0"), "url", F.struct("event_id"))
     return store.upsert(old, new, "url", "last_success")
 
 
@@ -297,10 +308,8 @@ def run_metrics(s, d):
     return feeds.run_summary(m)
 
 
-def _days(s, d, whole=False):
-    """``whole``: of all events; queries with SQL read a fifth, as their SQL does."""
-    ev = s.read.parquet(f"{d}/events.parquet")
-    return (ev if whole else ev.where("event_id % 5 = 0")).select(X.edition_date("ts").alias("day")).distinct()
+def _days(s, d):
+    return s.read.parquet(f"{d}/events.parquet").where("ts is not null").select(X.edition_date("ts").alias("day")).distinct()
 
 
 def calendar_grid(s, d):
@@ -316,7 +325,7 @@ def editions_per_month(s, d):
 
 
 def calendar_page(s, d):
-    return report.calendar_page(_days(s, d, whole=True))
+    return report.calendar_page(_days(s, d))
 
 
 def vintage_asof(s, d):
@@ -343,10 +352,24 @@ im as (select *, case when big is null and (d1 or (not crash and d2)) then 0 whe
   case when big is null and (d1 or (not crash and d2)) then null when big is not null then big when n_media >= 5 then 'Liputan luas' when crash then 'Kecelakaan transportasi' when med is not null then med when prim then 'Sumber primer' when n_media >= 2 then 'Liputan meluas' end reason from i)"""
 _TAX = f"""tx as (select *, not "domain" in ({_q(V.TAX_FOREIGN)}) and {_marker(V.TAX_MARKERS, V.TAX_AMBIGUOUS, 'not')} is_tax, ({_any('tx', V.TAX_REGIONAL)} or {_ends(V.REGIONAL_DOMAINS)}) regional, {_any('ti', V.TAX_DISCARD)} tax_discard, {_first('tx', V.TAX_TOPICS)} tax_topic0 from p0)"""
 _AI = f"""ax as (select *, (regexp_matches(title, '(^|[^A-Za-z])A\\.?I\\.?([^A-Za-z]|$)') or {_marker(V.AI_MARKERS, V.AI_AMBIGUOUS, '')}) is_ai, ({_any('ti', V.AI_DISCARD)} or "domain" in ({_q(V.AI_DISCARD_DOMAINS)}) or {_ends(V.AI_DISCARD_ENDS)} or regexp_matches(title, '(\\.\\.\\.|…)\\s*$')) ai_discard, {_first('tx', V.AI_TOPICS)} ai_topic from p1)"""
+_ROUTE = f"""{_TAX},
+  p1 as (select * replace (case when m and impact = 1 and not regional then 2 else impact end as impact, case when m and tt is not null and impact <> 3 then tt else reason end as reason), case when m then 'pajak' else cat0 end cat1
+         from (select *, cat0 = 'pajak' or (is_tax and cat0 in ('makro', 'politik')) m, case when regional then 'Pajak daerah' else tax_topic0 end tt from tx)), {_AI},
+  r as (select *, cat1 = 'ai' or (cat1 in ('makro', 'politik', 'global') and is_ai) am from ax),
+  r2 as (select *, am and impact = 3 and coalesce(reason, '') = 'Liputan luas' demoted from r),
+  r3 as (select *, case when demoted then 2 else impact end::bigint imp, case when demoted then 'Liputan meluas' else reason end rea, case when am then 'ai' else cat1 end cat2 from r2),
+  routed as (select *, case when am and ai_topic is not null and imp <> 3 then ai_topic else rea end rea2,
+    (case when "domain" in ({_q(V.CENTRAL_BANKS)}) then {_any('ti', V.CENTRAL_BANK_WORDS)} when cat2 = 'politik' then ({_any('tx', V.POLITICS_WORDS)} or crash) else true end)
+    and imp <> 0 and not (m and tax_discard) and not (am and (ai_discard or not is_ai)) passes from r3)"""
 _SECTION_LIMIT = "case category " + " ".join(f"when '{k}' then {v}" for k, v in V.SECTION_LIMITS.items()) + " end"
-_DAYS = "days as (select distinct cast(ts + interval 2 hour as date) + 1 \"day\" from events where event_id % 5 = 0)"
+_DAYS = "days as (select distinct cast(ts + interval 2 hour as date) + 1 \"day\" from events where ts is not null)"
 _MONTH_NAMES = "[" + _q(V.MONTHS) + "]"
-_STATES = "st as (select 'u' || user_id url, ts last_success, event_id, event_type from events)"
+_STATES = "st as (select 'u' || user_id || '/' || event_type url, ts last_success, event_id, event_type from events)"
+
+#: The entities that the tables hold; ``&amp;`` last.
+_UNESCAPED = "p"
+for _name, _char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", "\u00a0"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _UNESCAPED = f"regexp_replace({_UNESCAPED}, '&{_name};?', '{_char}', 'g')"
 
 ORACLES: dict[str, str] = {
     "canonical_url": f"""with b as (select page_id, url, split_part(url, '#', 1) bare from pages),
@@ -354,6 +377,9 @@ ORACLES: dict[str, str] = {
         c as (select *, case when len(kept) > 0 then base || '?' || array_to_string(kept, '&') else base end canonical from q)
         select page_id, canonical, sha256(canonical) url_id, regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1), '^www\\.', '') as "domain", bare stored_url,
         coalesce(nullif(regexp_replace(regexp_replace(lower(url), '[^\\p{{L}}\\p{{N}}\\-_]', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'tanpa-nama') slug from c""",
+    "page_summary_clean": f"""with e as (select page_id, html, regexp_replace(html, '<[^>]+>', ' ', 'g') p from pages),
+        u as (select page_id, html, {_UNESCAPED} t from e), c as (select page_id, html, regexp_replace(regexp_replace(t, '[\\s\\p{{Z}}\\x{{85}}\\x0b]+', ' ', 'g'), '^ | $', '', 'g') t from u)
+        select page_id, case when t <> '' then substr(t, 1, {V.SUMMARY_CHARS}) end summary, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;') escaped from c""",
     "edition_assign": f"""with e as (select event_id, ts, cast(ts + interval 2 hour as date) + 1 edition from events) select event_id, edition, coalesce(strftime(ts + interval 7 hour, '%H:%M'), '—') local_time,
         [{_q(V.DAYS)}][isodow(edition)] || ', ' || day(edition) || ' ' || {_MONTH_NAMES}[month(edition)] || ' ' || year(edition) long_date from e""",
     "edition_window": f"with {_ART} select article_id, published_at from art where published_at >= timestamp '2024-01-01 22:00:00' and published_at < timestamp '2024-01-02 22:00:00'",
@@ -367,27 +393,22 @@ ORACLES: dict[str, str] = {
     "also_list": f"{_TO_EVENT}, l as (select event_id, \"domain\" dom, url, row_number() over (partition by event_id, \"domain\" order by published_at desc, article_id) k from mem) select l.event_id, l.dom as \"domain\", l.url from l join ev on ev.event_id = l.event_id where k = 1 and l.dom <> ev.\"domain\"",
     "domain_popularity": f"with {_ART} select edition, \"domain\", count(*) popularity from art group by all",
     "edition_totals": f"with {_ART} select edition, count(distinct \"domain\") n_sources, count(*) n_articles from art group by all",
-    "edition_sections": f"""{_TO_EVENT}, im as (select *, case when n_media >= 5 then 3 when n_media >= 2 or weight >= 2.0 then 2 else 1 end::bigint impact from ev where category <> 'politik'),
-        top as (select *, row_number() over (partition by edition order by impact desc, n_media * weight desc, published_at desc, event_id) "rank" from im where impact = 3 qualify "rank" <= {V.TOP_LIMIT}),
-        rest as (select *, row_number() over (partition by edition, category order by impact desc, n_media * weight desc, published_at desc, event_id) "rank" from im where event_id not in (select event_id from top) qualify "rank" <= {_SECTION_LIMIT})
-        select edition, '{V.TOP_SECTION}' as "section", "rank", event_id, impact, n_media, weight, title from top union all select edition, category, "rank", event_id, impact, n_media, weight, title from rest""",
-    "impact_score": f"with {_HEAD}, {_PAD}, {_IMPACT} select id, impact, reason from im",
+    "edition_sections": f"""{_TO_EVENT}, h as (select event_id id, edition, title, summary, "domain", published_at, n_media, weight, category cat_in from ev), {_PAD}, {_IMPACT}, p0 as (select *, cat_in cat0 from im), {_ROUTE},
+        ok as (select id event_id, edition, title, published_at, n_media, weight, cat2 category, imp impact, rea2 reason, coalesce(m and regional, false) late, (m and tt is null) or (not m and am and ai_topic is null) topicless from routed where passes),
+        top as (select *, row_number() over (partition by edition order by late, impact desc, n_media * weight desc, topicless, published_at desc, event_id) "rank" from ok where impact = 3 qualify "rank" <= {V.TOP_LIMIT}),
+        rest as (select *, row_number() over (partition by edition, category order by late, impact desc, n_media * weight desc, topicless, published_at desc, event_id) "rank" from ok
+          where event_id not in (select event_id from top) and category in ({_q(list(V.SECTION_LIMITS))}) qualify "rank" <= {_SECTION_LIMIT})
+        select edition, '{V.TOP_SECTION}' as "section", "rank", event_id, impact, reason, n_media, weight, title from top union all select edition, category, "rank", event_id, impact, reason, n_media, weight, title from rest""",
+    "impact_score": f"with {_HEADS}, {_PAD}, {_IMPACT} select id, impact, reason from im",
     "sentiment_headlines": _SENTIMENT,
-    "tax_class": f"with {_HEAD}, {_PAD}, p0 as (from p), {_TAX} select id, is_tax, regional, tax_discard as discard, case when regional then 'Pajak daerah' else tax_topic0 end topic from tx",
-    "ai_class": f"with {_HEAD}, {_PAD}, p1 as (from p), {_AI} select id, is_ai, ai_discard as discard, ai_topic topic from ax",
-    "disaster_flag": f"with {_HEAD}, {_PAD} select id, {_CRASH} disaster, case when \"domain\" in ({_q(V.CENTRAL_BANKS)}) then {_any('ti', V.CENTRAL_BANK_WORDS)} else ({_any('tx', V.POLITICS_WORDS)} or {_CRASH}) end relevant from p",
-    "reroute_sections": f"""with {_HEAD}, {_PAD}, {_IMPACT}, p0 as (select *, ['makro', 'politik', 'global', 'pajak', 'ai', 'pasar'][id % 6 + 1] cat0 from im), {_TAX},
-        p1 as (select * replace (case when m and impact = 1 and not regional then 2 else impact end as impact, case when m and tt is not null and impact <> 3 then tt else reason end as reason), case when m then 'pajak' else cat0 end cat1
-               from (select *, cat0 = 'pajak' or (is_tax and cat0 in ('makro', 'politik')) m, case when regional then 'Pajak daerah' else tax_topic0 end tt from tx)), {_AI},
-        r as (select *, cat1 = 'ai' or (cat1 in ('makro', 'politik', 'global') and is_ai) am from ax),
-        r2 as (select *, am and impact = 3 and coalesce(reason, '') = 'Liputan luas' demoted from r),
-        r3 as (select *, case when demoted then 2 else impact end::bigint imp, case when demoted then 'Liputan meluas' else reason end rea, case when am then 'ai' else cat1 end cat2 from r2)
-        select id, cat2 category, imp impact, case when am and ai_topic is not null and imp <> 3 then ai_topic else rea end reason,
-          (case when "domain" in ({_q(V.CENTRAL_BANKS)}) then {_any('ti', V.CENTRAL_BANK_WORDS)} when cat2 = 'politik' then ({_any('tx', V.POLITICS_WORDS)} or crash) else true end)
-          and imp <> 0 and not (m and tax_discard) and not (am and (ai_discard or not is_ai)) passes from r3""",
+    "tax_class": f"with {_HEADS}, {_PAD}, p0 as (from p), {_TAX} select id, is_tax, regional, tax_discard as discard, case when regional then 'Pajak daerah' else tax_topic0 end topic from tx",
+    "ai_class": f"with {_HEADS}, {_PAD}, p1 as (from p), {_AI} select id, is_ai, ai_discard as discard, ai_topic topic from ax",
+    "disaster_flag": f"with {_HEADS}, {_PAD} select id, {_CRASH} disaster, case when \"domain\" in ({_q(V.CENTRAL_BANKS)}) then {_any('ti', V.CENTRAL_BANK_WORDS)} else ({_any('tx', V.POLITICS_WORDS)} or {_CRASH}) end relevant from p",
+    "reroute_sections": f"""with {_HEADS}, {_PAD}, {_IMPACT}, p0 as (select *, ['makro', 'politik', 'global', 'pajak', 'ai', 'pasar'][id % 6 + 1] cat0 from im), {_ROUTE}
+        select id, cat2 category, imp impact, rea2 reason, passes from routed""",
     "phrase_hits": "with p as (select doc_id, ' ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ' t from documents) select doc_id, case " + " ".join(f"when contains(t, ' {w} ') then '{w}'" for w in _COMMON) + " end as label, contains(t, ' of the ') or contains(t, ' de la ') or contains(t, ' in the ') hit from p",
-    "append_ignore": f"with {_STATES}, n as (select *, row_number() over (partition by url order by event_id) k from st where event_id % 2 = 1) select url, last_success, event_id, event_type from n where k = 1 and url not in (select url from st where event_id % 2 = 0 and url like '%3')",
-    "upsert_state": f"with {_STATES}, n as (select *, event_id % 3 g, row_number() over (partition by url, event_id % 3 order by event_id) k from st where event_id % 3 < 2), u as (select *, row_number() over (partition by url order by g desc, last_success desc) j from n where k = 1) select url, last_success, event_id, event_type from u where j = 1",
+    "append_ignore": f"with {_STATES}, n as (select *, row_number() over (partition by url order by event_id) k from st where event_id % 2 <> 0) select url, last_success, event_id, event_type from n where k = 1 and url not in (select url from st where event_id % 2 = 0)",
+    "upsert_state": f"with {_STATES}, n as (select *, event_id % 2 g, row_number() over (partition by url, event_id % 2 order by event_id) k from st), u as (select *, row_number() over (partition by url order by g desc, last_success desc) j from n where k = 1) select url, last_success, event_id, event_type from u where j = 1",
     "fill_null": "with f as (select doc_id, arg_max('q' || quality, toxic) image from labels group by 1) select d.doc_id, coalesce(case when d.doc_id % 3 = 0 then source end, f.image) image from documents d left join f using (doc_id)",
     "run_metrics": "select strftime(ts, '%Y-%m-%d') run_id, count(*) checked, count(*) filter (where event_type = 'view') unchanged, count(*) filter (where event_type = 'error') failed, sum(user_id % 7)::bigint items, sum(user_id % 3)::bigint as \"new\", bool_and(event_type = 'error') all_failed from events group by 1",
     "calendar_grid": f"""with {_DAYS}, m as (select distinct date_trunc('month', "day")::date "month" from days),

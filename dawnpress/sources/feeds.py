@@ -177,7 +177,7 @@ def parse_feeds(raw: DataFrame) -> DataFrame:
             rows = []
             for r in frame.itertuples():
                 for k, e in enumerate(parse_feed(bytes(r.body))):
-                    plain = html.unescape(re.sub("<[^>]+>", " ", e["summary"] or e["content"] or ""))
+                    plain = html.unescape(re.sub("<[^>]+>", " ", e["content"] or e["summary"] or ""))
                     rows.append((r.name, r.category, r.weight, r.lang, r.fetched_at, k, e["link"], e["title"], plain, e["published"] or e["updated"], e["source"], e["source_url"], image_candidates(e)))
             yield pd.DataFrame(rows, columns=["feed", "category", "weight", "lang", "fetched_at", "pos", "link", "raw_title", "raw_summary", "raw_time", "source", "source_url", "images"])
 
@@ -189,11 +189,12 @@ def to_articles(entries: DataFrame) -> DataFrame:
     e = entries.where((F.trim("link") != "") & (F.trim("raw_title") != ""))
     tidy = X.strip(F.regexp_replace("raw_summary", r"(?U)\s+", " "))
     e = e.withColumn("plain", F.when(tidy != "", F.substring(tidy, 1, V.SUMMARY_CHARS)))
-    e = e.withColumn("shown", X.drop_source_suffix("raw_title", "source"))
+    # a summary is compared with the title before its entities are undone
+    e = e.withColumn("bare", X.without_source("raw_title", "source")).withColumn("shown", X.unescape("bare"))
     images = F.filter(F.transform("images", X.image_url), lambda u: u.isNotNull())
     return e.select(
         X.url_id("link").alias("article_id"), X.strip_fragment("link").alias("url"), X.domain(F.coalesce(F.when(F.col("source_url") != "", F.col("source_url")), F.col("link"))).alias("domain"),
-        F.col("shown").alias("title"), X.useful_summary("plain", "shown").alias("summary"), X.rfc822("raw_time").alias("published_at"), "fetched_at", "feed", "category",
+        F.col("shown").alias("title"), X.useful_summary("plain", "bare").alias("summary"), X.rfc822("raw_time").alias("published_at"), "fetched_at", "feed", "category",
         F.coalesce("weight", F.lit(1.0)).alias("weight"), F.get(images, F.lit(0)).alias("image"), F.coalesce("lang", F.when(F.col("category") == "global", "en").otherwise("id")).alias("lang"), "pos",
     )
 

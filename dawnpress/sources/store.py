@@ -49,26 +49,36 @@ def coverage(df: DataFrame, column: str) -> DataFrame:
 
 
 class Table:
-    """A keyed table in a folder. A rewrite goes to a new version, then the pointer moves: a reader or a
-    lost executor never sees half of one."""
+    """A keyed table in a folder. A write makes a new part and then a new version, a numbered list of the
+    parts that count; nothing that a reader may look at is ever deleted or replaced. A version counts once
+    it is complete, so a writer that is lost on the way leaves the table as it was. One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _current(self) -> list[str]:
+    def _version(self) -> int:
+        """The newest complete version, 0 before the first."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/current")
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions")
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return [r[0] for r in self.spark.read.text(f"{self.path}/current").collect()] if fs.exists(path) else []
+        found = [int(f.getPath().getName()) for f in fs.listStatus(path)] if fs.exists(path) else []
+        done = lambda n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/{n:09d}/_SUCCESS"))
+        return next((n for n in sorted(found, reverse=True) if done(n)), 0)
+
+    def _current(self) -> list[str]:
+        n = self._version()
+        return [r[0] for r in self.spark.read.text(f"{self.path}/versions/{n:09d}").orderBy("value").collect()] if n else []
 
     def read(self) -> DataFrame:
         parts = self._current()
         return align(self.spark.read.option("mergeSchema", True).parquet(*parts), self.schema) if parts else self.spark.createDataFrame([], self.schema)
 
     def _write(self, df: DataFrame, keep: list[str]) -> None:
-        part = f"{self.path}/part-{uuid.uuid4().hex}"
+        n = self._version() + 1
+        part = f"{self.path}/part-{n:09d}-{uuid.uuid4().hex}"
         align(df, self.schema).write.parquet(part)
-        self.spark.createDataFrame([(p,) for p in [*keep, part]], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/current")
+        # a half-written list of the same number would be a lost writer's: it is the only thing overwritten
+        self.spark.createDataFrame([(p,) for p in [*keep, part]], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/versions/{n:09d}")
 
     def append(self, df: DataFrame) -> None:
         self._write(df, self._current())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dawnpress.functions.text import edition_date
+from dawnpress.operators.edition import window_bounds
 from dawnpress.sources.store import Table
 
 
@@ -35,7 +36,10 @@ def append_and_recompose(stream: DataFrame, table: Table, recompose: Callable[[D
         table.append_ignore(df, key, F.col(key))
         touched = [r[0] for r in df.where("published_at is not null").select(edition_date("published_at").alias("e")).distinct().collect()]
         if touched:
-            recompose(table.read().where(edition_date("published_at").isin(touched)), sorted(touched))
+            # bounds that reach the scan, then the editions themselves
+            low, high = window_bounds(min(touched))[0], window_bounds(max(touched))[1]
+            near = table.read().where((F.col("published_at") >= F.lit(low).cast("timestamp_ntz")) & (F.col("published_at") < F.lit(high).cast("timestamp_ntz")))
+            recompose(near.where(edition_date("published_at").isin(touched)), sorted(touched))
         df.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
