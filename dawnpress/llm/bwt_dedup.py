@@ -8,7 +8,7 @@ A *window* is ``length`` bytes at one position of one document. The steps:
    *representative*, the earliest, and the others are its members: only places, no bytes.
 2. Representatives that have members or share an anchor with others are dealt to buckets of anchors and
    cut into shards. Each shard gets its suffix order and its Burrows-Wheeler transform, over symbols of
-   twenty bytes (numbered by their hashes). The shards' transforms are merged by refining their
+   25 bytes (numbered by their hashes). The shards' transforms are merged by refining their
    interleave: a stable pass over the current interleave sorts it by one more symbol, without sorting the
    suffixes again. The pass in which a border between two neighbours appears is the length of their
    common prefix. Where it reaches ``length`` bytes, neighbours are one repeated interval, which counts
@@ -45,12 +45,12 @@ from dawnpress.plans.lineage import cut
 GRAM = 32
 NULL_ID = -(1 << 63)
 #: Windows that are scanned at once; text bytes for each bucket; strings of a shard.
-PART, BUCKET_BYTES, SHARD = 1 << 20, 12 << 20, 1024
+PART, BUCKET_BYTES, SHARD = 1 << 20, 12 << 20, 512
 #: Tasks of a stage at most; each takes its buckets one after the other.
 MOST_PARTS = 8192
 #: Bytes of a symbol; open bytes of a bucket; different segments around an anchor that are dealt by
 #: single windows instead.
-WIDTH, OPEN_BYTES, HOT = 20, 1 << 20, 4096
+WIDTH, OPEN_BYTES, HOT = 25, 1 << 18, 4096
 
 #: A run of ``n`` windows from ``at`` on in version ``ver`` of document ``doc``.
 RUN = np.dtype([("doc", "<i8"), ("ver", "<u4"), ("at", "<i4"), ("n", "<i4")])
@@ -311,6 +311,17 @@ def _windows(s: np.ndarray, raw: bytes, length: int) -> np.ndarray:
     return out
 
 
+def stable_order(x: np.ndarray, most: int | None = None) -> np.ndarray:
+    """The stable order of values that are not negative, digit by digit of 16 bits."""
+    most = int(x.max(initial=0)) if most is None else most
+    order = np.argsort(x.astype(np.uint16), kind="stable")
+    shift = 16
+    while most >> shift:
+        order = order[np.argsort((x >> x.dtype.type(shift)).astype(np.uint16)[order], kind="stable")]
+        shift += 16
+    return order
+
+
 # -- transforms of shards and their merge -------------------------------------------------------
 
 
@@ -345,7 +356,7 @@ class ShardTransform:
             key = rank * (np.int64(rank.max()) + 2)
             far = np.flatnonzero(left >= reach)
             key[far] += rank[far + reach] + 1
-            order = np.argsort(key, kind="stable")
+            order = stable_order(key)
             key = key[order]
             new = np.ones(total, bool)
             new[1:] = key[1:] != key[:-1]
@@ -373,10 +384,10 @@ def merge_transforms(shards: list[ShardTransform], symbols: int) -> tuple[np.nda
     common = np.full(total, symbols, np.int16)
     common[0] = 0
     first_ends = np.repeat(np.arange(len(shards)), [s.ends for s in shards]).astype(kind)
-    here = np.empty(total, bwt.dtype)
+    here, highest = np.empty(total, bwt.dtype), int(bwt.max(initial=0))
     for done in range(symbols):
         here[np.argsort(interleave, kind="stable")] = bwt
-        moved = np.argsort(here, kind="stable")
+        moved = stable_order(here, highest)
         symbol, was = here[moved], block[moved]
         interleave = interleave[moved]
         interleave[:ends] = first_ends
@@ -398,8 +409,13 @@ def _symbols(data: np.ndarray, width: int) -> np.ndarray:
     total = np.empty(len(data) + 1, U64)
     total[0] = 0
     np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-    known, number = np.unique(mix((total[width:] - total[:-width]) * down[: len(data) - width + 1]), return_inverse=True)
-    return (number + 1).astype(np.uint16 if len(known) < 65535 else np.uint32)
+    h = mix((total[width:] - total[:-width]) * down[: len(data) - width + 1])
+    order = stable_order(h)
+    new = np.ones(len(h), bool)
+    new[1:] = h[order[1:]] != h[order[:-1]]
+    number = np.empty(len(h), np.uint32)
+    number[order] = np.cumsum(new)
+    return number if number.max(initial=0) > 65535 else number.astype(np.uint16)
 
 
 def symbol_width(length: int) -> int:
@@ -433,6 +449,8 @@ def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int
         # members are equal to their representative, so its repeated windows are theirs
         times = np.bincount(seg[repeated], minlength=len(segs))
         found.append(runs(members[times[owner] == segs["n"][owner]]))
+    shared = np.bincount(block)[block] > 1  # by representatives; the others' members are told already
+    block, seg, place = block[shared], seg[shared], place[shared]
     doc, ver, at = segs["doc"][seg], segs["ver"][seg], segs["at"][seg] + place
     by = np.lexsort((at, ver, doc, block))
     block, doc, ver, at = block[by], doc[by], ver[by], at[by]
