@@ -262,6 +262,37 @@ def test_tiles_and_leaks(spark, odd, empty):
     assert sorted(r["doc_id"] for r in decontam.drop_leaks(odd, bench).where("doc_id is not null").collect()) == [1, 2, 3, 9, 10, 11, 12, 14]
 
 
+def brute_tiles(item, text, least):
+    """The definition: mark the longest runs that are not marked yet, until none of ``least`` is left."""
+    free_i, free_t, tiles = [True] * len(item), [True] * len(text), []
+    while True:
+        runs = collections.defaultdict(list)
+        for i in range(len(item)):
+            for j in range(len(text)):
+                n = 0
+                while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n] and free_i[i + n] and free_t[j + n]:
+                    n += 1
+                runs[n].append((i, j))
+        n = max(runs, default=0)
+        if n < least:
+            return tiles
+        for i, j in runs[n]:
+            if all(free_i[i : i + n]) and all(free_t[j : j + n]):
+                free_i[i : i + n] = free_t[j : j + n] = [False] * n
+                tiles.append((i, j, n))
+
+
+def test_tiles_by_definition():
+    r = np.random.default_rng(8)
+    for _ in range(150):
+        letters, least = int(r.integers(2, 7)), int(r.integers(1, 5))
+        item, text = (r.integers(1, letters + 1, int(r.integers(1, 26))).astype(np.uint64) for _ in range(2))
+        if r.random() < 0.5:  # a passage in two parts, the other way round
+            k = len(item) // 2
+            text = np.concatenate([text[:5], item[k:], text[5:], item[:k]])
+        assert sorted(decontam.tile(item, text, least)) == sorted(brute_tiles(item.tolist(), text.tolist(), least))
+
+
 def test_drop_leaks_of_items_without_id(spark):
     docs = spark.createDataFrame([(1, BASE), (2, "nothing of the benchmark is in this text")], "doc_id long, text string")
     bench = spark.createDataFrame([(None, BASE), (None, None)], "item_id long, text string")
@@ -375,15 +406,3 @@ def test_toxicity_long_texts():
     model = toxicity.Model(np.sort(np.concatenate(list(toxicity.ngrams("moron")))), np.ones(15), 0.0, np.ones(1 << toxicity.BITS, bool))
     assert len(model.present("x" * 10 + " moron " + "y" * 10)) >= 10 and len(model.present(None)) == 0
     assert len(model.present("y " * (toxicity.PART // 2 - 2) + "moron")) >= 10  # over the seam of two parts
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    d = spark.read.parquet(f"{D}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        d = stage(spark, d, D)
-        assert d.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
-        d = spark.createDataFrame(d.collect(), d.schema)
-    got = corpus_pipeline.run(spark, D)
-    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() == d.count()
