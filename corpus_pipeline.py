@@ -10,27 +10,28 @@ from dawnpress.plans.lineage import table_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the threshold table keeps."""
+    """Documents that the threshold table keeps; a null text has no words and goes."""
     return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate class."""
+    """The first document of each near-duplicate class; of repeated rows of one id, one stays. Rows without
+    words or without a doc_id stay."""
     return ngram_join.keep_one_per_class(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not cover an item of the benchmark."""
+    """Documents that do not cover an item of the benchmark; rows without a doc_id stay."""
     return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; those without words once. A null source is one of its own."""
     return mixing.take_mix(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document's ids stand in the token store, read back from it."""
+    """Where each document's ids stand in the token store, read back from it; a null text is the end id alone."""
     return token_store.token_index(docs, tokenizer_path(), END_ID)
 
 
@@ -42,7 +43,9 @@ STAGES = [
     ("token store", token_output),
 ]
 
-#: SQL has no tokenizer, no tiling and no dependent rounding: run() is tested against brute force.
+#: SQL has no tokenizer, no tiling and no dependent rounding. tests/llm/test_pipeline.py holds each stage's
+#: rows against SQL (quality), brute force (near duplicates, tiling), the targets (mixing: random, but
+#: bounded for each source) and the tokenizer itself.
 ORACLE_SQL = None
 
 
