@@ -142,8 +142,9 @@ class Network:
     @staticmethod
     def _odds(room: np.ndarray, h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exponentials and their sum for each row; the weights' ``LIMIT`` keeps them finite. A row's values
-        do not depend on the rows beside it (a product with ones would add in another order)."""
-        z = np.matmul(h, weights, out=room[: len(h) * len(bias)].reshape(len(h), len(bias)))
+        do not depend on the rows beside it: a matrix product of the linear algebra library would add in an
+        order that follows from how many rows there are, ``einsum`` does not."""
+        z = np.einsum("ij,jk->ik", h, weights, out=room[: len(h) * len(bias)].reshape(len(h), len(bias)))
         z += bias
         np.exp(z, out=z)
         return z, z.sum(1)
