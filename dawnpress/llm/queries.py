@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dawnpress.llm import bwt_dedup, decontam, line_dedup, lm_score, mixing, ngram_join, quality, secrets, token_store, toxicity
+from dawnpress.llm import ann, bwt_dedup, decontam, fim, line_dedup, lm_score, mixing, ngram_join, quality, secrets, token_store, toxicity
 
 END_ID = 1
 
@@ -61,12 +61,21 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_docs(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_toxicity, op3_lm_scoring, op4_secret_scan, op5_benchmark_decontamination,
         op6_suffix_array_dedup, op7_token_store, op8_quality_rules, op9_line_dedup, op10_source_mixing,
+        op11_nearest_neighbours, op12_fill_in_middle,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE, "op9_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op11_nearest_neighbours": ann.ORACLE, "op12_fill_in_middle": fim.ORACLE}
