@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dawnpress.llm import ann, bwt_dedup, decontam, fim, line_dedup, lm_score, mixing, ngram_join, quality, secrets, token_store, toxicity
+from dawnpress.llm import ann, bwt_dedup, decontam, fim, hard_negatives, line_dedup, lm_score, mixing, ngram_join, quality, secrets, token_store, toxicity
 
 END_ID = 1
 
@@ -69,13 +69,21 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(_docs(spark, sf_dir))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.moved_labels(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_toxicity, op3_lm_scoring, op4_secret_scan, op5_benchmark_decontamination,
         op6_suffix_array_dedup, op7_token_store, op8_quality_rules, op9_line_dedup, op10_source_mixing,
-        op11_nearest_neighbours, op12_fill_in_middle,
+        op11_nearest_neighbours, op12_fill_in_middle, op13_hard_negatives,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_quality_rules": quality.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op11_nearest_neighbours": ann.ORACLE, "op12_fill_in_middle": fim.ORACLE}
+ORACLES: dict[str, str] = {
+    "op8_quality_rules": quality.ORACLE, "op9_line_dedup": line_dedup.ORACLE,
+    "op11_nearest_neighbours": ann.ORACLE, "op12_fill_in_middle": fim.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
+}
