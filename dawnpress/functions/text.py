@@ -29,18 +29,11 @@ def word_list(*parts: str | Column) -> Column:
 
 
 def stem(word: Column) -> Column:
-    """At most one suffix, then at most one prefix, each leaving enough; too short a rest is undone."""
-    cut = word
-    for s in reversed(V.SUFFIXES):
-        cut = F.when(word.endswith(s) & (F.length(word) - len(s) >= V.STEM_REST), F.substring(word, F.lit(1), F.length(word) - len(s))).otherwise(cut)
-
-    def head(w: Column) -> Column:
-        out = w
-        for p in reversed(V.PREFIXES):
-            out = F.when(w.startswith(p) & (F.length(w) - len(p) >= V.STEM_REST), F.substring(w, F.lit(len(p) + 1), F.length(w))).otherwise(out)
-        return F.when(F.length(out) < V.STEM_LEAST, word).otherwise(out)
-
-    return F.element_at(F.transform(F.array(cut), head), 1)
+    """At most one suffix, then at most one prefix, each leaving enough; too short a rest is undone. The first
+    that fits counts: of suffixes the list has the longer ones first, so it is the one with the shortest rest."""
+    cut = F.regexp_replace(word, f"^(.{{{V.STEM_REST},}}?)(?:{'|'.join(V.SUFFIXES)})$", "$1")
+    out = F.regexp_replace(cut, f"^(?:{'|'.join(V.PREFIXES)})(?=.{{{V.STEM_REST}}})", "")
+    return F.when(F.length(out) < V.STEM_LEAST, word).otherwise(out) if V.STEM_REST < V.STEM_LEAST else out
 
 
 def title_tokens(title: str | Column) -> Column:

@@ -7,12 +7,13 @@ than ``HOT_TOKEN`` titles makes no candidates, so a candidate block has a bounde
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dawnpress.functions import fixed_values as V
 from dawnpress.functions.text import title_tokens
 from dawnpress.plans.components import connected_components
+from dawnpress.plans.lineage import cut
 
 
 def tokenise(articles: DataFrame, group: str = "edition") -> DataFrame:
@@ -37,23 +38,45 @@ def candidate_pairs(tokens: DataFrame, df: DataFrame) -> DataFrame:
     return left.join(right, ["grp", "token"]).where("a < b").select("grp", "a", "b").distinct()
 
 
+def marked_tokens(tokens: DataFrame, df: DataFrame, rare_cut: DataFrame, *flags: str) -> DataFrame:
+    """``grp, article_id, n, cold, hot``: each title's shared tokens (two titles have them at least) with whether
+    they are rare, apart by whether they make candidates; ``n`` counts all its tokens."""
+    each = tokens.select("grp", "article_id", F.size("tokens").alias("n"), *flags, F.explode("tokens").alias("token"))
+    known = each.join(df.where("df > 1"), ["grp", "token"]).join(F.broadcast(rare_cut), "grp")
+    mark = F.struct("token", (F.col("df") <= F.col("rare_cut")).alias("rare"))
+    pick = lambda c: F.collect_list(F.when(c, mark))  # noqa: E731  nulls are left out
+    return known.groupBy("grp", "article_id", "n", *flags).agg(pick(F.col("df") <= V.HOT_TOKEN).alias("cold"), pick(F.col("df") > V.HOT_TOKEN).alias("hot"))
+
+
+def linked(marked: DataFrame, threshold: float, wanted: Column | None = None, *flags: str) -> DataFrame:
+    """``grp, a, b, jaccard, overlap, rare`` for the pairs that link, out of :func:`marked_tokens`. Shared tokens are
+    counted where pairs meet; only a pair that its hot tokens can still decide looks at them. ``wanted`` says
+    by the flags of both sides (``xa`` and ``xb``) which pairs are looked at."""
+    rare_hot = F.size(F.filter("hot", lambda x: x["rare"]))
+    rows = marked.where(F.col("n") >= V.LEAST_TOKENS)
+    side = lambda k: [F.col("article_id").alias(k), *(F.col(c).alias(f"{c}{k}") for c in ("n", "h", "rh", *flags))]
+    blocks = rows.select("grp", "article_id", "n", *flags, F.size("hot").alias("h"), rare_hot.alias("rh"), F.explode("cold").alias("t")).withColumn("token", F.col("t.token"))
+    meet = blocks.select("grp", "token", F.col("t.rare").alias("rare"), *side("a")).join(blocks.select("grp", "token", *side("b")), ["grp", "token"]).where("a < b")
+    if wanted is not None:
+        meet = meet.where(wanted)
+    pairs = meet.groupBy("grp", "a", "b", "na", "nb", "ha", "hb", "rha", "rhb").agg(F.count(F.lit(1)).alias("s"), F.count_if("rare").alias("r"))
+
+    def links(s: Column, r: Column) -> Column:
+        return (s / (F.col("na") + F.col("nb") - s) >= threshold) | ((r >= V.RARE_SHARED) & (s / F.least("na", "nb") >= V.RARE_OVERLAP))
+
+    more = F.least("ha", "hb")
+    open_pairs = pairs.where(links(F.col("s") + more, F.col("r") + F.least("rha", "rhb")))
+    few = lambda k: rows.where(F.size("hot") > 0).select("grp", F.col("article_id").alias(k), F.col("hot").alias(f"hot{k}"))
+    looked = open_pairs.where(more > 0).join(few("a"), ["grp", "a"]).join(few("b"), ["grp", "b"]).withColumn("both", F.array_intersect("hota", "hotb"))
+    looked = looked.select(*open_pairs.columns[:9], (F.col("s") + F.size("both")).alias("s"), (F.col("r") + F.size(F.filter("both", lambda x: x["rare"]))).alias("r"))
+    found = open_pairs.where(more == 0).unionByName(looked).where(links(F.col("s"), F.col("r")))
+    return found.select("grp", "a", "b", (F.col("s") / (F.col("na") + F.col("nb") - F.col("s"))).alias("jaccard"), (F.col("s") / F.least("na", "nb")).alias("overlap"), F.col("r").cast("int").alias("rare"))
+
+
 def similar_pairs(tokens: DataFrame, threshold: float = V.THRESHOLD) -> DataFrame:
-    """``grp, a, b, jaccard, overlap, rare`` for the pairs that link."""
-    df = token_frequency(tokens)
-    # each title's tokens, and those among them that are rare in its edition
-    rare = (
-        tokens.select("grp", "article_id", F.explode("tokens").alias("token")).join(df, ["grp", "token"]).join(rarity(tokens), "grp")
-        .where("df <= rare_cut").groupBy("grp", "article_id").agg(F.collect_list("token").alias("rare"))
-    )
-    sides = tokens.join(rare, ["grp", "article_id"], "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
-    side = lambda k: sides.select("grp", F.col("article_id").alias(k), F.col("tokens").alias(f"t{k}"), F.col("rare").alias(f"r{k}"))
-    both = candidate_pairs(tokens, df).join(side("a"), ["grp", "a"]).join(side("b"), ["grp", "b"])
-    shared = F.size(F.array_intersect("ta", "tb"))
-    scored = both.select(
-        "grp", "a", "b", (shared / F.size(F.array_union("ta", "tb"))).alias("jaccard"), (shared / F.least(F.size("ta"), F.size("tb"))).alias("overlap"),
-        F.size(F.array_intersect("ra", "rb")).alias("rare"),
-    )
-    return scored.where((F.col("jaccard") >= threshold) | ((F.col("rare") >= V.RARE_SHARED) & (F.col("overlap") >= V.RARE_OVERLAP)))
+    """``grp, a, b, jaccard, overlap, rare`` for the pairs that link. Titles are split once and written."""
+    tokens = cut(tokens, "tokens")
+    return linked(cut(marked_tokens(tokens, token_frequency(tokens), rarity(tokens)), "marked"), threshold)
 
 
 def clusters(articles: DataFrame, threshold: float = V.THRESHOLD, group: str = "edition") -> DataFrame:
