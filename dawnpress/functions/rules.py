@@ -1,11 +1,18 @@
 """Rule classifiers compiled into column expressions: impact, direction, tax, AI, disaster.
 
-A rule looks at a text's padded words once: they are bound to a name (:func:`_let`), and each phrase is
-looked up in what is bound. An expression inside a lambda is otherwise evaluated again for every phrase.
+The phrases of all lists are looked up at once (:func:`matches`): one pattern, a prefix tree of all phrases,
+goes over a text's padded words and gives the longest phrase that begins at each word. A list is hit when one
+of these is on it or begins with a phrase of it, which is known beforehand (:func:`_covering`). Rules then only
+compare short arrays. :func:`found` is a text's part that all rules share: a caller that applies several
+writes it once.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,42 +24,95 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _texts(title: str, summary: str, body) -> Column:
-    """``body`` of the padded title and the padded title with summary."""
-    return _let(F.struct(padded(title).alias("head"), padded(title, summary).alias("whole")), lambda t: body(t["head"], t["whole"]))
+# -- looking up phrases ----------------------------------------------------------------------------
+
+
+def _tree(phrases: Iterable[str]) -> str:
+    """A pattern for any of the phrases, the longest first, in which common beginnings are read once."""
+    by: dict[str, set[str]] = {}
+    for p in phrases:
+        by.setdefault(p[:1], set()).add(p[1:])
+    end = by.pop("", None)
+    if not by:
+        return ""
+    ways = [re.escape(c) + _tree(rest) for c, rest in sorted(by.items())]
+    whole = ways[0] if len(ways) == 1 and end is None else f"(?:{'|'.join(ways)})"
+    return whole + ("?" if end is not None else "")
+
+
+@cache
+def _pattern(phrases: frozenset[str]) -> str:
+    # nothing is consumed, so phrases may overlap
+    return f"(?= ({_tree(phrases)}) )"
+
+
+def matches(text: Column, phrases: Iterable[str]) -> Column:
+    """The longest of ``phrases`` that begins at each word of a padded text, in the text's order."""
+    return F.regexp_extract_all(text, F.lit(_pattern(frozenset(phrases))), F.lit(1))
+
+
+def _covering(phrases: Iterable[str], known: Iterable[str]) -> list[str]:
+    """The known phrases whose match says that one of ``phrases`` is there: they are it or begin with its words."""
+    return sorted(k for k in known if any(k == p or k.startswith(f"{p} ") for p in phrases))
+
+
+def _groups(*lists) -> frozenset[str]:
+    out: set[str] = set()
+    for x in lists:
+        for p in x.values() if isinstance(x, dict) else [x]:
+            out.update(p)
+    return frozenset(out)
+
+
+#: All phrases that rules look for, in titles and in whole texts.
+PHRASES = _groups(
+    V.BIG_PHRASES, V.MEDIUM_PHRASES, V.DISCARD_PHRASES, V.ACCIDENT_PHRASES, V.DISASTER_EVENTS, V.DISASTER_SCALE, V.TAX_MARKERS, V.TAX_AMBIGUOUS, list(V.TAX_AMBIGUOUS),
+    V.TAX_REGIONAL, V.TAX_DISCARD, V.TAX_TOPICS, V.AI_MARKERS, V.AI_AMBIGUOUS, list(V.AI_AMBIGUOUS), V.AI_DISCARD, V.AI_TOPICS, V.CENTRAL_BANK_WORDS, V.POLITICS_WORDS,
+)
+
+
+def found(title: str = "title", summary: str = "summary") -> Column:
+    """``struct(head, whole)``: the phrases of the title and of the title with summary."""
+    return F.struct(matches(padded(title), PHRASES).alias("head"), matches(padded(title, summary), PHRASES).alias("whole"))
+
+
+def _texts(title: str, summary: str, hits: Column | None, body) -> Column:
+    """``body`` of the phrases of the title and of the title with summary."""
+    return body(hits["head"], hits["whole"]) if hits is not None else _let(found(title, summary), lambda t: body(t["head"], t["whole"]))
 
 
-def _has(text: Column, phrases: list[str]) -> Column:
-    """Whether a padded text that is bound already holds one of the phrases, as whole words."""
-    return F.exists(F.array(*(F.lit(f" {p} ") for p in phrases)), lambda p: F.contains(text, p))
+def _has(hits: Column, phrases: Iterable[str], known: Iterable[str] = PHRASES) -> Column:
+    """Whether one of the phrases is among a text's matches of ``known`` ones."""
+    return F.arrays_overlap(hits, F.array(*map(F.lit, _covering(phrases, known))))
 
 
-def _label(text: Column, groups: dict[str, list[str]]) -> Column:
-    return F.coalesce(*(F.when(_has(text, p), F.lit(label)) for label, p in groups.items()))
+def _label(hits: Column, groups: dict[str, list[str]], known: Iterable[str] = PHRASES) -> Column:
+    return F.coalesce(*(F.when(_has(hits, p, known), F.lit(label)) for label, p in groups.items()))
 
 
 def has_phrase(text: Column, phrases: list[str]) -> Column:
-    return _let(text, lambda t: _has(t, phrases))
+    return F.size(matches(text, phrases)) > 0
 
 
 def first_label(text: Column, groups: dict[str, list[str]]) -> Column:
-    return _let(text, lambda t: _label(t, groups))
+    known = _groups(groups)
+    return _let(matches(text, known), lambda t: _label(t, groups, known))
 
 
 def _disaster(whole: Column) -> Column:
     return _has(whole, V.DISASTER_EVENTS) & _has(whole, V.DISASTER_SCALE)
 
 
-def disaster(title: str, summary: str) -> Column:
-    return _texts(title, summary, lambda head, whole: _disaster(whole))
+def disaster(title: str = "title", summary: str = "summary", hits: Column | None = None) -> Column:
+    return _texts(title, summary, hits, lambda head, whole: _disaster(whole))
 
 
-def impact(title: str = "title", summary: str = "summary", n_media: str = "n_media", weight: str = "weight") -> Column:
+def impact(title: str = "title", summary: str = "summary", n_media: str = "n_media", weight: str = "weight", hits: Column | None = None) -> Column:
     """``struct(impact, reason)``; 0 discards."""
     primary = F.col(weight) >= V.PRIMARY_WEIGHT
     level = lambda n, reason: F.struct(F.lit(n).alias("impact"), reason.cast("string").alias("reason"))
 
-    def found(whole: Column) -> Column:
+    def lists(whole: Column) -> Column:
         return F.struct(
             _label(whole, V.BIG_PHRASES).alias("big"), _label(whole, V.MEDIUM_PHRASES).alias("medium"), _disaster(whole).alias("crash"),
             _has(whole, V.DISCARD_PHRASES).alias("discard"), _has(whole, V.ACCIDENT_PHRASES).alias("accident"),
@@ -69,14 +129,14 @@ def impact(title: str = "title", summary: str = "summary", n_media: str = "n_med
             .otherwise(level(1, F.lit(None)))
         )
 
-    return _let(_texts(title, summary, lambda head, whole: found(whole)), judge)
+    return _let(_texts(title, summary, hits, lambda head, whole: lists(whole)), judge)
 
 
 def _any_marker(title: Column, whole: Column, markers: list[str], ambiguous: dict[str, list[str]], companions: bool) -> Column:
     out = _has(title, markers)
     for word, others in ambiguous.items():
         beside = _has(whole, others)
-        out = out | (F.contains(title, F.lit(f" {word} ")) & (beside if companions else ~beside))
+        out = out | (_has(title, [word]) & (beside if companions else ~beside))
     return out
 
 
@@ -99,7 +159,7 @@ def _ai_discard(head: Column, title: str, domain: str) -> Column:
     return _has(head, V.AI_DISCARD) | F.col(domain).isin(V.AI_DISCARD_DOMAINS) | _ends(domain, V.AI_DISCARD_ENDS) | F.col(title).rlike(r"(?U)(\.\.\.|…)\s*$")
 
 
-def tax_class(title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
+def tax_class(title: str = "title", summary: str = "summary", domain: str = "domain", hits: Column | None = None) -> Column:
     """``struct(is_tax, regional, discard, topic)``."""
 
     def judge(head: Column, whole: Column) -> Column:
@@ -109,15 +169,15 @@ def tax_class(title: str = "title", summary: str = "summary", domain: str = "dom
             F.when(regional, V.TAX_REGIONAL_TOPIC).otherwise(_label(whole, V.TAX_TOPICS)).alias("topic"),
         )
 
-    return _texts(title, summary, judge)
+    return _texts(title, summary, hits, judge)
 
 
-def ai_class(title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
+def ai_class(title: str = "title", summary: str = "summary", domain: str = "domain", hits: Column | None = None) -> Column:
     """``struct(is_ai, discard, topic)``."""
-    return _texts(title, summary, lambda head, whole: F.struct(_is_ai(head, whole, title).alias("is_ai"), _ai_discard(head, title, domain).alias("discard"), _label(whole, V.AI_TOPICS).alias("topic")))
+    return _texts(title, summary, hits, lambda head, whole: F.struct(_is_ai(head, whole, title).alias("is_ai"), _ai_discard(head, title, domain).alias("discard"), _label(whole, V.AI_TOPICS).alias("topic")))
 
 
-def ai_pool(category: str = "category", title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
+def ai_pool(category: str = "category", title: str = "title", summary: str = "summary", domain: str = "domain", hits: Column | None = None) -> Column:
     """Whether the AI section will take an event, which the tax section has not taken first."""
 
     def judge(head: Column, whole: Column) -> Column:
@@ -125,13 +185,13 @@ def ai_pool(category: str = "category", title: str = "title", summary: str = "su
         to_tax = F.col(category).isin(V.TAX_MOVES_FROM) & _is_tax(head, whole, domain)
         return candidate & _is_ai(head, whole, title) & ~_ai_discard(head, title, domain) & ~to_tax
 
-    return _texts(title, summary, judge)
+    return _texts(title, summary, hits, judge)
 
 
-def relevant(category: str = "category", title: str = "title", summary: str = "summary", domain: str = "domain") -> Column:
+def relevant(category: str = "category", title: str = "title", summary: str = "summary", domain: str = "domain", hits: Column | None = None) -> Column:
     bank = F.col(domain).isin(V.CENTRAL_BANKS)
     judge = lambda head, whole: F.when(bank, _has(head, V.CENTRAL_BANK_WORDS)).when(F.col(category) == "politik", _has(whole, V.POLITICS_WORDS) | _disaster(whole)).otherwise(F.lit(True))
-    return _texts(title, summary, judge)
+    return _texts(title, summary, hits, judge)
 
 
 # -- direction (sentiment) -------------------------------------------------------------------------

@@ -40,7 +40,7 @@ def with_defaults(articles: DataFrame) -> DataFrame:
 
 def merge_ai(events: DataFrame, threshold: float = V.AI_THRESHOLD) -> DataFrame:
     """Second clustering, looser, among the events that the AI section will take."""
-    pool = cut(events.where(rules.ai_pool()), "pool")
+    pool = cut(events.where(rules.ai_pool(hits=_hits(events))), "pool")
     groups = clusters(pool.select("edition", F.col("event_id").alias("article_id"), "title"), threshold).select(F.col("article_id").alias("event_id"), F.col("event_id").alias("merged"))
     m = pool.join(groups, "event_id")
     lead = F.struct(F.col("n_media"), F.col("published_at"), (-F.col("event_id")).alias("i"))
@@ -63,9 +63,18 @@ def merge_ai(events: DataFrame, threshold: float = V.AI_THRESHOLD) -> DataFrame:
     )
 
 
+def with_hits(events: DataFrame) -> DataFrame:
+    """Events with the phrases that all rules look at."""
+    return events.withColumn("hits", rules.found())
+
+
+def _hits(events: DataFrame) -> Column | None:
+    return F.col("hits") if "hits" in events.columns else None
+
+
 def score(events: DataFrame) -> DataFrame:
     """Impact, reason and direction."""
-    return events.withColumn("__i", rules.impact()).withColumn("__d", rules.direction()).select(
+    return events.withColumn("__i", rules.impact(hits=_hits(events))).withColumn("__d", rules.direction()).select(
         *events.columns, F.col("__i.impact").alias("impact"), F.col("__i.reason").alias("reason"), F.col("__d.label").alias("sentiment"), F.col("__d.score").alias("direction_score"), F.col("__d.trigger").alias("trigger")
     )
 
@@ -73,14 +82,14 @@ def score(events: DataFrame) -> DataFrame:
 def reroute(events: DataFrame) -> DataFrame:
     """Tax stories to the tax section, then AI stories to the AI section; reasons and impact follow."""
     columns = [c for c in events.columns if c not in ("category", "impact", "reason")]
-    t = events.withColumn("__t", rules.tax_class())
+    t = events.withColumn("__t", rules.tax_class(hits=_hits(events)))
     moves = (F.col("category") == "pajak") | (F.col("__t.is_tax") & F.col("category").isin(V.TAX_MOVES_FROM))
     level = F.when(moves & (F.col("impact") == 1) & ~F.col("__t.regional"), 2).otherwise(F.col("impact"))
     t = t.select(
         *columns, F.when(moves, "pajak").otherwise(F.col("category")).alias("category"), level.alias("impact"),
         F.when(moves & F.col("__t.topic").isNotNull() & (level != 3), F.col("__t.topic")).otherwise(F.col("reason")).alias("reason"), F.when(moves, F.col("__t")).alias("tax"),
     )
-    a = t.withColumn("__a", rules.ai_class())
+    a = t.withColumn("__a", rules.ai_class(hits=_hits(events)))
     moves = (F.col("category") == "ai") | (F.col("category").isin(V.AI_MOVES_FROM) & F.col("__a.is_ai"))
     wide = moves & (F.col("impact") == 3) & (F.col("reason") == V.LABELS["wide"])
     level = F.when(F.coalesce(wide, F.lit(False)), 2).otherwise(F.col("impact"))
@@ -91,9 +100,9 @@ def reroute(events: DataFrame) -> DataFrame:
     )
 
 
-def passes() -> Column:
+def passes(hits: Column | None = None) -> Column:
     no = lambda c: ~F.coalesce(c, F.lit(False))
-    return rules.relevant() & (F.col("impact") != 0) & no(F.col("tax.discard")) & no(F.col("ai.discard") | ~F.col("ai.is_ai"))
+    return rules.relevant(hits=hits) & (F.col("impact") != 0) & no(F.col("tax.discard")) & no(F.col("ai.discard") | ~F.col("ai.is_ai"))
 
 
 def order_keys() -> list[Column]:
@@ -104,7 +113,7 @@ def order_keys() -> list[Column]:
 def sections(events: DataFrame) -> DataFrame:
     """The displayed events with ``section`` and ``rank``. Events of the top block leave their own section;
     those that overflow it return to theirs. Each ranking is a top-k, which Spark limits before it shuffles."""
-    return _ranked(events.where(passes()))
+    return _ranked(events.where(passes(_hits(events))))
 
 
 def _ranked(ok: DataFrame) -> DataFrame:
@@ -118,10 +127,12 @@ def _ranked(ok: DataFrame) -> DataFrame:
 def compose(articles: DataFrame, merge: bool = True) -> DataFrame:
     """All editions of ``articles(article_id, url, domain, title, summary, published_at, category, weight,
     image, lang, edition)``: events, merged, scored, routed and ranked. Each step is read more than once
-    by the next, so it is written first."""
-    events = cut(events_of(with_defaults(articles)), "events")
-    merged = cut(merge_ai(events), "merged") if merge else events
-    return _ranked(cut(reroute(cut(score(merged), "scored")).where(passes()), "routed"))
+    by the next, so it is written first; texts are looked through once, and what comes of it is written with
+    the events, so that a filter that Spark moves below the rules repeats only comparisons of short arrays."""
+    events = cut(with_hits(events_of(with_defaults(articles))), "events")
+    merged = merge_ai(events) if merge else events
+    scored = cut(score(merged), "scored")
+    return _ranked(cut(reroute(scored).where(passes(F.col("hits"))).drop("hits"), "routed"))
 
 
 def totals(articles: DataFrame) -> DataFrame:

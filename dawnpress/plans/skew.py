@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 HOT_KEYS, LEAST_ROWS = 1024, 1000
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores where its files make fewer splits than there are cores, as one small file does;
+    a large table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> list[Row]:
     """The hot keys, out of how many rows each key has. Most tables have none: one look tells."""
     top = counts.where(F.col(n) > LEAST_ROWS).orderBy(F.desc(n), *keys).limit(HOT_KEYS).collect()

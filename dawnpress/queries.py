@@ -11,6 +11,7 @@ from dawnpress.functions import fixed_values as V
 from dawnpress.functions import rules
 from dawnpress.functions import text as X
 from dawnpress.operators import cluster, edition, events, quality, report
+from dawnpress.plans.skew import spread
 from dawnpress.sources import feeds, store
 
 #: Event types of the driver's tables as sections.
@@ -21,7 +22,7 @@ def articles(spark: SparkSession, d: str) -> DataFrame:
     """Articles over the driver's tables, with their edition: the title is the first line, the summary has the
     stored length."""
     line = F.split("text", "\n")[0]
-    docs, ev = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/events.parquet")
+    docs, ev = spread(spark.read.parquet(f"{d}/documents.parquet")), spark.read.parquet(f"{d}/events.parquet")
     category = F.create_map(*(F.lit(x) for kv in CATEGORY.items() for x in kv))
     rows = docs.join(ev, docs["doc_id"] == ev["event_id"]).select(
         F.col("doc_id").alias("article_id"), F.concat(F.lit("https://"), "source", F.lit(".example/"), F.col("doc_id").cast("string")).alias("url"), F.col("source").alias("domain"),
@@ -112,7 +113,7 @@ def headlines(spark: SparkSession, d: str) -> DataFrame:
     """The fixed headlines, and one for each document: its first line before a fixed one, its text behind the
     summary, its own domain for every fifth."""
     fixed = fixed_headlines(spark)
-    docs = spark.read.parquet(f"{d}/documents.parquet").select((F.col("doc_id") + len(HEADLINES)).alias("i"), "text", "source")
+    docs = spread(spark.read.parquet(f"{d}/documents.parquet")).select((F.col("doc_id") + len(HEADLINES)).alias("i"), "text", "source")
     of = F.broadcast(fixed.withColumnRenamed("id", "h"))
     each = docs.join(of, F.pmod("i", F.lit(len(HEADLINES))) == F.col("h")).select(
         F.col("i").alias("id"), F.concat_ws(" ", F.split("text", "\n")[0], "title").alias("title"), F.concat_ws(" ", "summary", "text").alias("summary"),
