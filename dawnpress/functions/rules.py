@@ -207,18 +207,20 @@ def _before(w: Column, i: Column, n: int) -> Column:
     return F.slice(w, start + 1, i - start)
 
 
-def _phrases(w: Column, phrases: list[str], sign: int) -> Column:
-    """Triggers of fixed phrases, in the list's order, then by place."""
+_DIRECTED = _groups(V.POSITIVE_PHRASES, V.NEGATIVE_PHRASES)
+
+
+def _phrases(w: Column, hits: Column, phrases: list[str], sign: int) -> Column:
+    """Triggers of fixed phrases, in the list's order, then by place; only phrases among the matches are looked for."""
     negated = lambda i: F.arrays_overlap(_before(w, i, V.NEGATION_REACH), _set(V.NEGATIONS))
 
     def of(p: Column) -> Column:
         parts = F.split(p, " ")
         n = F.size(parts)
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.slice(w, i + 1, n) == parts)
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.get(w, i) == F.get(parts, F.lit(0))) & (F.slice(w, i + 1, n) == parts))
         return F.transform(at, lambda i: F.struct(F.when(negated(i), -sign).otherwise(sign).alias("sign"), p.alias("name")))
 
-    text = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
-    present = F.filter(_set(phrases), lambda p: F.contains(text, F.concat(F.lit(" "), p, F.lit(" "))))
+    present = F.filter(_set(phrases), lambda p: F.exists(hits, lambda h: (h == p) | F.startswith(h, F.concat(p, F.lit(" ")))))
     return F.flatten(F.transform(present, of))
 
 
@@ -240,8 +242,15 @@ def _directions(w: Column) -> Column:
 
 def _triggers(text: str | Column) -> Column:
     kind = "array<struct<sign:int,name:string>>"
-    every = lambda w: F.when(F.size(w) > 0, F.concat(_phrases(w, V.POSITIVE_PHRASES, 1), _phrases(w, V.NEGATIVE_PHRASES, -1), _directions(w)).cast(kind)).otherwise(F.array().cast(kind))
-    return _let(word_list(text), every)
+    none = F.array().cast(kind)
+
+    def every(t: Column) -> Column:
+        w, hits = t["words"], t["hits"]
+        fixed = F.when(F.size(hits) > 0, F.concat(_phrases(w, hits, V.POSITIVE_PHRASES, 1), _phrases(w, hits, V.NEGATIVE_PHRASES, -1)).cast(kind)).otherwise(none)
+        moving = F.when(F.arrays_overlap(w, _set(V.UP_WORDS + V.DOWN_WORDS)), _directions(w).cast(kind)).otherwise(none)
+        return F.concat(fixed, moving)
+
+    return _let(F.struct(word_list(text).alias("words"), matches(padded(text), _DIRECTED).alias("hits")), every)
 
 
 def direction(title: str = "title", summary: str = "summary") -> Column:

@@ -150,18 +150,18 @@ def _marker(markers: list[str], ambiguous: dict[str, list[str]], sign: str) -> s
     return f"({_any('ti', markers)} or " + " or ".join(f"(contains(ti, ' {k} ') and {sign} {_any('tx', v)})" for k, v in ambiguous.items()) + ")"
 
 
-_SENTIMENT = f"""with {_HEAD},
+_SENTIMENT = f"""with {_HEADS},
 part as (select id, 1 part, {V.TITLE_WEIGHT} weight, title t from h union all select id, 2, {V.SUMMARY_WEIGHT}, coalesce(summary, '') from h),
 w as (select id, part, weight, list_filter(string_split(trim(regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '), lambda x: x <> '') w from part),
 pos as (select *, unnest(range(1, len(w) + 1)) i from w),
-ph as (select unnest(range(1, {len(V.POSITIVE_PHRASES + V.NEGATIVE_PHRASES)} + 1)) o, unnest([{_q(V.POSITIVE_PHRASES + V.NEGATIVE_PHRASES)}]) p),
+ph as (select *, string_split(p, ' ') parts, string_split(p, ' ')[1] head from (select unnest(range(1, {len(V.POSITIVE_PHRASES + V.NEGATIVE_PHRASES)} + 1)) o, unnest([{_q(V.POSITIVE_PHRASES + V.NEGATIVE_PHRASES)}]) p)),
 neg as (select *, list_has_any(w[greatest(i - {V.NEGATION_REACH}, 1):i - 1], [{_q(V.NEGATIONS)}]) and i > 1 n1, list_has_any(w[greatest(i - {V.NEGATION_REACH}, 1):i - 1], [{_q(V.NEGATIONS + V.REVERSERS)}]) and i > 1 n2 from pos),
-t1 as (select id, part, weight, o, i, p as name, (case when o <= {len(V.POSITIVE_PHRASES)} then 1 else -1 end) * (case when n1 then -1 else 1 end) s from neg join ph on w[i:i + len(string_split(p, ' ')) - 1] = string_split(p, ' ')),
+t1 as (select id, part, weight, o, i, p as name, (case when o <= {len(V.POSITIVE_PHRASES)} then 1 else -1 end) * (case when n1 then -1 else 1 end) s from neg join ph on w[i] = head and w[i:i + len(parts) - 1] = parts),
 dir as (select *, w[i] in ({_q(V.UP_WORDS)}) up, case when i > 1 then list_reverse(w[greatest(i - {V.LEFT_REACH}, 1):i - 1]) else [] end l, w[i + 1:i + {V.RIGHT_REACH}] r from neg where w[i] in ({_q(V.UP_WORDS + V.DOWN_WORDS)})),
 sub as (select *, list_filter(l, lambda x: x in ({_q(V.BAD_SUBJECTS)}))[1] lb, list_filter(l, lambda x: x in ({_q(V.GOOD_SUBJECTS)}))[1] lg, list_filter(r, lambda x: x in ({_q(V.BAD_SUBJECTS)}))[1] rb, list_filter(r, lambda x: x in ({_q(V.GOOD_SUBJECTS)}))[1] rg from dir),
 t2 as (select id, part, weight, 1000 o, i, coalesce(lb, lg, rb, rg) || ' ' || w[i] as name, (case when up = (case when lb is not null then false when lg is not null then true when rb is not null then false else true end) then 1 else -1 end) * (case when n2 then -1 else 1 end) s from sub where coalesce(lb, lg, rb, rg) is not null),
 t as (select * from t1 union all select * from t2),
-g as (select id, sum(s * weight)::int score, arg_min(name, part * 1000000 + o * 1000 + i) first_name from t group by id)
+g as (select id, sum(s * weight)::int score, arg_min(name, part * 1000000000000 + o * 100000000 + i) first_name from t group by id)
 select h.id, case when coalesce(score, 0) > 0 then 'positif' when coalesce(score, 0) < 0 then 'negatif' else 'netral' end as label, coalesce(score, 0)::int score, case when coalesce(score, 0) <> 0 then first_name end as trigger_name from h left join g using (id)"""
 
 
@@ -253,7 +253,7 @@ def impact_score(s, d):
 
 
 def sentiment_headlines(s, d):
-    return fixed_headlines(s).withColumn("s", rules.direction()).select("id", "s.label", "s.score", F.col("s.trigger").alias("trigger_name"))
+    return headlines(s, d).withColumn("s", rules.direction()).select("id", "s.label", "s.score", F.col("s.trigger").alias("trigger_name"))
 
 
 def tax_class(s, d):
