@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from dawnpress.functions import fixed_values as V
 from dawnpress.functions import rules
 from dawnpress.functions import text as X
-from dawnpress.operators import cluster, edition, events, quality, report
+from dawnpress.operators import cluster, edition, events, incremental, quality, report
+from dawnpress.plans.lineage import table_path
 from dawnpress.plans.skew import spread
 from dawnpress.sources import feeds, store
 
@@ -217,6 +218,14 @@ def components(s, d):
     return cluster.clusters(articles(s, d))
 
 
+def incremental_components(s, d):
+    """Clusters after the articles came in two batches, each with articles of every edition."""
+    a, state = articles(s, d).select("article_id", "title", "edition"), incremental.ClusterState(s, table_path(s, "cluster-state"))
+    for k in (0, 1):
+        state.update(a.where(F.pmod("article_id", F.lit(2)) == k))
+    return state.clusters()
+
+
 def event_rollup(s, d):
     return events.events_of(articles(s, d)).select("edition", "event_id", "title", "url", "domain", "published_at", "category", "n_media", "weight", "n_articles")
 
@@ -341,7 +350,7 @@ def volume_spikes(s, d):
 
 
 _FUNCTIONS = (
-    canonical_url, page_summary_clean, edition_assign, edition_window, title_tokens, token_df, rare_cut, candidate_pairs, similar_pairs, components, event_rollup, also_list,
+    canonical_url, page_summary_clean, edition_assign, edition_window, title_tokens, token_df, rare_cut, candidate_pairs, similar_pairs, components, incremental_components, event_rollup, also_list,
     domain_popularity, edition_totals, edition_sections, edition_compose, edition_pages, impact_score, sentiment_headlines, tax_class, ai_class, disaster_flag, reroute_sections, phrase_hits,
     append_ignore, upsert_state, fill_null, run_metrics, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, volume_spikes,
 )
@@ -390,6 +399,7 @@ ORACLES: dict[str, str] = {
     "candidate_pairs": f"with {_ART}, {_TOK}, {_PAIR} select edition, a, b from cand",
     "similar_pairs": f"with {_ART}, {_TOK}, {_PAIR} select a, b, round(jaccard, 9) jaccard, round(overlap, 9) overlap, rare from edge",
     "components": f"with recursive {_ART}, {_TOK}, {_PAIR}, {_COMP} select article_id, event_id from comp",
+    "incremental_components": f"with recursive {_ART}, {_TOK}, {_PAIR}, {_COMP} select article_id, event_id from comp",
     "event_rollup": f"{_TO_EVENT} select edition, event_id, title, url, \"domain\", published_at, category, n_media, weight, n_articles from ev",
     "also_list": f"{_TO_EVENT}, l as (select event_id, \"domain\" dom, url, row_number() over (partition by event_id, \"domain\" order by published_at desc, article_id) k from mem) select l.event_id, l.dom as \"domain\", l.url from l join ev on ev.event_id = l.event_id where k = 1 and l.dom <> ev.\"domain\"",
     "domain_popularity": f"with {_ART} select edition, \"domain\", count(*) popularity from art group by all",
