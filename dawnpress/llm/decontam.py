@@ -9,7 +9,7 @@ does not matter, so passages that were reordered or cut into pieces are caught.
 
 Only words inside shared seeds can be marked, so a document is cut down to those before tiling: the
 work of a pair follows what it shares and not the document's length. The benchmark is a stated query
-set. It is read in blocks of ``block`` items, each sent to the scan whole; one scan per block covers
+set. It is read in blocks of about ``block`` items and ``BLOCK_BYTES`` at most, each sent to the scan whole; one scan per block covers
 all documents, without a shuffle and without gathering the documents that share a passage.
 
 Defined cases: a null or blank document or item matches nothing; an item with fewer words than a seed
@@ -31,7 +31,8 @@ from dawnpress.llm.textscan import LOWER, MULTIPLIERS, SPACE, U64, mix, word_chu
 
 SEED = 5
 COVERAGE = 0.5
-BLOCK = 20_000
+#: Items and bytes of a block.
+BLOCK, BLOCK_BYTES = 20_000, 1 << 25
 
 BREAKS = SPACE.copy()
 BREAKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
@@ -60,43 +61,63 @@ def _runs(h: np.ndarray, n: int) -> np.ndarray:
         have *= 2
 
 
+def _open(free: np.ndarray, n: int) -> np.ndarray:
+    """Where windows of ``n`` free places begin."""
+    taken = np.append(0, np.cumsum(~free))
+    return np.flatnonzero(taken[n:] == taken[:-n])
+
+
+def _longest(free: np.ndarray) -> int:
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]])))
+    return int((edges[1::2] - edges[::2]).max(initial=0))
+
+
 def tile(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling of two word-hash sequences: (start in item, start in text, length)."""
+    """Greedy string tiling of two word-hash sequences: (start in item, start in text, length).
+
+    The longest run that both still have is found by halving: if there is one of a length, there is one of each
+    shorter length, and hashes of all free windows of a length tell. All windows of that length are then tried in
+    order, each with the places of the text that have its hash; a place that was marked is passed once. No pairs
+    of windows are listed, so texts that repeat their words cost no more than others."""
     tiles: list[tuple[int, int, int]] = []
     free_i, free_t = np.ones(len(item), bool), np.ones(len(text), bool)
-    search = min(len(item), len(text))
-    while search >= least:
-        ki, kt = len(item) - search + 1, len(text) - search + 1
-        open_i = np.convolve(free_i, np.ones(search, np.int64), "valid") == search
-        open_t = np.convolve(free_t, np.ones(search, np.int64), "valid") == search
-        a, b = np.flatnonzero(open_i), np.flatnonzero(open_t)
-        found = []
-        if ki > 0 and kt > 0 and len(a) and len(b):
-            ha, hb = _runs(item, search)[a], _runs(text, search)[b]
-            order = np.argsort(hb, kind="stable")
-            lo, hi = np.searchsorted(hb[order], ha, "left"), np.searchsorted(hb[order], ha, "right")
-            for i, x, y in zip(a.tolist(), lo.tolist(), hi.tolist(), strict=True):
-                found += [(i, int(b[order[k]])) for k in range(x, y)]
-        if not found:
-            search = search - 1 if search <= 2 * least else max(least, search // 2)
-            continue
-        grown = []
-        for i, j in found:
-            n = search
-            while i + n < len(item) and j + n < len(text) and free_i[i + n] and free_t[j + n] and item[i + n] == text[j + n]:
-                n += 1
-            if np.array_equal(item[i : i + n], text[j : j + n]):
-                grown.append((-n, i, j))
-        longest = -min(grown)[0] if grown else 0
-        if longest > search:  # longer runs than were looked for: look for those first
-            search = longest
-            continue
-        for n, i, j in sorted(grown):
-            if free_i[i : i - n].all() and free_t[j : j - n].all():
-                free_i[i : i - n] = False
-                free_t[j : j - n] = False
-                tiles.append((i, j, -n))
-        search = search - 1 if search > least else 0
+
+    def windows(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        a, b = _open(free_i, n), _open(free_t, n)
+        return a, _runs(item, n)[a], b, _runs(text, n)[b]
+
+    def common(n: int) -> bool:
+        _, ha, _, hb = windows(n)
+        return bool(np.isin(ha, hb).any())
+
+    most = min(len(item), len(text))
+    while (most := min(most, _longest(free_i), _longest(free_t))) >= least and common(least):
+        low, high = least, most
+        while low < high:
+            n = (low + high + 1) // 2
+            low, high = (n, high) if common(n) else (low, n - 1)
+        n, most = low, low - 1
+        a, ha, b, hb = windows(n)
+        order = np.argsort(hb, kind="stable")
+        b, hb = b[order], hb[order]
+        first, stop = np.searchsorted(hb, ha, "left"), np.searchsorted(hb, ha, "right")
+        some, begun, end = np.flatnonzero(stop > first), {}, -1
+        for i, x, y in zip(a[some].tolist(), first[some].tolist(), stop[some].tolist(), strict=True):
+            if i < end:
+                continue
+            k = begun.get(x, x)  # places before it are marked
+            while k < y:
+                j = int(b[k])
+                if not free_t[j : j + n].all():
+                    k += int(np.searchsorted(b[k:y], j + 1 + np.flatnonzero(~free_t[j : j + n])[-1]))
+                    begun[x] = k
+                elif np.array_equal(item[i : i + n], text[j : j + n]):
+                    free_i[i : i + n] = free_t[j : j + n] = False
+                    tiles.append((i, j, n))
+                    end = i + n
+                    break
+                else:  # equal hashes of different words
+                    k += 1
     return tiles
 
 
@@ -109,7 +130,7 @@ class Items:
             self.words += [w.hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.tables = []  # for each length of seed (shorter ones for shorter items): sorted hashes, item
         for n in range(1, seed + 1):
-            rows = [(h, i) for i, w in enumerate(self.words) if (len(w) == n if n < seed else len(w) >= n) for h in _gram(w, n).tolist()]
+            rows = [(h, i) for i, w in enumerate(self.words) if (len(w) == n if n < seed else len(w) >= n) for h in np.unique(_gram(w, n)).tolist()]
             if rows:
                 h = np.array([r[0] for r in rows], U64)
                 order = np.argsort(h, kind="stable")
@@ -156,21 +177,17 @@ def _pairs(words, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
 
 def _blocks(benchmark: DataFrame, block: int) -> Iterator[tuple[list[int], list[str]]]:
     rows = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    total = rows.count()
-    n = max(1, -(-total // block))
+    total, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = max(1, -(-total // block), -(-size // BLOCK_BYTES))
     for k in range(n if total else 0):
-        got = (rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)).collect()
+        got = (rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)).collect()
         yield [r[0] for r in got], [r[1] for r in got]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, block: int = BLOCK) -> DataFrame:
     """``doc_id, item_id, n_marked, n_words, n_tiles, coverage`` for each document and item whose
     coverage is ``coverage`` or more."""
-    return _found(docs, benchmark.where("item_id is not null"), seed, coverage, block)
-
-
-def _found(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, block: int = BLOCK) -> DataFrame:
-    """As :func:`leaks`, with items that have no id."""
+    benchmark = benchmark.where("item_id is not null")
     schema = "doc_id long, item_id long, n_marked long, n_words long, n_tiles long, coverage double"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
@@ -193,8 +210,20 @@ def _found(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: fl
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that cover a benchmark item, with the same columns. Rows without
-    a ``doc_id`` cannot be named by a leak and stay."""
-    found = _found(docs, benchmark, **how).where("doc_id is not null").select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("__leak"), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, coverage: float = COVERAGE, block: int = BLOCK) -> DataFrame:
+    """``docs`` without the rows that cover a benchmark item, with the same columns. Each row is judged by its own
+    text where it stands, whatever its id: nothing is joined or shuffled."""
+    for ids, texts in _blocks(benchmark, block):
+        items = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, seed))
+
+        def keep(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(len(batch), bool)
+                for first, _, words in word_chunks(batch.column("text"), fold=LOWER, ends_word=BREAKS):
+                    for row, _, marked, n, _ in _pairs(words, items.value):
+                        if marked >= coverage * n:
+                            clean[first + row] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dawnpress.llm.textscan import MULTIPLIERS, mix, word_chunks
@@ -355,8 +355,10 @@ def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int =
 
 def keep_one_per_class(docs: DataFrame, **how) -> DataFrame:
     """``docs`` without the documents that are not the first (smallest ``doc_id``) of their class.
-    ``doc_id`` is taken as the key: of repeated rows of one id, one stays. Rows without text stay, and
-    so do rows without a ``doc_id``."""
+    ``doc_id`` is taken as the key: of repeated rows of one id, the one whose text has the least hash stays. Rows
+    without text stay, and so do rows without a ``doc_id``."""
     kept = jaccard_classes(docs, **how).where("doc_id = component_id").select(F.col("doc_id").alias("__first"))
-    named = docs.join(kept, F.col("doc_id") == F.col("__first"), "left_semi").dropDuplicates(["doc_id"])
+    named = docs.join(kept, F.col("doc_id") == F.col("__first"), "left_semi")
+    least = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    named = named.withColumn("__place", F.row_number().over(least)).where("__place = 1").drop("__place")
     return named.unionByName(docs.where("doc_id is null"))

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import time
 import zlib
 
 import duckdb
@@ -300,6 +301,44 @@ def test_drop_leaks_of_items_without_id(spark):
     assert [r["doc_id"] for r in decontam.drop_leaks(docs, bench, block=1).collect()] == [2]
 
 
+def test_drop_leaks_judges_rows(spark):
+    """Rows without an id, and rows of one id, each by their own text; other columns stay as they are."""
+    rows = [(None, BASE, 1), (None, "a clean row without an id", 2), (3, BASE, 3), (3, "the same id and a clean text", 4), (4, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([(1, BASE)], "item_id long, text string")
+    got = decontam.drop_leaks(docs, bench)
+    assert got.schema == docs.schema and sorted(r["item_id"] for r in got.collect()) == [2, 4, 5]
+
+
+@pytest.mark.parametrize("item, text", [([1] * 100 + [2], [1] * 20_000), ([1, 2, 3], [1, 2, 3, 3, 2, 1, 2]), (list(range(1, 51)), list(range(1, 51)))])
+def test_tiles_of_repeated_words(item, text):
+    """Texts that repeat their words cost no more than others, and tiles are right by their own definition."""
+    item, text = np.array(item * (1000 // len(item)), np.uint64), np.array(text * (20_000 // len(text)), np.uint64)
+    began = time.process_time()
+    tiles = decontam.tile(item, text, 5)
+    assert time.process_time() - began < 2
+    assert [t[2] for t in tiles] == sorted((t[2] for t in tiles), reverse=True)
+    assert all(np.array_equal(item[i : i + n], text[j : j + n]) for i, j, n in tiles)
+    for k, m in ((0, len(item)), (1, len(text))):
+        spans = sorted((t[k], t[k] + t[2]) for t in tiles)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] <= m
+
+
+def test_tiles_of_three_letters():
+    r = np.random.default_rng(3)
+    for _ in range(20):
+        item, text = (r.integers(1, 4, n).astype(np.uint64) for n in (60, 150))
+        assert sorted(decontam.tile(item, text, 4)) == sorted(brute_tiles(item.tolist(), text.tolist(), 4))
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 2000)
+    bench = spark.createDataFrame([(k, f"{BASE} item {k}") for k in range(20)], "item_id long, text string")
+    assert len([x for x in decontam._blocks(bench, 100) if x[0]]) > 5
+    docs = spark.createDataFrame([(1, f"{BASE} item 7")], "doc_id long, text string")
+    assert decontam.leaks(docs, bench).count() == 20
+
+
 def test_line_dedup(spark, docs, odd, empty, tmp_path):
     for name, df in (("a", docs), ("b", odd.where("doc_id is not null and doc_id not in (10, 11)")), ("c", empty)):
         df.select("doc_id", "text").write.parquet(str(tmp_path / name))
