@@ -21,7 +21,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not cover an item of the benchmark; rows without a doc_id stay."""
+    """Rows whose text does not cover an item of the benchmark, whatever their id."""
     return decontam.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
