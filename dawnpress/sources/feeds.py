@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import html
 import random
@@ -25,6 +26,9 @@ from dawnpress.sources.store import Table, coverage, last_wins
 #: (url, headers) -> (status, headers, body); raises OSError when there is no reply.
 Transport = Callable[[str, dict[str, str]], tuple[int, dict[str, str], bytes]]
 
+#: A raw reply.
+RAW = "name string, url string, category string, weight double, lang string, status int, fetched_at timestamp_ntz, etag string, last_modified string, sha256 string, n_bytes int, duration double, body binary, note string"
+
 
 def catalogue(spark: SparkSession, toml: str) -> DataFrame:
     """The feed list of a TOML text, with defaults."""
@@ -95,7 +99,7 @@ def fetch(feeds: DataFrame, state: DataFrame, client: Callable[[], Client]) -> D
             yield pd.DataFrame(rows, columns=["name", "url", "category", "weight", "lang", "status", "fetched_at", "etag", "last_modified", "sha256", "n_bytes", "duration", "body", "note"])
 
     hosts = todo.repartition("host").select("name", "url", "category", "weight", "lang", "etag", "last_modified")
-    return hosts.mapInPandas(run, "name string, url string, category string, weight double, lang string, status int, fetched_at timestamp_ntz, etag string, last_modified string, sha256 string, n_bytes int, duration double, body binary, note string")
+    return hosts.mapInPandas(run, RAW)
 
 
 def write_bronze(raw: DataFrame, path: str) -> None:
@@ -105,10 +109,10 @@ def write_bronze(raw: DataFrame, path: str) -> None:
 
 def read_bronze(spark: SparkSession, path: str, month: str | None = None) -> DataFrame:
     """Raw replies; ``month`` (``2026/09``) prunes partitions."""
-    df = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(path)
+    df = spark.read.schema(f"{RAW}, source string, year string, month string").parquet(path)
     if month:
         y, m = month.split("/")
-        df = df.where((F.col("year") == int(y)) & (F.col("month") == int(m)))
+        df = df.where((F.col("year") == y) & (F.col("month") == m))
     return df
 
 
@@ -116,16 +120,85 @@ def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1].lower()
 
 
+def _is_media(tag: str) -> bool:
+    """Whether a tag belongs to the vocabulary of pictures and films."""
+    return "media" in tag or "mrss" in tag.split("}")[0]
+
+
+def decode(body: bytes) -> str:
+    """The text of a feed: by its byte-order mark, as UTF-8 if it is that, as it declares, or as western text."""
+    for mark, name in ((codecs.BOM_UTF8, "utf-8"), (codecs.BOM_UTF16_LE, "utf-16-le"), (codecs.BOM_UTF16_BE, "utf-16-be")):
+        if body.startswith(mark):
+            return body[len(mark) :].decode(name, "replace")
+    declared = re.match(rb"""\s*<\?xml[^>]*encoding=["']([A-Za-z0-9._-]+)""", body)
+    for name in ("utf-8", declared[1].decode() if declared else "utf-8", "cp1252"):
+        try:
+            return body.decode(name)
+        except (UnicodeDecodeError, LookupError):
+            pass
+    return body.decode("utf-8", "replace")
+
+
+#: Elements of an entry whose start ends an element that was left open before them.
+_FIELDS = {
+    "title", "link", "description", "summary", "content", "encoded", "pubdate", "published", "updated", "date", "source", "enclosure", "thumbnail", "guid", "id", "author",
+    "creator", "category", "comments", "group", "credit",
+}
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<raw>.*?)(?:\]\]>|\Z)|<[?!][^<>]*>?|<(?P<end>/?)(?P<name>[A-Za-z_][\w.:-]*)(?P<more>[^<>]*?)(?P<empty>/?)>|(?P<text>[^<]+|<)", re.S)
+_ATTRIBUTE = re.compile(r"""([\w.:-]+)\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s"'>]+))""")
+
+
+def lenient_entries(text: str) -> list[ET.Element]:
+    """Entries of a feed that is no well-formed XML. A reader with three states: outside an entry, in one, and in
+    one of its elements. An element ends with its tag, with the next element or with the entry; an entry ends with
+    its tag, with the next entry or with the text. Other tags inside an element are its text, an ampersand may
+    stand alone, and all entities of HTML are known."""
+    out: list[ET.Element] = []
+    entry = field = None
+    parts: list[str] = []
+
+    def close() -> None:
+        nonlocal field
+        if field is not None:
+            field.text = "".join(parts)
+            parts.clear()
+            field = None
+
+    for m in _TOKEN.finditer(text):
+        name = (m["name"] or "").lower()
+        prefix, _, local = name.rpartition(":")
+        if name and not m["end"] and local in ("item", "entry"):
+            close()
+            out.append(entry := ET.Element(local))
+        elif entry is None:
+            continue
+        elif name and m["end"] and local in ("item", "entry"):
+            close()
+            entry = None
+        elif name and not m["end"] and local in _FIELDS and (field is None or field.tag != "content" or prefix):
+            close()
+            if local == "group":
+                continue
+            found = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(m["more"])}
+            field = ET.SubElement(entry, f"{{{prefix}}}{local}" if prefix else local, found)
+            if m["empty"]:
+                close()
+        elif name and m["end"] and field is not None and _local(field.tag) == local:
+            close()
+        elif field is not None:
+            parts.append(m["raw"] if m["raw"] is not None else html.unescape(m["text"]) if m["text"] else m[0] if name else "")
+    close()
+    return out
+
+
 def parse_feed(body: bytes) -> list[dict]:
-    """Entries of an RSS or Atom document; an unreadable one has none."""
+    """Entries of an RSS or Atom document, also of one that is no well-formed XML."""
     try:
-        root = ET.fromstring(body)
-    except ET.ParseError:
-        return []
+        items: list[ET.Element] = [x for x in ET.fromstring(body).iter() if _local(x.tag) in ("item", "entry")]
+    except (ET.ParseError, ValueError, LookupError):  # ValueError and LookupError: encodings that do not fit or exist
+        items = lenient_entries(decode(body))
     out = []
-    for item in root.iter():
-        if _local(item.tag) not in ("item", "entry"):
-            continue
+    for item in items:
         e: dict = {"link": None, "title": None, "summary": None, "content": None, "published": None, "updated": None, "source": None, "source_url": None, "thumbs": [], "media": [], "enclosures": []}
         for x in item:
             tag, value = _local(x.tag), (x.text or "").strip()
@@ -133,11 +206,11 @@ def parse_feed(body: bytes) -> list[dict]:
                 e["link"] = e["link"] or x.get("href") or value
                 if x.get("rel") == "enclosure":
                     e["enclosures"].append((x.get("href"), x.get("type")))
-            elif tag == "title" and "media" not in x.tag:
+            elif tag == "title" and not _is_media(x.tag):
                 e["title"] = value
-            elif tag in ("description", "summary"):
+            elif tag in ("description", "summary") and not _is_media(x.tag):
                 e["summary"] = e["summary"] or value
-            elif tag in ("encoded", "content") and value:
+            elif tag in ("encoded", "content") and value and not _is_media(x.tag):
                 e["content"] = value
             elif tag in ("pubdate", "published", "date"):
                 e["published"] = value
@@ -149,7 +222,7 @@ def parse_feed(body: bytes) -> list[dict]:
                 e["enclosures"].append((x.get("url"), x.get("type")))
             if tag == "thumbnail":
                 e["thumbs"].append(x.get("url"))
-            if "media" in x.tag:
+            if _is_media(x.tag):
                 for m in x.iter():
                     if _local(m.tag) == "content" and m.get("url"):
                         e["media"].append((m.get("url"), m.get("medium")))
