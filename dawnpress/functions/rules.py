@@ -194,6 +194,12 @@ def relevant(category: str = "category", title: str = "title", summary: str = "s
     return _texts(title, summary, hits, judge)
 
 
+def themes(title: str = "title", summary: str = "summary", hits: Column | None = None) -> Column:
+    """The labels of all groups of impact phrases that an article has one of."""
+    groups = V.BIG_PHRASES | V.MEDIUM_PHRASES
+    return _texts(title, summary, hits, lambda head, whole: F.filter(F.array(*(F.when(_has(whole, p), F.lit(k)) for k, p in groups.items())), lambda x: x.isNotNull()))
+
+
 # -- direction (sentiment) -------------------------------------------------------------------------
 
 

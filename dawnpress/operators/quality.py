@@ -17,6 +17,70 @@ def with_validity(series: DataFrame, key: list[str], released: str = "release_da
     return series.withColumn("valid_until", F.lead(released).over(Window.partitionBy(*key).orderBy(released)))
 
 
+def known_at(series: DataFrame, dates: DataFrame, day: str = "day", released: str = "release_date", until: str = "valid_until", width: int = 32, salts: int = 16) -> DataFrame:
+    """For each date of ``dates(day)`` the rows of a bitemporal series that were known on it, with the date.
+
+    A range join by buckets of ``width`` days: a row goes to the buckets that its time of validity meets, cut to
+    the first and the last date asked for, a date to its own. Rows of a bucket are dealt to ``salts`` tasks, so
+    that a time in which very many rows are valid is no task's alone; a date goes to each of them. Null or
+    repeated dates count once or not at all; a row without a release date is never known."""
+    asked = dates.select(F.col(day).cast("date").alias("__day")).where("__day is not null").distinct()
+    span = asked.agg(F.min("__day").alias("low"), F.max("__day").alias("high")).first()
+    if span["low"] is None:
+        return series.limit(0).select(F.lit(None).cast("date").alias(day), *series.columns)
+    low, high = F.lit(span["low"]), F.lit(span["high"])
+    number = lambda c: F.floor(F.unix_date(c) / width)
+    met = series.withColumn("__from", F.greatest(F.col(released).cast("date"), low)).withColumn("__to", F.least(F.coalesce(F.date_sub(F.col(until).cast("date"), 1), high), high)).where(F.col(released).isNotNull() & (F.col("__from") <= F.col("__to")))
+    rows = met.withColumn("__bucket", F.explode(F.sequence(number("__from"), number("__to")))).withColumn("__salt", F.pmod(F.xxhash64(*series.columns), F.lit(salts)).cast("int"))
+    days = asked.withColumn("__bucket", number("__day")).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = rows.join(days, ["__bucket", "__salt"]).where("__day between __from and __to")
+    return found.select(F.col("__day").alias(day), *series.columns)
+
+
+def reconcile(values: DataFrame, by: list[str], source: str = "source", value: str = "value", tolerance: float = 0.05) -> DataFrame:
+    """For each ``by`` how well its sources agree: ``middle`` (the median of their values), ``n_sources``, ``worst`` (the
+    largest distance from the middle, as a share of it) and the sources that are further off than
+    ``tolerance``. A source's repeated values are averaged first; null values count as missing. One source agrees
+    with itself; where the middle is 0 any other value is off."""
+    each = values.where(F.col(value).isNotNull()).groupBy(*by, source).agg(F.avg(value).alias("v"))
+    # a list of one value for each source
+    one = each.groupBy(*by).agg(F.median("v").alias("middle"), F.count(F.lit(1)).alias("n_sources"), F.collect_list(F.struct(F.col(source).alias("source"), F.col("v").alias("v"))).alias("l"))
+    off = lambda x: F.when(x["v"] == F.col("middle"), 0.0).when(F.col("middle") == 0, float("inf")).otherwise(F.abs(x["v"] - F.col("middle")) / F.abs("middle"))
+    return one.select(
+        *by, "middle", "n_sources", F.array_max(F.transform("l", off)).alias("worst"),
+        F.array_sort(F.transform(F.filter("l", lambda x: off(x) > tolerance), lambda x: x["source"])).alias("off"),
+    )
+
+
+def _middle(values: Column) -> Column:
+    """The median of a short array, null if it is empty."""
+    s, n = F.array_sort(values), F.size(values)
+    at = lambda k: F.get(s, F.floor(k).cast("int"))
+    return (at((n - 1) / 2) + at(n / 2)) / 2
+
+
+def theme_index(marked: DataFrame, days: int = 28, factor: float = 3.0) -> DataFrame:
+    """Daily figures of each theme out of ``marked(day, theme, domain, score)``, a row for each article and theme:
+    ``n_articles``, ``n_sources``, ``tone`` (mean score), ``agreement`` (the share of sources on the side that most
+    take, by the sum of their scores: up, down or neither), ``usual`` and ``spread`` (median and median absolute
+    deviation of the ``days`` rows before) and ``spike`` (over ``usual`` by ``factor`` times 1.4826 ``spread``, and by
+    one article at least).
+
+    Articles are summed up by source, then by theme, both before the shuffle; the baseline looks at one row a
+    day. A theme's first day has no baseline and is no spike; rows without day or theme are left out; a null
+    domain is one source; a null score counts as 0."""
+    each = marked.where("day is not null and theme is not null").groupBy("day", "theme", "domain").agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("score", F.lit(0))).alias("s"))
+    side = lambda c: F.count_if(c)
+    one = each.groupBy("day", "theme").agg(
+        F.sum("n").alias("n_articles"), F.count(F.lit(1)).alias("n_sources"), (F.sum("s") / F.sum("n")).alias("tone"),
+        (F.greatest(side(F.col("s") > 0), side(F.col("s") < 0), side(F.col("s") == 0)) / F.count(F.lit(1))).alias("agreement"),
+    )
+    before = F.collect_list("n_articles").over(Window.partitionBy("theme").orderBy("day").rowsBetween(-days, -1))  # at most `days` numbers
+    known = one.withColumn("before", before).withColumn("usual", _middle(F.col("before"))).withColumn("spread", _middle(F.transform("before", lambda x: F.abs(x - F.col("usual")))))
+    over = F.col("n_articles") - F.col("usual")
+    return known.withColumn("spike", F.coalesce((over > factor * 1.4826 * F.col("spread")) & (over >= 1), F.lit(False))).drop("before")
+
+
 def date_gaps(days: DataFrame, column: str, by: list[str]) -> DataFrame:
     """Dates after which the series misses some."""
     return days.select(*by, F.col(column).alias("day")).distinct().withColumn("next_day", F.lead("day").over(Window.partitionBy(*by).orderBy("day"))).where(F.datediff("next_day", "day") > 1).withColumn("n_missing", F.datediff("next_day", "day") - 1)

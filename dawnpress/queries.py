@@ -344,6 +344,36 @@ def vintage_asof(s, d):
     return quality.known_on(v, "1997-06-30").select("o_custkey", "o_orderkey", "o_totalprice", "release_date")
 
 
+def _versions(s, d):
+    """Each customer's order as a version of a series, valid until the next one."""
+    o = s.read.parquet(f"{d}/orders.parquet").select("o_custkey", "o_orderkey", F.struct("o_orderdate", "o_orderkey").alias("k"), F.col("o_orderdate").cast("date").alias("release_date"))
+    return quality.with_validity(o, ["o_custkey"], "k").withColumn("valid_until", F.col("valid_until.o_orderdate").cast("date")).drop("k")
+
+
+def vintages(s, d):
+    """What was known on the first of each month in which something was released."""
+    months = s.read.parquet(f"{d}/orders.parquet").select(F.trunc("o_orderdate", "month").alias("day")).distinct()
+    return quality.known_at(_versions(s, d), months).select("day", "o_custkey", "o_orderkey", "release_date")
+
+
+def source_tolerance(s, d):
+    """Each month's turnover after orders and after their lines."""
+    o = s.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.trunc("o_orderdate", "month").alias("month"), "o_totalprice")
+    lines = s.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_extendedprice").cast("double") * (1 - F.col("l_discount").cast("double")) * (1 + F.col("l_tax").cast("double"))).alias("v"))
+    by_order = o.groupBy("month").agg(F.sum(F.col("o_totalprice").cast("double")).alias("value")).withColumn("source", F.lit("orders"))
+    by_line = o.select("o_orderkey", "month").join(lines, "o_orderkey").groupBy("month").agg(F.sum("v").alias("value")).withColumn("source", F.lit("lines"))
+    return quality.reconcile(by_order.unionByName(by_line), ["month"], tolerance=0.3).select("month", F.round("middle", 2).alias("middle"), "n_sources", F.round("worst", 6).alias("worst"), F.array_join("off", ",").alias("off"))
+
+
+def theme_index(s, d):
+    """Daily themes of the headlines over documents, each on the day of its event."""
+    days = s.read.parquet(f"{d}/events.parquet").select((F.col("event_id") + len(HEADLINES)).alias("id"), F.to_date("ts").alias("day"))
+    h = headlines(s, d).withColumn("hits", rules.found()).withColumn("s", rules.direction())
+    marked = h.select("id", "domain", F.col("s.score").alias("score"), F.explode(rules.themes(hits=F.col("hits"))).alias("theme")).join(days, "id")
+    x = quality.theme_index(marked, days=7, factor=1.0)
+    return x.select("day", "theme", "n_articles", "n_sources", F.round("tone", 9).alias("tone"), F.round("agreement", 9).alias("agreement"), "usual", "spread", "spike")
+
+
 def volume_spikes(s, d):
     c = s.read.parquet(f"{d}/events.parquet").groupBy(F.to_date("ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     return quality.volume_spikes(c, ["event_type"], "day", "n", factor=1.2).select("day", "event_type", "n", F.round("usual", 6).alias("usual"))
@@ -352,7 +382,7 @@ def volume_spikes(s, d):
 _FUNCTIONS = (
     canonical_url, page_summary_clean, edition_assign, edition_window, title_tokens, token_df, rare_cut, candidate_pairs, similar_pairs, components, incremental_components, event_rollup, also_list,
     domain_popularity, edition_totals, edition_sections, edition_compose, edition_pages, impact_score, sentiment_headlines, tax_class, ai_class, disaster_flag, reroute_sections, phrase_hits,
-    append_ignore, upsert_state, fill_null, run_metrics, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, volume_spikes,
+    append_ignore, upsert_state, fill_null, run_metrics, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, vintages, source_tolerance, theme_index, volume_spikes,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _FUNCTIONS}
 
@@ -429,5 +459,20 @@ ORACLES: dict[str, str] = {
     "calendar_shortcuts": f"with {_DAYS}, o(days_back, label) as (values {', '.join(f'({n}, {chr(39)}{t}{chr(39)})' for n, t in V.SHORTCUTS)}) select days_back::int days_back, label, (select max(\"day\") from days) - days_back::int as \"day\" from o where (select max(\"day\") from days) - days_back::int in (select \"day\" from days)",
     "editions_per_month": f"with {_DAYS} select date_trunc('month', \"day\")::date as \"month\", count(*) n_editions, min(\"day\") first_day, max(\"day\") last_day from days group by 1",
     "vintage_asof": "with v as (select o_custkey, o_orderkey, o_totalprice, o_orderdate::date release_date, lead(o_orderdate::date) over (partition by o_custkey order by o_orderdate, o_orderkey) u from orders) select o_custkey, o_orderkey, o_totalprice, release_date from v where release_date <= date '1997-06-30' and (u is null or u > date '1997-06-30')",
+    "vintages": """with v as (select o_custkey, o_orderkey, o_orderdate::date release_date, lead(o_orderdate::date) over (partition by o_custkey order by o_orderdate, o_orderkey) u from orders),
+        m as (select distinct date_trunc('month', o_orderdate)::date "day" from orders)
+        select "day", o_custkey, o_orderkey, release_date from m join v on release_date <= "day" and (u is null or u > "day")""",
+    "source_tolerance": """with o as (select o_orderkey, date_trunc('month', o_orderdate)::date "month", o_totalprice::double p from orders),
+        v as (select "month", 'orders' src, sum(p) v from o group by 1 union all
+          select "month", 'lines', sum(l_extendedprice::double * (1 - l_discount::double) * (1 + l_tax::double)) from o join lineitem on l_orderkey = o_orderkey group by 1),
+        m as (select "month", median(v) middle, count(*) n_sources from v group by 1)
+        select "month", round(middle, 2) middle, n_sources, round(max(abs(v - middle) / middle), 6) worst, coalesce(string_agg(case when abs(v - middle) / middle > 0.3 then src end, ',' order by src), '') "off"
+        from m join v using ("month") group by all""",
+    "theme_index": _SENTIMENT.replace("select h.id, case", f""", sent as (select h.id, coalesce(score, 0) score, h."domain", ' ' || trim(regexp_replace(lower(h.title || ' ' || coalesce(h.summary, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ' tx from h left join g using (id)),
+        th as (select id, score, "domain", unnest(list_filter([{', '.join(f"case when {_any('tx', p)} then '{k}' end" for k, p in (V.BIG_PHRASES | V.MEDIUM_PHRASES).items())}], lambda x: x is not null)) theme from sent),
+        e as (select ts::date "day", theme, "domain", count(*) n, sum(score) s from th join events on event_id + {_N} = id group by all),
+        dd as (select "day", theme, sum(n)::bigint n_articles, count(*) n_sources, sum(s)::double / sum(n) tone, greatest(count(*) filter (where s > 0), count(*) filter (where s < 0), count(*) filter (where s = 0))::double / count(*) agreement from e group by all),
+        ww as (select *, median(n_articles) over k usual, mad(n_articles) over k spread from dd window k as (partition by theme order by "day" rows between 7 preceding and 1 preceding))
+        select "day", theme, n_articles, n_sources, round(tone, 9) tone, round(agreement, 9) agreement, usual::double usual, spread::double spread, coalesce(n_articles - usual > 1.0::double * 1.4826::double * spread and n_articles - usual >= 1, false) spike from ww --""").split(" --")[0],
     "volume_spikes": "with c as (select ts::date as \"day\", event_type, count(*) n from events group by all), w as (select *, avg(n) over (partition by event_type order by \"day\" rows between 7 preceding and 1 preceding) usual from c) select \"day\", event_type, n, round(usual, 6) usual from w where n > 1.2::double * usual",
 }
