@@ -15,8 +15,9 @@ from datetime import datetime, timezone
 from urllib.parse import urlsplit
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from dawnpress import schema as S
 from dawnpress.functions import fixed_values as V
@@ -241,20 +242,70 @@ def image_candidates(e: dict) -> list[str]:
     return [u for u in got if u]
 
 
-def parse_feeds(raw: DataFrame) -> DataFrame:
-    """Raw replies to entries. Feeds are small and often malformed: they are parsed a reply at a time in
-    Python; everything behind is column expressions."""
+_ENTRY = "pos int, link string, raw_title string, raw_summary string, raw_time string, source string, source_url string, images array<string>"
+_REPLY = "feed string, category string, weight double, lang string, fetched_at timestamp_ntz, status int, note string"
+
+
+def parse_replies(raw: DataFrame) -> DataFrame:
+    """Raw replies with their ``entries``. Feeds are small and often malformed: they are parsed a reply at a time in
+    Python; everything behind is column expressions. Only good replies have entries."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
-            for r in frame.itertuples():
-                for k, e in enumerate(parse_feed(bytes(r.body))):
+            entries = []
+            for status, body in zip(frame["status"], frame.pop("body"), strict=True):
+                rows = []
+                for k, e in enumerate(parse_feed(bytes(body)) if status == 200 and body is not None else []):
                     plain = html.unescape(re.sub("<[^>]+>", " ", e["content"] or e["summary"] or ""))
-                    rows.append((r.name, r.category, r.weight, r.lang, r.fetched_at, k, e["link"], e["title"], plain, e["published"] or e["updated"], e["source"], e["source_url"], image_candidates(e)))
-            yield pd.DataFrame(rows, columns=["feed", "category", "weight", "lang", "fetched_at", "pos", "link", "raw_title", "raw_summary", "raw_time", "source", "source_url", "images"])
+                    rows.append({"pos": k, "link": e["link"], "raw_title": e["title"], "raw_summary": plain, "raw_time": e["published"] or e["updated"], "source": e["source"], "source_url": e["source_url"], "images": image_candidates(e)})
+                entries.append(rows)
+            yield frame.assign(entries=entries)
+
+    replies = raw.select(F.col("name").alias("feed"), "category", "weight", "lang", "fetched_at", "status", "note", "body")
+    return replies.mapInPandas(run, f"{_REPLY}, entries array<struct<{', '.join(x.replace(' ', ': ', 1) for x in _ENTRY.split(', '))}>>")
+
+
+def entries_of(replies: DataFrame) -> DataFrame:
+    return replies.select("feed", "category", "weight", "lang", "fetched_at", F.explode("entries").alias("e")).select("feed", "category", "weight", "lang", "fetched_at", "e.*")
+
+
+def parse_feeds(raw: DataFrame) -> DataFrame:
+    """Raw replies to entries."""
+    return entries_of(parse_replies(raw))
+
+
+def observed(replies: DataFrame, observation: Observation | str) -> DataFrame:
+    """``replies`` (of :func:`parse_replies`), which tell as they pass: how many there are, how many entries they have,
+    how many failed, and which feeds are silent, that is answered well and brought nothing. Nothing is read a
+    second time; the list of feeds has one name at most for each of the catalogue's."""
+    n = F.size("entries")
+    silent = (F.col("status") == 200) & (n == 0)
+    return replies.observe(
+        observation, F.count(F.lit(1)).alias("n_replies"), F.coalesce(F.sum(n), F.lit(0)).alias("n_items"), F.count_if(F.col("status").isNull() | ~F.col("status").isin(200, 304)).alias("n_failed"),
+        F.count_if(silent).alias("n_silent"), F.array_sort(F.collect_set(F.when(silent, F.col("feed")))).alias("silent"),
+    )
+
+
+class SilentFeedListener(StreamingQueryListener):
+    """Tells ``report(batch, feeds)`` of each batch of a stream whose :func:`observed` replies, under ``name``, have
+    silent feeds."""
+
+    def __init__(self, name: str, report: Callable[[int, list[str]], None]):
+        self.name, self.report = name, report
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is not None and seen["n_silent"]:
+            self.report(event.progress.batchId, list(seen["silent"]))
+
+    def onQueryIdle(self, event) -> None:
+        pass
 
-    return raw.select("name", "category", "weight", "lang", "fetched_at", "body").mapInPandas(run, "feed string, category string, weight double, lang string, fetched_at timestamp_ntz, pos int, link string, raw_title string, raw_summary string, raw_time string, source string, source_url string, images array<string>")
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def to_articles(entries: DataFrame) -> DataFrame:
@@ -290,14 +341,18 @@ def run_summary(metrics: DataFrame) -> DataFrame:
     )
 
 
-def collect(spark: SparkSession, root: str, feeds: DataFrame, client: Callable[[], Client], run_id: str) -> DataFrame:
-    """The collect job; returns the run's summary row."""
+def collect(spark: SparkSession, root: str, feeds: DataFrame, client: Callable[[], Client], run_id: str, report: Callable[[list[str]], None] | None = None) -> DataFrame:
+    """The collect job; returns the run's summary row. ``report`` is told of silent feeds as soon as replies are parsed."""
     articles, state, metrics = (Table(spark, f"{root}/{n}", s) for n, s in (("article", S.ARTICLE), ("feed_state", S.FEED_STATE), ("run_metric", S.RUN_METRIC)))
     stage = f"{root}/runs/{run_id}"
     fetch(feeds, state.read(), client).write.parquet(stage)  # each feed is asked once
     raw = spark.read.parquet(stage)
     write_bronze(raw, f"{root}/bronze")
-    entries = parse_feeds(raw.where("status = 200"))
+    seen = Observation()
+    observed(parse_replies(raw), seen).write.parquet(f"{stage}-parsed")  # and is parsed once
+    if report and seen.get["silent"]:
+        report(seen.get["silent"])
+    entries = entries_of(spark.read.parquet(f"{stage}-parsed"))
     found = to_articles(entries)
     before = articles.read().select("article_id")
     articles.append_ignore(found, "article_id", F.struct("feed", "pos"))
