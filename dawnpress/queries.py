@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from dawnpress.functions import fixed_values as V
 from dawnpress.functions import rules
 from dawnpress.functions import text as X
-from dawnpress.operators import cluster, edition, events, incremental, quality, report
+from dawnpress.operators import cluster, edition, events, incremental, lsh, quality, report
 from dawnpress.plans.lineage import table_path
 from dawnpress.plans.skew import spread
 from dawnpress.sources import feeds, store
+from dawnpress.streaming import feed_state
 
 #: Event types of the driver's tables as sections.
 CATEGORY = {"click": "makro", "view": "global", "purchase": "pasar", "signup": "politik", "error": "makro"}
@@ -306,6 +308,21 @@ def upsert_state(s, d):
     return store.upsert(old, new, "url", "last_success")
 
 
+def feed_states(s, d):
+    """States of feeds after a stream of replies: events as replies of 50 feeds for each of their types."""
+    replies = s.readStream.schema("event_id long, ts timestamp, user_id long, event_type string").parquet(f"{d}/[e]vents.parquet").select(  # a pattern: the table may be one file, which a stream does not take by its name
+        F.concat_ws("/", "event_type", (F.col("user_id") % 50).cast("string")).alias("url"), F.when(F.col("user_id") % 11 == 0, 500).otherwise(200).alias("status"), F.col("ts").alias("at"),
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("etag"), F.lit(None).cast("string").alias("last_modified"), F.lit(None).cast("string").alias("body_hash"), (F.col("user_id") % 3).cast("int").alias("n_items"),
+    )
+    states = feed_state.run_feed_states(replies, table_path(s, "feed-states"), timedelta(hours=4), "1 hour")
+    return states.select("url", F.col("at").cast("timestamp_ntz").alias("last_success"), "etag", F.col("last_item").cast("timestamp_ntz").alias("last_item"), "silent")
+
+
+def title_lsh(s, d):
+    """Clusters by the approximate join, beside the exact one of :func:`components`."""
+    return lsh.lsh_clusters(_tokens(s, d))
+
+
 def fill_null(s, d):
     docs = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("source")).alias("image"))
     found = s.read.parquet(f"{d}/labels.parquet").select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string")).alias("image"), F.col("toxic").alias("o"))
@@ -382,7 +399,7 @@ def volume_spikes(s, d):
 _FUNCTIONS = (
     canonical_url, page_summary_clean, edition_assign, edition_window, title_tokens, token_df, rare_cut, candidate_pairs, similar_pairs, components, incremental_components, event_rollup, also_list,
     domain_popularity, edition_totals, edition_sections, edition_compose, edition_pages, impact_score, sentiment_headlines, tax_class, ai_class, disaster_flag, reroute_sections, phrase_hits,
-    append_ignore, upsert_state, fill_null, run_metrics, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, vintages, source_tolerance, theme_index, volume_spikes,
+    append_ignore, upsert_state, feed_states, title_lsh, fill_null, run_metrics, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, vintages, source_tolerance, theme_index, volume_spikes,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _FUNCTIONS}
 
@@ -450,6 +467,9 @@ ORACLES: dict[str, str] = {
     "phrase_hits": "with p as (select doc_id, ' ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')) || ' ' t from documents) select doc_id, case " + " ".join(f"when contains(t, ' {w} ') then '{w}'" for w in _COMMON) + " end as label, contains(t, ' of the ') or contains(t, ' de la ') or contains(t, ' in the ') hit from p",
     "append_ignore": f"with {_STATES}, n as (select *, row_number() over (partition by url order by event_id) k from st where event_id % 2 <> 0) select url, last_success, event_id, event_type from n where k = 1 and url not in (select url from st where event_id % 2 = 0)",
     "upsert_state": f"with {_STATES}, n as (select *, event_id % 2 g, row_number() over (partition by url, event_id % 2 order by event_id) k from st), u as (select *, row_number() over (partition by url order by g desc, last_success desc) j from n where k = 1) select url, last_success, event_id, event_type from u where j = 1",
+    "feed_states": """with r as (select event_type || '/' || (user_id % 50) url, user_id % 11 <> 0 good, ts, 'e' || event_id etag, user_id % 3 n from events where ts is not null),
+        f as (select url, max(ts) last_success, max({'t': ts, 'e': etag}) m, max(ts) filter (where n > 0) last_item from r where good group by url)
+        select url, last_success, m.e etag, last_item, coalesce(last_item + interval 4 hour <= (select max(ts) from r) - interval 1 hour, false) silent from f""",
     "fill_null": "with f as (select doc_id, arg_max('q' || quality, toxic) image from labels group by 1) select d.doc_id, coalesce(case when d.doc_id % 3 = 0 then source end, f.image) image from documents d left join f using (doc_id)",
     "run_metrics": "select strftime(ts, '%Y-%m-%d') run_id, count(*) checked, count(*) filter (where event_type = 'view') unchanged, count(*) filter (where event_type = 'error') failed, sum(user_id % 7)::bigint items, sum(user_id % 3)::bigint as \"new\", bool_and(event_type = 'error') all_failed from events group by 1",
     "calendar_grid": f"""with {_DAYS}, m as (select distinct date_trunc('month', "day")::date "month" from days),
