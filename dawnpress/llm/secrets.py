@@ -189,16 +189,34 @@ def forest_score(forest: list, measures: list[float]) -> float:
     return sum(walk(t) for t in forest) / len(forest)
 
 
-def forest_column(forest: list, measures: list[Column]) -> Column:
-    """The forest as one expression."""
+def forest_nodes(forest: list) -> tuple[list[int], list[list]]:
+    """The roots of the trees, and all nodes in five lists: measure, border, node below, node above, share. A leaf
+    leads to itself."""
+    roots, nodes = [], [[], [], [], [], []]
+
+    def put(t) -> int:
+        at = len(nodes[0])
+        for x, v in zip(nodes, (t[0], t[1], at, at, 0.0) if isinstance(t, tuple) else (0, 0.0, at, at, float(t)), strict=True):
+            x.append(v)
+        if isinstance(t, tuple):
+            nodes[2][at], nodes[3][at] = put(t[2]), put(t[3])
+        return at
 
-    def compile_(t) -> Column:
-        return F.when(measures[t[0]] <= F.lit(t[1]), compile_(t[2])).otherwise(compile_(t[3])) if isinstance(t, tuple) else F.lit(float(t))
+    for t in forest:
+        roots.append(put(t))
+    return roots, nodes
 
-    total = compile_(forest[0])
-    for t in forest[1:]:
-        total = total + compile_(t)
-    return total / len(forest)
+
+def forest_column(forest: list, measures: list[Column]) -> Column:
+    """The forest as one expression: nodes are constant arrays, along which each tree is walked. Its size does not
+    grow with the forest, as nested conditions would, which no longer compile beyond 64 KB of code."""
+    roots, nodes = forest_nodes(forest)
+    fixed = lambda x, kind: F.split(F.lit(",".join(map(repr, x))), ",").cast(f"array<{kind}>")  # noqa: E731  folded into a constant
+    measure, border, below, above, share = (fixed(x, k) for x, k in zip(nodes, ("int", "double", "int", "int", "double"), strict=True))
+    values = F.array(*measures)
+    step = lambda n, _: F.when(F.get(values, F.get(measure, n)) <= F.get(border, n), F.get(below, n)).otherwise(F.get(above, n))
+    walk = lambda root: F.aggregate(F.sequence(F.lit(1), F.lit(DEPTH)), root, step)
+    return F.aggregate(fixed(roots, "int"), F.lit(0.0), lambda total, root: total + F.get(share, walk(root))) / len(forest)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -225,7 +243,8 @@ def scan_secrets(docs: DataFrame, findings: list[tuple[str, str, str, str, int]]
     c = candidates(docs)
     args = [F.col(x) for x in ("candidate", "path", "before", "after")]
     measured = c.select("doc_id", "word_no", "candidate", *(m.column(*args).cast("double").alias(f"m{i}") for i, m in enumerate(MEASURES)))
-    scored = measured.withColumn("score", F.round(forest_column(forest, [F.col(f"m{i}") for i in range(len(MEASURES))]), 6))
+    measured = measured.select("doc_id", "word_no", "candidate", F.array(*(f"m{i}" for i in range(len(MEASURES)))).alias("m"))
+    scored = measured.withColumn("score", F.round(forest_column(forest, [F.get("m", F.lit(i)) for i in range(len(MEASURES))]), 6))
     kind = F.when(F.col("candidate").rlike("^[0-9a-fA-F]+$"), "hex").when(F.col("candidate").rlike("^[A-Za-z0-9]+$"), "alphanumeric").otherwise("mixed")
     kept = scored if keep_all else scored.where(F.col("score") >= threshold)
     return kept.select("doc_id", F.col("word_no").cast("long").alias("word_no"), kind.alias("kind"), F.length("candidate").cast("long").alias("n_chars"), F.substring(F.sha2("candidate", 256), 1, 16).alias("fingerprint"), "score")
