@@ -4,22 +4,22 @@ A *window* is ``length`` bytes at one position of one document. The steps:
 
 1. Screening. Every window names its anchor: the least-hashed 32 bytes inside it (the leftmost of
    equals). Equal windows have equal anchors at equal places, so windows whose anchor occurs once are
-   unique. Consecutive windows with one anchor are a *segment*. Segments with the same bytes have one
-   *representative*, the earliest, and the others are its members: only places, no bytes.
-2. Representatives that have members or share an anchor with others are dealt to buckets of anchors and
+   unique. Consecutive windows with one anchor are a *segment*. Of segments with the same bytes (equal
+   64-bit hashes) the earliest is the *representative*; the others are covered as a whole and go straight to
+   their documents, as places: they do not come through the transforms.
+2. Representatives that share an anchor with others are dealt to buckets of anchors and
    cut into shards. Each shard gets its suffix order and its Burrows-Wheeler transform, over symbols of
    25 bytes (numbered by their hashes). The shards' transforms are merged by refining their
    interleave: a stable pass over the current interleave sorts it by one more symbol, without sorting the
    suffixes again. The pass in which a border between two neighbours appears is the length of their
-   common prefix. Where it reaches ``length`` bytes, neighbours are one repeated interval, which counts
-   each representative with its members. Every window of an interval but the earliest is covered, in
-   representatives and in members.
+   common prefix. Where it reaches ``length`` bytes, neighbours are one repeated interval. Every window of an
+   interval but the earliest is covered.
 3. Covered windows meet their documents' texts again, which are cut and hashed.
 
 Everything that one task gathers at once is a bucket: the anchors' and documents' hash spaces are split
 in proportion to the corpus, and a task takes several buckets one after the other (``MOST_PARTS`` tasks).
 Copies inside a batch get their representative before the shuffle, so an anchor in a third of all
-documents sends one row per batch and different segment, and a place per member. An anchor with over
+documents sends one row per batch and different segment. An anchor with over
 ``HOT`` different segments is dealt by single windows: the windows' own hashes name the buckets, copies
 inside a batch and equal segments are covered at once, and the rest goes through the transforms.
 
@@ -100,7 +100,8 @@ def segments(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _scan(docs: DataFrame, length: int, buckets: int, groups: int, versions: bool) -> DataFrame:
-    """By anchor bucket: representatives (kind 0) and their members (kind 3), as far as a batch knows."""
+    """Representatives by anchor bucket (kind 0) and runs of their later copies by document bucket (kind 1), as far as
+    a batch knows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,7 +121,7 @@ def _scan(docs: DataFrame, length: int, buckets: int, groups: int, versions: boo
                 continue
             s = np.concatenate(got)
             first, again = earliest(s)
-            yield from _emit([(0, first, first["anchor"] % U64(buckets)), (3, again, again["anchor"] % U64(buckets))])
+            yield from _emit([(0, first, first["anchor"] % U64(buckets)), (1, runs(again), np.mod(again["doc"], groups))])
 
     return docs.mapInArrow(scan, _BLOBS)
 
@@ -163,68 +164,46 @@ def earliest(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s[new], s[~new & ~here & ~at_lead]
 
 
-def _key(s: np.ndarray) -> np.ndarray:
-    """One number for what copies have in common."""
-    return mix(s["anchor"] * MULTIPLIERS[50] ^ s["same"])
-
-
-def _owner(members: np.ndarray, reps: np.ndarray) -> np.ndarray:
-    """Which representative each member has."""
-    key = _key(reps)
-    order = np.argsort(key)
-    return order[np.searchsorted(key[order], _key(members))]
-
-
 def _dealt(blobs: DataFrame, buckets: int) -> DataFrame:
     return blobs.repartition(min(buckets, MOST_PARTS), "bucket").sortWithinPartitions("bucket", "kind")
 
 
+def _passed(bucket: int, rows: pa.Scalar) -> pa.RecordBatch:
+    """Runs that are covered already go on as they are."""
+    return pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([bucket], pa.int64()), pa.array([rows.as_py()], pa.binary())], ["kind", "bucket", "rows"])
+
+
 def _settle(blobs: DataFrame, buckets: int, groups: int) -> DataFrame:
-    """kind 1: covered runs, by document bucket; kind 2: representatives to open, by document bucket; kind 3:
-    their members, by anchor bucket."""
+    """kind 1: covered runs; kind 2: representatives to open; both by document bucket. A task holds one row for each
+    batch and different segment of a bucket; copies inside batches only pass."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, members = None, [], []
+        at, held = None, []
         for batch in batches:
             for kind, bucket, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if bucket != at and held:
-                    yield from close(held, members)
-                    held, members = [], []
+                    yield from close(held)
+                    held = []
                 at = bucket
-                (members if kind else held).append(unpack(rows.as_buffer(), SEGMENT))
+                if kind == 1:
+                    yield _passed(bucket, rows)
+                else:
+                    held.append(unpack(rows.as_buffer(), SEGMENT))
         if held:
-            yield from close(held, members)
+            yield from close(held)
 
-    def close(held: list[np.ndarray], members: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def close(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         first, again = earliest(np.concatenate(held))
-        again = np.concatenate([again, *members])
         same = first["anchor"][1:] == first["anchor"][:-1]
         many = np.append(False, same) | np.append(same, False)
-        owner = _owner(again, first)
-        many[owner] = True
         _, which, count = np.unique(first["anchor"], return_inverse=True, return_counts=True)
-        hot = count[which] > HOT
-        loose = hot[owner]
-        first["same"][hot] = 0
+        first["same"][count[which] > HOT] = 0
         opened = first[many]
-        yield from _emit([(1, runs(again[loose]), np.mod(again["doc"][loose], groups)), (2, opened, np.mod(opened["doc"], groups)), (3, again[~loose], again["anchor"][~loose] % U64(buckets))])
+        yield from _emit([(1, runs(again), np.mod(again["doc"], groups)), (2, opened, np.mod(opened["doc"], groups))])
 
     return _dealt(blobs, buckets).mapInArrow(settle, _BLOBS)
 
 
-def _members(blobs: DataFrame, buckets: int) -> DataFrame:
-    """Members beside their representatives' pieces, by anchor bucket."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows in batch.column(2):
-                s = unpack(rows.as_buffer(), SEGMENT)
-                for x in _emit([(3, s, s["anchor"] % U64(buckets))]):
-                    yield x.append_column("bytes", pa.nulls(len(x), pa.binary()))
-
-    return blobs.mapInArrow(deal, _PIECES)
-
-
 def _beside_texts(blobs: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
     """Texts and the blobs of their document bucket in one partition, the blobs of a bucket first."""
     texts = docs.select(F.pmod(F.coalesce("doc_id", F.lit(NULL_ID)), F.lit(groups)).alias("bucket"), F.lit(9).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("rows"))
@@ -423,9 +402,9 @@ def symbol_width(length: int) -> int:
     return next(w for w in range(min(WIDTH, length), 0, -1) if length % w == 0)
 
 
-def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int | None = None, members: np.ndarray | None = None) -> np.ndarray:
+def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int | None = None) -> np.ndarray:
     """Runs of windows that an earlier equal window covers, of the segments ``segs`` (bytes one after the other
-    in ``data``) and of their ``members``."""
+    in ``data``)."""
     shard = shard or SHARD
     size = segs["n"].astype(np.int64) + length - 1
     start = np.cumsum(size) - size
@@ -441,15 +420,7 @@ def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int
     block = np.cumsum(common < length // width)
     ok = place < segs["n"][seg]
     block, seg, place = block[ok], seg[ok], place[ok]
-    found = []
-    if members is not None and len(members):
-        owner = _owner(members, segs)
-        copies = 1 + np.bincount(owner, minlength=len(segs))
-        repeated = np.bincount(block, copies[seg])[block] > 1
-        # members are equal to their representative, so its repeated windows are theirs
-        times = np.bincount(seg[repeated], minlength=len(segs))
-        found.append(runs(members[times[owner] == segs["n"][owner]]))
-    shared = np.bincount(block)[block] > 1  # by representatives; the others' members are told already
+    shared = np.bincount(block)[block] > 1
     block, seg, place = block[shared], seg[shared], place[shared]
     doc, ver, at = segs["doc"][seg], segs["ver"][seg], segs["at"][seg] + place
     by = np.lexsort((at, ver, doc, block))
@@ -458,7 +429,7 @@ def covered_windows(segs: np.ndarray, data: np.ndarray, length: int, shard: int
     later = (doc != doc[lead]) | (ver != ver[lead]) | (at != at[lead])
     out = np.empty(int(later.sum()), RUN)
     out["doc"], out["ver"], out["at"], out["n"] = doc[later], ver[later], at[later], 1
-    return join_runs(np.concatenate([out, *found]))
+    return join_runs(out)
 
 
 def join_runs(r: np.ndarray) -> np.ndarray:
@@ -481,24 +452,23 @@ def join_runs(r: np.ndarray) -> np.ndarray:
 
 def _merge(pieces: DataFrame, buckets: int, groups: int, length: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, segs, texts, members = None, [], [], []
+        at, segs, texts = None, [], []
         for batch in batches:
             for kind, bucket, rows, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
-                if kind == 1:
-                    yield pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([bucket], pa.int64()), pa.array([rows.as_py()], pa.binary())], ["kind", "bucket", "rows"])
-                    continue
                 if bucket != at and segs:
-                    yield from close(segs, texts, members)
-                    segs, texts, members = [], [], []
+                    yield from close(segs, texts)
+                    segs, texts = [], []
                 at = bucket
-                (segs if kind == 2 else members).append(unpack(rows.as_buffer(), SEGMENT))
-                if kind == 2:
-                    texts.append(np.frombuffer(raw.as_buffer(), np.uint8))
+                if kind == 1:
+                    yield _passed(bucket, rows)
+                    continue
+                segs.append(unpack(rows.as_buffer(), SEGMENT))
+                texts.append(np.frombuffer(raw.as_buffer(), np.uint8))
         if segs:
-            yield from close(segs, texts, members)
+            yield from close(segs, texts)
 
-    def close(segs: list[np.ndarray], texts: list[np.ndarray], members: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = covered_windows(np.concatenate(segs), np.concatenate(texts), length, members=np.concatenate(members) if members else None)
+    def close(segs: list[np.ndarray], texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = covered_windows(np.concatenate(segs), np.concatenate(texts), length)
         yield from _emit([(1, found, np.mod(found["doc"], groups))])
 
     return _dealt(pieces, buckets).mapInArrow(work, _BLOBS)
@@ -547,6 +517,5 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     opened = settled.where("kind = 2")
     packed = opened.agg(F.sum(F.length("rows"))).first()[0] or 0
     open_buckets = max(8, -(-int(packed) // SEGMENT.itemsize * (length + GRAM) // OPEN_BYTES))
-    pieces = _pieces(opened, docs, groups, open_buckets, length, versions).unionByName(_members(settled.where("kind = 3"), open_buckets))
-    merged = cut(_merge(pieces, open_buckets, groups, length), "merged")
+    merged = cut(_merge(_pieces(opened, docs, groups, open_buckets, length, versions), open_buckets, groups, length), "merged")
     return _finish(settled.where("kind = 1").unionByName(merged), docs, groups, length, versions)

@@ -148,16 +148,15 @@ def test_merged_transforms():
     assert len({w for w in whole}) == sum(common[k] < most for k in range(len(suffix)) if len(suffix[k]) == most)
 
 
-def test_covered_windows_with_members():
+def test_covered_windows_of_equal_segments():
     r = np.random.default_rng(4)
     base = bytes(r.integers(97, 123, 400).astype(np.uint8))
     texts = {1: base[:150], 2: base[20:180], 3: base[:150], 9: base[:150], 11: base[300:400]}
     rows = np.zeros(5, bwt_dedup.SEGMENT)
     for k, (doc, t) in enumerate(texts.items()):
         rows[k]["doc"], rows[k]["n"], rows[k]["anchor"], rows[k]["same"] = doc, len(t) - 99, 7, zlib.crc32(t)
-    reps, members = rows[[0, 1, 4]], rows[[2, 3]]
-    data = np.frombuffer(b"".join(texts[d] for d in reps["doc"].tolist()), np.uint8)
-    got = {tuple(x) for x in bwt_dedup.covered_windows(reps, data, 100, shard=1, members=members).tolist()}
+    data = np.frombuffer(b"".join(texts[d] for d in rows["doc"].tolist()), np.uint8)
+    got = {tuple(x) for x in bwt_dedup.covered_windows(rows, data, 100, shard=1).tolist()}
     assert got == {(3, 0, 0, 51), (9, 0, 0, 51), (2, 0, 0, 31)}  # doc, version, from, windows
 
 
