@@ -11,10 +11,12 @@ HOT_KEYS, LEAST_ROWS = 1024, 1000
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` dealt to all cores where its files make fewer splits than there are cores, as one small file does;
-    a large table is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """``df`` dealt to all cores where it is too small to make a split for each of them, as one small file is; a
+    large table is left as it is."""
+    spark = df.sparkSession
+    cores, split = spark.sparkContext.defaultParallelism, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(cores) if size < cores * split else df
 
 
 def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> list[Row]:
