@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dawnpress.llm import ann, bwt_dedup, decontam, fim, hard_negatives, line_dedup, lm_score, mixing, ngram_join, quality, secrets, token_store, toxicity
+from dawnpress.plans.skew import spread
 
 END_ID = 1
 
@@ -18,7 +19,7 @@ def tokenizer_path() -> str:
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
