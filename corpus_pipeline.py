@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dawnpress.llm import decontam, mixing, ngram_join, quality, token_store
 from dawnpress.llm.queries import END_ID, tokenizer_path
 from dawnpress.plans.lineage import table_path
+from dawnpress.plans.skew import spread
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES[:-1]:
         path = table_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
