@@ -15,7 +15,7 @@ def spread(df: DataFrame) -> DataFrame:
     large table is left as it is."""
     spark = df.sparkSession
     cores, split = spark.sparkContext.defaultParallelism, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size < cores * split else df
 
 
