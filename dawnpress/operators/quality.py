@@ -103,6 +103,23 @@ def silent_failures(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("feed").agg(F.count_if((F.col("status") == "galat") & F.col("note").contains("0 item")).alias("n_silent")).where("n_silent > 0")
 
 
+def source_status(metrics: DataFrame, down: int = 3) -> DataFrame:
+    """Each feed's state after all its runs (``feed, at, status, n_items, note``): runs, the last run and the last good
+    one (also one that found nothing new), failures since, items of the last good run with any, the last note, and
+    ``level``: ``down`` after ``down`` failures in a row or without any good run, ``warn`` after fewer, else ``ok``.
+    Runs without a time are left out."""
+    good = F.col("status") != "galat"
+    last = F.max(F.when(good, F.col("at"))).over(Window.partitionBy("feed"))
+    each = metrics.where("at is not null").withColumn("last_good", last)
+    one = each.groupBy("feed").agg(
+        F.count(F.lit(1)).alias("n_runs"), F.max("at").alias("last_run"), F.first("last_good").alias("last_good"),
+        F.count_if(F.col("last_good").isNull() | (F.col("at") > F.col("last_good"))).alias("n_failed"),
+        F.max_by(F.when(F.col("n_items") > 0, F.col("n_items")), F.when(F.col("n_items") > 0, F.col("at"))).alias("last_items"), F.max_by("note", "at").alias("note"),
+    )
+    level = F.when(F.col("last_good").isNull() | (F.col("n_failed") >= down), "down").when(F.col("n_failed") > 0, "warn").otherwise("ok")
+    return one.withColumn("level", level)
+
+
 def require(df: DataFrame, least: int, columns: list[str]) -> None:
     """Raise if a table is too short or lacks a column."""
     missing = [c for c in columns if c not in df.columns]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from dawnpress.functions import fixed_values as V
 from dawnpress.functions import rules
 from dawnpress.functions import text as X
-from dawnpress.operators import cluster, edition, events, incremental, lsh, quality, report
+from dawnpress.operators import annotations, cluster, edition, events, incremental, lsh, quality, report
 from dawnpress.plans.lineage import table_path
 from dawnpress.plans.skew import spread
 from dawnpress.sources import feeds, store
@@ -335,6 +335,18 @@ def run_metrics(s, d):
     return feeds.run_summary(m)
 
 
+def source_status(s, d):
+    ev = s.read.parquet(f"{d}/events.parquet")
+    m = ev.select(F.concat_ws("/", "event_type", (F.col("user_id") % 50).cast("string")).alias("feed"), F.col("ts").alias("at"), F.when(F.col("event_id") % 5 < 2, "galat").otherwise("ok").alias("status"), (F.col("user_id") % 3).cast("int").alias("n_items"), F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("note"))
+    return quality.source_status(m)
+
+
+def article_annotations(s, d):
+    """What the rules say of the headlines over documents, with its topics and events."""
+    a = annotations.annotate(headlines(s, d), "1", F.lit(None), "id")
+    return a.select("article_id", "score", "label", F.array_join("topics", ",").alias("topics"), F.array_join("events", ",").alias("events"))
+
+
 def _days(s, d):
     return s.read.parquet(f"{d}/events.parquet").where("ts is not null").select(X.edition_date("ts").alias("day")).distinct()
 
@@ -399,7 +411,7 @@ def volume_spikes(s, d):
 _FUNCTIONS = (
     canonical_url, page_summary_clean, edition_assign, edition_window, title_tokens, token_df, rare_cut, candidate_pairs, similar_pairs, components, incremental_components, event_rollup, also_list,
     domain_popularity, edition_totals, edition_sections, edition_compose, edition_pages, impact_score, sentiment_headlines, tax_class, ai_class, disaster_flag, reroute_sections, phrase_hits,
-    append_ignore, upsert_state, feed_states, title_lsh, fill_null, run_metrics, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, vintages, source_tolerance, theme_index, volume_spikes,
+    append_ignore, upsert_state, feed_states, title_lsh, fill_null, run_metrics, source_status, article_annotations, calendar_grid, calendar_shortcuts, editions_per_month, calendar_page, vintage_asof, vintages, source_tolerance, theme_index, volume_spikes,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _FUNCTIONS}
 
@@ -488,6 +500,14 @@ ORACLES: dict[str, str] = {
         m as (select "month", median(v) middle, count(*) n_sources from v group by 1)
         select "month", round(middle, 2) middle, n_sources, round(max(abs(v - middle) / middle), 6) worst, coalesce(string_agg(case when abs(v - middle) / middle > 0.3 then src end, ',' order by src), '') "off"
         from m join v using ("month") group by all""",
+    "source_status": """with m as (select event_type || '/' || (user_id % 50) feed, ts w, event_id % 5 >= 2 good, user_id % 3 n, 'n' || event_id note from events where ts is not null),
+        l as (select *, max(case when good then w end) over (partition by feed) last_good from m)
+        select feed, count(*) n_runs, max(w) last_run, any_value(last_good) last_good, count(*) filter (where last_good is null or w > last_good) n_failed, arg_max(n, w) filter (where n > 0)::int last_items, arg_max(note, w) note,
+          case when any_value(last_good) is null or count(*) filter (where w > last_good) >= 3 then 'down' when count(*) filter (where w > last_good) > 0 then 'warn' else 'ok' end "level" from l group by feed""",
+    "article_annotations": _SENTIMENT.replace("select h.id, case", f""", sent as (select h.id, coalesce(score, 0) score, ' ' || trim(regexp_replace(lower(h.title || ' ' || coalesce(h.summary, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ' tx from h left join g using (id))
+        select id article_id, score::double score, case when score > 0 then 'positif' when score < 0 then 'negatif' else 'netral' end "label",
+        array_to_string(list_filter([{', '.join(f"case when {_any('tx', p)} then '{k}' end" for k, p in (V.BIG_PHRASES | V.MEDIUM_PHRASES).items())}], lambda x: x is not null), ',') topics,
+        case when {_CRASH} then 'disaster' else '' end events from sent --""").split(" --")[0],
     "theme_index": _SENTIMENT.replace("select h.id, case", f""", sent as (select h.id, coalesce(score, 0) score, h."domain", ' ' || trim(regexp_replace(lower(h.title || ' ' || coalesce(h.summary, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ' tx from h left join g using (id)),
         th as (select id, score, "domain", unnest(list_filter([{', '.join(f"case when {_any('tx', p)} then '{k}' end" for k, p in (V.BIG_PHRASES | V.MEDIUM_PHRASES).items())}], lambda x: x is not null)) theme from sent),
         e as (select ts::date "day", theme, "domain", count(*) n, sum(score) s from th join events on event_id + {_N} = id group by all),

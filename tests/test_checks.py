@@ -207,3 +207,29 @@ def test_lsh_reaches_hot_tokens(spark):
     for r in lsh.lsh_clusters(tokens).collect():
         made.setdefault(r["event_id"], set()).add(r["article_id"])
     assert made[0] == {r[0] for r in rows if r[0] < 900} and made[900] == {900} and made[901] == {901}
+
+
+# -- sources and annotations -----------------------------------------------------------------------
+
+
+def test_source_status(spark):
+    at = lambda h: datetime(2024, 1, 1, h)
+    rows = [("up", 1, "galat", 0, "x"), ("up", 2, "ok", 4, None), ("up", 3, "304", 0, "same"), ("shaky", 1, "ok", 2, None), ("shaky", 2, "galat", 0, "HTTP 500"), ("never", 1, "galat", 0, "gone")]
+    rows += [("gone", 1, "ok", 9, None), *(("gone", h, "galat", 0, f"e{h}") for h in (2, 3, 4))]
+    df = spark.createDataFrame([(f, at(h), s, n, t) for f, h, s, n, t in rows] + [("up", None, "galat", 0, None)], "feed string, at timestamp, status string, n_items int, note string")
+    got = {r["feed"]: (r["n_runs"], r["last_run"].hour, r["last_good"] and r["last_good"].hour, r["n_failed"], r["last_items"], r["level"]) for r in quality.source_status(df).collect()}
+    assert got == {"up": (3, 3, 3, 0, 4, "ok"), "shaky": (2, 2, 1, 1, 2, "warn"), "never": (1, 1, None, 1, None, "down"), "gone": (4, 4, 1, 3, 9, "down")}
+    assert quality.source_status(df.where("false")).count() == 0
+
+
+def test_annotation_versions(spark):
+    from dawnpress.operators import annotations as A
+
+    df = spark.createDataFrame([(1, "BI rate naik, inflasi melonjak", None), (2, "Kapal tenggelam, puluhan penumpang hilang", ""), (3, None, None)], "article_id long, title string, summary string")
+    one = A.annotate(df, "1", F.lit("2024-01-01"))
+    got = {r["article_id"]: r for r in one.collect()}
+    assert got[1]["topics"] == ["Kebijakan moneter", "Data makro"] and got[1]["label"] == "negatif" and got[2]["events"] == ["disaster"] and got[3]["label"] == "netral" and got[3]["topics"] == []
+    two = one.withColumn("version", F.lit("2")).withColumn("label", F.when(F.col("article_id") == 1, "netral").otherwise(F.col("label"))).withColumn("score", F.col("score") + 1)
+    assert A.new_annotations(one, two.unionByName(one)).count() == 3  # only the new version's
+    compared = {r["label"]: tuple(r)[1:] for r in A.compare_versions(one.unionByName(two), "rules", "1", "2").collect()}
+    assert compared == {"negatif": (1, 1, 0, 1.0), "netral": (2, 0, 0, 1.0)}
