@@ -440,6 +440,35 @@ def test_toxicity_by_loops(spark, docs, monkeypatch):
         assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-9
 
 
+def test_toxicity_ratios_by_definition(spark, docs, monkeypatch):
+    """What the classifier is fitted on: presences scaled by log-count ratios, counted here n-gram by n-gram."""
+    monkeypatch.setattr(toxicity, "LEAST_CHI2", 8.0)
+    seen, fit = {}, toxicity._logistic
+
+    def watched(row, col, value, y, width, **how):
+        seen.update(zip(col.tolist(), value.tolist()), n=len(value), held=len(col))
+        return fit(row, col, value, y, width, **how)
+
+    monkeypatch.setattr(toxicity, "_logistic", watched)
+    labels = spark.read.parquet(f"{D}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    trained = {r["doc_id"]: r["toxic"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    sides = {True: [], False: []}
+    for r in docs.collect():
+        if r["doc_id"] in trained:
+            t = " " + " ".join((r["text"] or "").lower().split()) if r["text"] else ""
+            sides[trained[r["doc_id"]] > 0].append({t[k : k + n] for n in range(toxicity.SHORTEST, toxicity.LONGEST + 1) for k in range(len(t) - n + 1) if t[k] == " "})
+    counts = {y: collections.Counter(g for s in sets for g in s) for y, sets in sides.items()}
+    at, checked = {h: k for k, h in enumerate(model.hashes.tolist())}, 0
+    for g in counts[True] | counts[False]:
+        k = at.get(int(list(toxicity.ngrams(g[1:]))[-1][0])) if len(g) >= toxicity.SHORTEST and g == " " + " ".join(g.split()) else None
+        if k is not None:
+            share = lambda y: (counts[y][g] + 1) / (len(sides[y]) + 2)
+            assert seen[k] == pytest.approx(np.log(share(True) / share(False)))
+            checked += 1
+    assert checked > 20
+
+
 def test_toxicity_long_texts():
     model = toxicity.Model(np.sort(np.concatenate(list(toxicity.ngrams("moron")))), np.ones(15), 0.0, np.ones(1 << toxicity.BITS, bool))
     assert len(model.present("x" * 10 + " moron " + "y" * 10)) >= 10 and len(model.present(None)) == 0
