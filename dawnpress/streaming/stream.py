@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dawnpress.functions.text import edition_date
 from dawnpress.operators.edition import window_bounds
+from dawnpress.operators.incremental import ClusterState
 from dawnpress.sources.store import Table
 
 
@@ -43,3 +44,15 @@ def append_and_recompose(stream: DataFrame, table: Table, recompose: Callable[[D
         df.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def follow_clusters(stream: DataFrame, state: ClusterState, recompose: Callable[[list[date]], None], checkpoint: str) -> StreamingQuery:
+    """Take each batch of articles, late ones included, into the clusters of ``state``, then call ``recompose`` with the
+    editions that it touched. A batch that is run again changes nothing more."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        touched = state.update(df.where("published_at is not null").withColumn("edition", edition_date("published_at")))
+        if touched:
+            recompose(touched)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

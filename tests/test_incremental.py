@@ -95,3 +95,18 @@ def test_nothing_comes(spark, tmp_path):
     assert state.update(spark.createDataFrame([], SCHEMA)) == [] and state.clusters().count() == 0
     assert state.update(spark.createDataFrame([(1, None, DAYS[0]), (2, "", DAYS[0])], SCHEMA)) == [DAYS[0]]
     assert of(state.clusters()) == [(1, 1), (2, 2)]
+
+
+def test_clusters_follow_a_stream(spark, tmp_path):
+    """Late articles of an edition that was clustered before change its clusters, and only it is recomposed."""
+    from dawnpress.streaming.stream import article_stream, follow_clusters
+
+    at = "timestamp_ntz '2024-01-0{} 12:00:00'"
+    batches = [[(3, "Harga beras naik tajam pekan ini", 1), (4, "Gempa besar guncang kota", 2)], [(1, "Harga beras naik tajam di pasar pekan", 1)]]
+    schema, told = "article_id long, title string, published_at timestamp_ntz", []
+    state = ClusterState(spark, f"file://{tmp_path}/s")
+    for rows in batches:
+        spark.sql(" union all ".join(f"select {i}L article_id, '{t}' title, {at.format(d)} published_at" for i, t, d in rows)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        follow_clusters(article_stream(spark, str(tmp_path / "in"), schema), state, told.append, str(tmp_path / "c")).awaitTermination()
+    assert told == [[date(2024, 1, 2), date(2024, 1, 3)], [date(2024, 1, 2)]]
+    assert of(state.clusters()) == [(1, 1), (3, 1), (4, 4)]
