@@ -338,7 +338,7 @@ def run_metrics(s, d):
 def source_status(s, d):
     ev = s.read.parquet(f"{d}/events.parquet")
     m = ev.select(F.concat_ws("/", "event_type", (F.col("user_id") % 50).cast("string")).alias("feed"), F.col("ts").alias("at"), F.when(F.col("event_id") % 5 < 2, "galat").otherwise("ok").alias("status"), (F.col("user_id") % 3).cast("int").alias("n_items"), F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("note"))
-    return quality.source_status(m)
+    return quality.source_status(m).na.fill(0, ["last_items"])
 
 
 def article_annotations(s, d):
@@ -502,7 +502,7 @@ ORACLES: dict[str, str] = {
         from m join v using ("month") group by all""",
     "source_status": """with m as (select event_type || '/' || (user_id % 50) feed, ts w, event_id % 5 >= 2 good, user_id % 3 n, 'n' || event_id note from events where ts is not null),
         l as (select *, max(case when good then w end) over (partition by feed) last_good from m)
-        select feed, count(*) n_runs, max(w) last_run, any_value(last_good) last_good, count(*) filter (where last_good is null or w > last_good) n_failed, arg_max(n, w) filter (where n > 0)::int last_items, arg_max(note, w) note,
+        select feed, count(*) n_runs, max(w) last_run, any_value(last_good) last_good, count(*) filter (where last_good is null or w > last_good) n_failed, coalesce(arg_max(n, w) filter (where n > 0), 0)::int last_items, arg_max(note, w) note,
           case when any_value(last_good) is null or count(*) filter (where w > last_good) >= 3 then 'down' when count(*) filter (where w > last_good) > 0 then 'warn' else 'ok' end "level" from l group by feed""",
     "article_annotations": _SENTIMENT.replace("select h.id, case", f""", sent as (select h.id, coalesce(score, 0) score, ' ' || trim(regexp_replace(lower(h.title || ' ' || coalesce(h.summary, '')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ' tx from h left join g using (id))
         select id article_id, score::double score, case when score > 0 then 'positif' when score < 0 then 'negatif' else 'netral' end "label",

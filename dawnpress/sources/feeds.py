@@ -270,8 +270,9 @@ def entries_of(replies: DataFrame) -> DataFrame:
 
 
 def parse_feeds(raw: DataFrame) -> DataFrame:
-    """Raw replies to entries."""
-    return entries_of(parse_replies(raw))
+    """Raw replies to entries. Replies that are stored are good ones, and need no status."""
+    missing = {c: v for c, v in (("status", F.lit(200)), ("note", F.lit(None).cast("string"))) if c not in raw.columns}
+    return entries_of(parse_replies(raw.withColumns(missing) if missing else raw))
 
 
 def observed(replies: DataFrame, observation: Observation | str) -> DataFrame:

@@ -24,7 +24,7 @@ def normal(df):
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in "documents events pages labels orders".split():
+    for t in "documents events pages labels orders lineitem".split():
         c.sql(f"create view {t} as select * from '{D}/{t}.parquet'")
     return c
 
