@@ -43,19 +43,21 @@ def marked_tokens(tokens: DataFrame, df: DataFrame, rare_cut: DataFrame, *flags:
     they are rare, apart by whether they make candidates; ``n`` counts all its tokens."""
     each = tokens.select("grp", "article_id", F.size("tokens").alias("n"), *flags, F.explode("tokens").alias("token"))
     known = each.join(df.where("df > 1"), ["grp", "token"]).join(F.broadcast(rare_cut), "grp")
-    mark = F.struct("token", (F.col("df") <= F.col("rare_cut")).alias("rare"))
-    pick = lambda c: F.collect_list(F.when(c, mark))  # noqa: E731  nulls are left out
-    return known.groupBy("grp", "article_id", "n", *flags).agg(pick(F.col("df") <= V.HOT_TOKEN).alias("cold"), pick(F.col("df") > V.HOT_TOKEN).alias("hot"))
+    rare, hot = F.col("df") <= F.col("rare_cut"), F.col("df") > V.HOT_TOKEN
+    number = F.xxhash64("token").bitwiseAND(F.lit(-2)).bitwiseOR(rare.cast("long"))
+    return known.groupBy("grp", "article_id", "n", *flags).agg(  # nulls are left out of a list
+        F.collect_list(F.when(~hot, F.struct("token", rare.alias("rare")))).alias("cold"), F.collect_list(F.when(hot, number)).alias("hot")
+    )
 
 
 def linked(marked: DataFrame, threshold: float, wanted: Column | None = None, *flags: str) -> DataFrame:
     """``grp, a, b, jaccard, overlap, rare`` for the pairs that link, out of :func:`marked_tokens`. Shared tokens are
     counted where pairs meet; only a pair that its hot tokens can still decide looks at them. ``wanted`` says
     by the flags of both sides (``xa`` and ``xb``) which pairs are looked at."""
-    rare_hot = F.size(F.filter("hot", lambda x: x["rare"]))
+    rare_ones = lambda x: F.size(F.filter(x, lambda h: h.bitwiseAND(F.lit(1)) == 1))
     rows = marked.where(F.col("n") >= V.LEAST_TOKENS)
     side = lambda k: [F.col("article_id").alias(k), *(F.col(c).alias(f"{c}{k}") for c in ("n", "h", "rh", *flags))]
-    blocks = rows.select("grp", "article_id", "n", *flags, F.size("hot").alias("h"), rare_hot.alias("rh"), F.explode("cold").alias("t")).withColumn("token", F.col("t.token"))
+    blocks = rows.select("grp", "article_id", "n", *flags, F.size("hot").alias("h"), rare_ones("hot").alias("rh"), F.explode("cold").alias("t")).withColumn("token", F.col("t.token"))
     meet = blocks.select("grp", "token", F.col("t.rare").alias("rare"), *side("a")).join(blocks.select("grp", "token", *side("b")), ["grp", "token"]).where("a < b")
     if wanted is not None:
         meet = meet.where(wanted)
@@ -68,7 +70,7 @@ def linked(marked: DataFrame, threshold: float, wanted: Column | None = None, *f
     open_pairs = pairs.where(links(F.col("s") + more, F.col("r") + F.least("rha", "rhb")))
     few = lambda k: rows.where(F.size("hot") > 0).select("grp", F.col("article_id").alias(k), F.col("hot").alias(f"hot{k}"))
     looked = open_pairs.where(more > 0).join(few("a"), ["grp", "a"]).join(few("b"), ["grp", "b"]).withColumn("both", F.array_intersect("hota", "hotb"))
-    looked = looked.select(*open_pairs.columns[:9], (F.col("s") + F.size("both")).alias("s"), (F.col("r") + F.size(F.filter("both", lambda x: x["rare"]))).alias("r"))
+    looked = looked.select(*open_pairs.columns[:9], (F.col("s") + F.size("both")).alias("s"), (F.col("r") + rare_ones("both")).alias("r"))
     found = open_pairs.where(more == 0).unionByName(looked).where(links(F.col("s"), F.col("r")))
     return found.select("grp", "a", "b", (F.col("s") / (F.col("na") + F.col("nb") - F.col("s"))).alias("jaccard"), (F.col("s") / F.least("na", "nb")).alias("overlap"), F.col("r").cast("int").alias("rare"))
 
