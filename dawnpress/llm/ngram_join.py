@@ -6,9 +6,12 @@ A document is the set of hashes of its five-word shingles. Equal sets are one no
    sets an order (rare first), so its errors cost time and never a link.
 2. Two sets with Jaccard similarity t or more share a shingle of their *prefixes* in that order: the
    smaller set's first ``a - ceil(2ta/(1+t)) + 1`` and the larger set's first ``b - ceil(tb) + 1``.
-   Shingles of prefixes chain nodes of like size; connected chains are *islands*. No link leaves an
-   island. Chains are compressed inside each batch first, so a shingle that a third of all documents
-   hold sends one row per batch and size class.
+   Prefixes longer by ``c - 1`` share ``c`` shingles; ``c`` grows with the set (``_need``), so texts that
+   share a few shingles by chance, which more and more do as a corpus grows, are told apart. Of a
+   shingle with up to ``GROUP`` nodes all pairs are counted, and pairs with fewer than ``c`` shared shingles
+   are dropped; the nodes of a more frequent one are chained, whatever else they share. Connected nodes are
+   *islands*. No link leaves an island. What a batch holds more than ``GROUP`` times is chained there, so a
+   shingle that a third of all documents hold sends one row per batch and size class.
 3. Inside an island each node's shingles are hashed into groups; the group counts are a point. Points
    are packed into an R-tree. The summed coordinate minima of two points bound the overlap of the two
    sets from above, those of a point and a box's upper corner bound it for the whole box. Pairs that
@@ -43,6 +46,8 @@ SKETCH_PARTS = 64
 LEAF = 16
 #: (point, box) pairs that are compared at once.
 FRONTIER = 1 << 13
+#: So many nodes of a prefix shingle are met in pairs; more are chained.
+GROUP = 32
 
 
 def _node(s: np.ndarray) -> int:
@@ -50,6 +55,11 @@ def _node(s: np.ndarray) -> int:
     return int(mix(mix(s * MULTIPLIERS[20]).sum(keepdims=True, dtype=np.uint64) ^ (s[:1] * np.uint64(0) + np.uint64(len(s))) * MULTIPLIERS[21])[0].astype(np.int64))
 
 
+def _need(n: int) -> int:
+    """How many shingles of their prefixes a set of ``n`` shingles and a larger one that is similar share at least."""
+    return 1 + min(n // 16, 15)
+
+
 def _sketch(docs: DataFrame, shingle: int) -> np.ndarray:
     """How many documents hold a shingle of each counter; the size is fixed, all documents count."""
     size = (1 << SKETCH_BITS) // SKETCH_PARTS
@@ -82,8 +92,9 @@ def _sketch(docs: DataFrame, shingle: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, rank: np.ndarray) -> DataFrame:
-    """Per document its node and size (kind 0); per prefix shingle and size class one node (kind 1);
-    edges between nodes of one batch that share a prefix shingle (kind 2)."""
+    """Per document its node and size (kind 0); per prefix shingle, size class and node a row with :func:`_need`
+    as ``n``, or one row with 0 for a shingle that more than ``GROUP`` nodes of the batch hold (kind 1); edges
+    between those nodes (kind 2)."""
     bits = np.uint64(64 - SKETCH_BITS)
     step = math.log(den / num)
     shared = docs.sparkSession.sparkContext.broadcast(rank)  # 2 ** SKETCH_BITS bytes
@@ -106,8 +117,8 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, rank: np.ndarra
                         continue
                     seen[node] = n
                     s = s[np.argsort(rank[(s >> bits).astype(np.int64)], kind="stable")]
-                    probe = n - -(-num * n // den) + 1
-                    index = n - -(-2 * num * n // (num + den)) + 1
+                    probe = n - -(-num * n // den) + _need(n)
+                    index = n - -(-2 * num * n // (num + den)) + _need(n)
                     keys.append(s[:probe])
                     owner.append(np.full(min(probe, n), node, np.int64))
                     short.append(np.arange(min(probe, n)) < index)
@@ -122,17 +133,22 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, rank: np.ndarra
             if not keys:
                 continue
             key, own, idx = np.concatenate(keys), np.concatenate(owner), np.concatenate(short)
-            cls = np.floor(np.log([seen[x] for x in own.tolist()]) / step).astype(np.int32)
+            counts = np.repeat([seen[int(x[0])] for x in owner], [len(x) for x in owner])
+            cls = np.floor(np.log(counts) / step).astype(np.int32)
+            need = np.minimum(counts // 16, 15) + 1
             order = np.lexsort((own, cls, key))
-            key, own, idx, cls = key[order], own[order], idx[order], cls[order]
+            key, own, idx, cls, need = key[order], own[order], idx[order], cls[order], need[order]
             first = np.ones(len(key), bool)
             first[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
             at = np.flatnonzero(first)
-            flag = np.maximum.reduceat(idx, at)
-            k = len(at)
-            yield table(1, none(pa.int64(), k), none(pa.int64(), k), pa.array(own[at]), none(pa.int64(), k), pa.array(key[at].view(np.int64)), pa.array(cls[at]), pa.array(flag), k)
-            rep = own[at][np.cumsum(first) - 1]
-            pairs = np.unique(np.stack([own, rep])[:, own != rep], axis=1)
+            held = np.diff(np.append(at, len(key)))
+            many = np.repeat(held > GROUP, held)
+            idx = np.where(many, np.repeat(np.maximum.reduceat(idx, at), held), idx)
+            rep = np.repeat(own[at], held)
+            out = first | ~many
+            k = int(out.sum())
+            yield table(1, none(pa.int64(), k), pa.array(np.where(many, 0, need)[out]), pa.array(own[out]), none(pa.int64(), k), pa.array(key[out].view(np.int64)), pa.array(cls[out]), pa.array(idx[out]), k)
+            pairs = np.unique(np.stack([own, rep])[:, many & (own != rep)], axis=1)
             if k := pairs.shape[1]:
                 yield table(2, none(pa.int64(), k), none(pa.int64(), k), pa.array(pairs[0]), pa.array(pairs[1]), none(pa.int64(), k), none(pa.int32(), k), none(pa.bool_(), k), k)
 
@@ -140,43 +156,73 @@ def _prefixes(docs: DataFrame, shingle: int, num: int, den: int, rank: np.ndarra
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(emit, schema)
 
 
+def _summed(edges: np.ndarray) -> np.ndarray:
+    """Rows ``u, v, count, need``, one for each pair."""
+    if not len(edges):
+        return edges
+    edges = edges[np.lexsort((edges[:, 1], edges[:, 0]))]
+    at = np.flatnonzero(np.append(True, (edges[1:, :2] != edges[:-1, :2]).any(axis=1)))
+    return np.column_stack([edges[at, :2], np.add.reduceat(edges[:, 2], at), np.maximum.reduceat(edges[:, 3], at)])
+
+
+def _runs(key: np.ndarray, cls: np.ndarray, own: np.ndarray, short: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Rows ``u, v, count, need`` of the nodes that share shingles of their prefixes and have like sizes."""
+    order = np.lexsort((need, own, cls, key))
+    key, cls, own, short, need = key[order], cls[order], own[order], short[order], need[order]
+    at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])))  # a set may be in many batches
+    short = np.maximum.reduceat(short, at)
+    key, cls, own, need = key[at], cls[at], own[at], need[at]
+    begins = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (cls[1:] - cls[:-1] > 1)))
+    length = np.diff(np.append(begins, len(key)))
+    live = np.maximum.reduceat(short, begins) & (length > 1)
+    many = (length > GROUP) | (np.minimum.reduceat(need, begins) == 0)
+    row, left = np.arange(len(key)), np.repeat(begins + length, length) - np.arange(len(key)) - 1
+    found = []
+
+    def add(i: np.ndarray, j: np.ndarray, count: int) -> None:
+        ends = np.sort(np.stack([own[i], own[j]], axis=1), axis=1)
+        found.append(np.column_stack([ends, np.full(len(i), count), np.minimum(need[i], need[j])]))
+
+    i = row[np.repeat(live & many, length) & (left > 0)]
+    add(i, i + 1, 16)  # as many as any pair needs
+    i = row[np.repeat(live & ~many, length)]
+    for off in range(1, GROUP):
+        i = i[left[i] >= off]
+        ok = (cls[i + off] - cls[i] <= 1) & (short[i] | short[i + off])
+        add(i[ok], i[ok] + off, 1)
+    return _summed(np.concatenate(found))
+
+
 def _chain(keys: DataFrame) -> DataFrame:
-    """Edges between nodes that share a prefix shingle and have like sizes. A near-duplicate class shares
-    many shingles, which are spread over all partitions: each partition packs its edges by bucket, and
-    a bucket's edges are unpacked where all their repeats have met."""
+    """Edges between nodes that share enough prefix shingles, or a frequent one, and have like sizes. A near-duplicate
+    class shares many shingles, which are spread over all partitions: each partition packs its edges by
+    bucket, and a bucket's edges are unpacked where all their repeats have met."""
     buckets = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [[], [], [], []]
+        got = [[], [], [], [], []]
         for batch in batches:
             for x, c in zip(got, batch.columns, strict=True):
                 x.append(c.to_numpy(zero_copy_only=False))
         if got[0]:
-            key, cls, own, short = (np.concatenate(x) for x in got)
-            order = np.lexsort((cls, key))
-            key, cls, own, short = key[order], cls[order], own[order], short[order]
-            joined = np.zeros(len(key), bool)
-            joined[1:] = (key[1:] == key[:-1]) & (cls[1:] - cls[:-1] <= 1)
-            begins = np.flatnonzero(~joined)
-            live = np.repeat(np.maximum.reduceat(short, begins), np.diff(np.append(begins, len(key))))
-            a = np.flatnonzero(joined & live)
-            pairs = np.stack([own[a], own[a - 1]])
-            pairs = np.unique(np.sort(pairs[:, pairs[0] != pairs[1]], axis=0), axis=1)
-            where = np.mod(pairs[0], buckets)
-            for k in np.unique(where).tolist():
-                mine = np.ascontiguousarray(pairs[:, where == k].T)
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([mine.tobytes()], pa.binary())], ["bucket", "edges"])
+            edges = _runs(*(np.concatenate(x) for x in got))
+            where = np.mod(edges[:, 0], buckets)
+            edges = edges[np.argsort(where, kind="stable")]
+            which, at = np.unique(np.sort(where), return_index=True)
+            for k, mine in zip(which.tolist(), np.split(edges, at[1:]), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([np.ascontiguousarray(mine).tobytes()], pa.binary())], ["bucket", "edges"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = np.zeros((0, 2), np.int64)
+        edges = np.zeros((0, 4), np.int64)
         for batch in batches:
-            got = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in batch.column(1)]
-            edges = np.unique(np.concatenate([edges, *got]), axis=0)
+            got = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 4) for x in batch.column(1)]
+            edges = _summed(np.concatenate([edges, *got]))
+        edges = edges[edges[:, 2] >= edges[:, 3]]
         yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["u", "v"])
 
     # Shares of the key space are small enough for one task each; no key's group is gathered but as
-    # one row per batch and size class.
-    packed = keys.select("key", "cls", "node", "short").repartition("key").mapInArrow(link, "bucket long, edges binary")
+    # ``GROUP`` rows per batch and size class.
+    packed = keys.select("key", "cls", "node", "short", "n").repartition("key").mapInArrow(link, "bucket long, edges binary")
     return packed.repartition(buckets, "bucket").mapInArrow(unpack, "u long, v long")
 
 
@@ -319,9 +365,10 @@ def jaccard_classes(docs: DataFrame, shingle: int = 5, num: int = 3, den: int =
     the Jaccard similarity of their sets is ``num / den`` or more."""
     rank = _sketch(docs, shingle)
     found = cut(_prefixes(docs, shingle, num, den, rank), "prefixes")
-    nodes = found.where("kind = 0").select("doc_id", "n", "node")
+    nodes = cut(found.where("kind = 0").select("doc_id", "n", "node"), "rows")
     near = found.where("kind = 2").select(F.col("node").alias("u"), F.col("other").alias("v"))
     islands = connected_components(near.union(_chain(found.where("kind = 1"))))
+    drop(docs.sparkSession, found)
 
     stands = cut(nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n")), "nodes")
     placed = cut(islands.join(stands, "node"), "islands")

@@ -473,3 +473,33 @@ def test_toxicity_long_texts():
     model = toxicity.Model(np.sort(np.concatenate(list(toxicity.ngrams("moron")))), np.ones(15), 0.0, np.ones(1 << toxicity.BITS, bool))
     assert len(model.present("x" * 10 + " moron " + "y" * 10)) >= 10 and len(model.present(None)) == 0
     assert len(model.present("y " * (toxicity.PART // 2 - 2) + "moron")) >= 10  # over the seam of two parts
+
+
+def test_ngram_join_tells_chance_from_copies(spark):
+    """Long texts that share one passage of five words are no neighbours; near copies among them are."""
+    words = lambda k: [f"w{k}x{i}" for i in range(100)]
+    texts = [words(k)[:50] + words(k + 1)[:5] + words(k)[50:] for k in range(40)]
+    texts.append(texts[7][:90] + ["other"] + texts[7][91:])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    found = ngram_join._prefixes(docs, 5, 3, 4, np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)).cache()
+    name = {r["node"]: r["doc_id"] for r in found.where("kind = 0").collect()}
+    near = {frozenset((name[r["u"]], name[r["v"]])) for r in ngram_join._chain(found.where("kind = 1")).collect()}
+    assert near == {frozenset((7, 40))}
+    classes = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_classes(docs).collect()}
+    assert classes == {i: 7 if i == 40 else i for i in range(41)}
+
+
+def test_components_run_once_what_finds_the_edges(spark):
+    from dawnpress.plans.components import connected_components
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 5), (3, 1)], "u long, v long").mapInArrow(count, "u long, v long")
+    assert sorted(map(tuple, connected_components(edges).collect())) == [(1, 1), (2, 1), (3, 1), (5, 5)]
+    assert seen.value == 4
