@@ -243,3 +243,27 @@ def test_table_survives_a_lost_writer(spark, tmp_path):
     assert [tuple(r) for r in t.read().collect()] == [(1, "a")]
     assert t.append_ignore(spark.createDataFrame([(1, "b"), (2, "c")], "k long, v string"), "k", F.col("v")) == 1
     assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (2, "c")]
+
+
+def test_articles_do_not_send_whole_texts(spark):
+    from dawnpress import queries
+
+    plan = queries.articles(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Repartition") :].split("\n")
+    assert "Project" in below[1] and "split(text" in below[1]  # titles are cut out before rows are dealt
+
+
+def test_bitmaps_bound_what_titles_share(spark):
+    """Titles that meet in one token and share no more are told by their bitmaps; the bound is never too low."""
+    from itertools import combinations
+
+    from dawnpress.operators import cluster
+
+    titles = {k: [f"own{k}x{i}" for i in range(20)] + ["meets"] + (["p", "q", "r"] if k % 2 else []) for k in range(8)}
+    tokens = spark.createDataFrame([("g", k, t) for k, t in titles.items()], "grp string, article_id long, tokens array<string>")
+    each = tokens.selectExpr("article_id", "explode(tokens) token").groupBy("article_id").agg(F.count(F.lit(1)).alias("n"), *cluster.bitmap(F.xxhash64("token")))
+    side = lambda k: each.select(F.col("article_id").alias(k), *(F.col(c).alias(f"{c}{k}") for c in each.columns[1:]))
+    bound = {(r[0], r[1]): r[2] for r in side("a").join(side("b")).where("a < b").select("a", "b", F.col("na") - cluster.alone("a", "b")).collect()}
+    for a, b in combinations(titles, 2):
+        shared = len({*titles[a]} & {*titles[b]})
+        assert shared <= bound[a, b] <= shared + 5
