@@ -42,8 +42,8 @@ def _tree(phrases: Iterable[str]) -> str:
 
 @cache
 def _pattern(phrases: frozenset[str]) -> str:
-    # nothing is consumed, so phrases may overlap
-    return f"(?= ({_tree(phrases)}) )"
+    # only the blank before a phrase is consumed, so phrases may overlap
+    return f" (?=({_tree(phrases)}) )"
 
 
 def matches(text: Column, phrases: Iterable[str]) -> Column:

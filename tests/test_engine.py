@@ -267,3 +267,18 @@ def test_bitmaps_bound_what_titles_share(spark):
     for a, b in combinations(titles, 2):
         shared = len({*titles[a]} & {*titles[b]})
         assert shared <= bound[a, b] <= shared + 5
+
+
+@pytest.mark.parametrize(("name", "most"), [("reroute_sections", 4), ("disaster_flag", 4)])
+def test_texts_are_looked_through_once(spark, name, most):
+    from dawnpress import queries
+
+    # title and whole text, of the fixed headlines and of the documents
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("regexp_extract_all") <= most
+
+
+def test_phrases_may_overlap(spark):
+    phrases = ["suku bunga", "bunga acuan", "bunga", "acuan naik", "bunga acuan naik"]
+    df = spark.createDataFrame([(" suku bunga acuan naik ",), (" bunga bunga acuan ",), ("  ",), (" sukubunga acuannaik ",)], "t string")
+    assert [r[0] for r in df.select(rules.matches(F.col("t"), phrases)).collect()] == [["suku bunga", "bunga acuan naik", "acuan naik"], ["bunga", "bunga acuan"], [], []]
