@@ -141,14 +141,25 @@ class Network:
 
     @staticmethod
     def _odds(room: np.ndarray, h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exponentials and their sum for each row; the weights' ``LIMIT`` keeps them finite. A row's values
-        do not depend on the rows beside it: a matrix product of the linear algebra library would add in an
-        order that follows from how many rows there are, ``einsum`` does not."""
-        z = np.einsum("ij,jk->ik", h, weights, out=room[: len(h) * len(bias)].reshape(len(h), len(bias)))
+        """Exponentials and their sum for each row; the weights' ``LIMIT`` keeps them finite. For steps only, whose
+        rows follow from the shard: the linear algebra library adds in an order that follows from how many rows there are."""
+        z = np.matmul(h, weights, out=room[: len(h) * len(bias)].reshape(len(h), len(bias)))
         z += bias
         np.exp(z, out=z)
         return z, z.sum(1)
 
+    @staticmethod
+    def _odds_down(room: np.ndarray, h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of ``h`` by columns, which stand in columns of the result. A column's values do not depend on
+        those beside it, so scores do not follow from how rows are dealt: all are added row by row. One column
+        alone, which numpy would add up in another order, is taken twice."""
+        n = h.shape[1]
+        h = np.repeat(h, 2, axis=1) if n == 1 else h
+        z = np.einsum("jk,ji->ki", weights, h, out=room[: len(bias) * h.shape[1]].reshape(len(bias), h.shape[1]))
+        z += bias[:, None]
+        np.exp(z, out=z)
+        return z[:, :n], z.sum(0)[:n]
+
     def _by_class(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, slice]]]:
         """Places of a piece's words in the order of their classes, classes, words in class, and where the
         words of each class are."""
@@ -166,12 +177,13 @@ class Network:
         for a in range(0, len(out), BATCH):
             piece = ids[a : a + BATCH + 2 * SPAN]
             order, cls, inside, groups = self._by_class(piece)
-            h = self._hidden(piece)[0][order]
-            z, total = self._odds(self.rooms[0], h, self.p[2], self.p[3])
-            p = z[np.arange(len(z)), cls] / total
+            h = np.ascontiguousarray(self._hidden(piece)[0][order].T)
+            z, total = self._odds_down(self.rooms[0], h, self.p[2], self.p[3])
+            every = np.arange(len(total))
+            p = z[cls, every] / total
             for k, rows in groups:
-                z, total = self._odds(self.rooms[1], h[rows], self.p[4][k], self.p[5][k])
-                p[rows] *= z[np.arange(len(z)), inside[rows]] / total
+                z, total = self._odds_down(self.rooms[1], h[:, rows], self.p[4][k], self.p[5][k])
+                p[rows] *= z[inside[rows], every[: len(total)]] / total
             out[a + order] = np.log(np.maximum(p, LEAST_P).astype(np.float64))
         return out
 

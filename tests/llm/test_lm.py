@@ -118,3 +118,14 @@ def test_odd_rows(odd, empty):
     assert by[(1, 0)]["log_prob"] == 0 and by[(1, 0)]["mean_log_prob"] is None and by[(10, 60_000)]["log_prob"] < 0
     assert by[(5, 2)]["log_prob"] == by[(4, 2)]["log_prob"] == by[(None, 2)]["log_prob"]
     assert lm_score.score_lm(empty).count() == 0
+
+
+def test_scores_do_not_follow_from_rows_beside(model):
+    """Pieces of any length, so also classes with one word, score as the whole stream does."""
+    _, words, _, net = model
+    ids = np.random.default_rng(5).integers(0, words.size, 2000 + 2 * lm_score.SPAN).astype(np.uint16)
+    whole = net.log_probs(ids)
+    for n in (*range(1, 40), 100, 333, 1999):
+        for at in (0, 7, 2000 - n):
+            at = min(at, 2000 - n)
+            assert (net.log_probs(ids[at : at + n + 2 * lm_score.SPAN]) == whole[at : at + n]).all()

@@ -282,3 +282,19 @@ def test_phrases_may_overlap(spark):
     phrases = ["suku bunga", "bunga acuan", "bunga", "acuan naik", "bunga acuan naik"]
     df = spark.createDataFrame([(" suku bunga acuan naik ",), (" bunga bunga acuan ",), ("  ",), (" sukubunga acuannaik ",)], "t string")
     assert [r[0] for r in df.select(rules.matches(F.col("t"), phrases)).collect()] == [["suku bunga", "bunga acuan naik", "acuan naik"], ["bunga", "bunga acuan"], [], []]
+
+
+def test_tables_of_several_files_stay_where_they_are(spark, tmp_path):
+    from dawnpress.plans.skew import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    dealt = lambda path: "Repartition" in spread(spark.read.parquet(str(path)))._jdf.queryExecution().optimizedPlan().toString()
+    rows = spark.range(10_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 40).alias("text"))
+    rows.repartition(2 * cores).write.parquet(str(tmp_path / "even"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "skewed"))
+    rows.limit(2 * cores).repartition(2 * cores).write.mode("append").parquet(str(tmp_path / "skewed"))
+    rows.where("false").write.parquet(str(tmp_path / "empty"))
+    assert [dealt(tmp_path / k) for k in ("even", "one", "skewed")] == [False, True, True]
+    assert spread(spark.read.parquet(str(tmp_path / "empty"))).count() == 0
+    assert spread(spark.read.parquet(str(tmp_path / "skewed"))).count() == 10_000 + 2 * cores
