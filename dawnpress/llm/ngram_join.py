@@ -209,7 +209,7 @@ def _chain(keys: DataFrame) -> DataFrame:
             where = np.mod(edges[:, 0], buckets)
             edges = edges[np.argsort(where, kind="stable")]
             which, at = np.unique(np.sort(where), return_index=True)
-            for k, mine in zip(which.tolist(), np.split(edges, at[1:]), strict=True):
+            for k, mine in zip(which.tolist(), np.split(edges, at[1:]) if len(edges) else [], strict=True):  # a partition may have no edge
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([np.ascontiguousarray(mine).tobytes()], pa.binary())], ["bucket", "edges"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
