@@ -81,3 +81,21 @@ def test_all_pairs_by_brute_force(tokens, seed, threshold):
     got = {(r["a"], r["b"]): (round(r["jaccard"], 9), round(r["overlap"], 9), r["rare"]) for r in rows}
     assert got == brute(titles, threshold) and len(rows) == len(got)
     assert cluster.similar_pairs(tokens(titles), threshold).count() < len(got)  # some share hot tokens alone
+
+
+def test_components(spark, tables):
+    got = {r["article_id"]: r["event_id"] for r in QUERIES["components"](spark, tables).collect()}
+    assert got == {k: 0 if k < 76 else 76 if k < 141 else 141 for k in range(142)}
+
+
+@pytest.mark.parametrize(("seed", "threshold"), [(4, 0.42), (5, 0.6)])
+def test_clusters_by_brute_force(spark, tokens, seed, threshold):
+    titles = {i: (d, w[:9] if i % 5 else []) for i, (d, w) in made(seed).items()}
+    frame = tokens(titles)
+    articles = frame.selectExpr("grp edition", "article_id", "array_join(tokens, ' ') title")
+    same = {r["article_id"]: r["tokens"] for r in cluster.tokenise(articles).collect()}
+    titles = {i: (d, same[i]) for i, (d, _) in titles.items()}
+    got = {r["article_id"]: r["event_id"] for r in cluster.clusters(articles, threshold, whole=True).collect()}
+    assert got == joined(titles, brute(titles, threshold)) and 5 < len(set(got.values())) < len(got) - 20
+    capped = {r["article_id"]: r["event_id"] for r in cluster.clusters(articles, threshold).collect()}
+    assert got != capped
