@@ -99,3 +99,9 @@ def test_clusters_by_brute_force(spark, tokens, seed, threshold):
     assert got == joined(titles, brute(titles, threshold)) and 5 < len(set(got.values())) < len(got) - 20
     capped = {r["article_id"]: r["event_id"] for r in cluster.clusters(articles, threshold).collect()}
     assert got != capped
+
+
+def test_edition_sections(spark, tables):
+    """Articles that share only frequent words are one event: the section has one row for each story, with all its media."""
+    got = {(r["event_id"], r["n_media"]) for r in QUERIES["edition_sections"](spark, tables).collect()}
+    assert got and got <= {(0, 7), (76, 7), (141, 1)}
