@@ -105,3 +105,18 @@ def test_edition_sections(spark, tables):
     """Articles that share only frequent words are one event: the section has one row for each story, with all its media."""
     got = {(r["event_id"], r["n_media"]) for r in QUERIES["edition_sections"](spark, tables).collect()}
     assert got and got <= {(0, 7), (76, 7), (141, 1)}
+
+
+def test_edition_compose(spark, tmp_path):
+    """AI events that share only frequent words are merged: 70 with three words in common, which are too unlike for one event before."""
+    made = [f"OpenAI nvidia chatbot {' '.join(f'kata{k}x{i}' for i in range(5))}" for k in range(70)]
+    docs = [(k, f"{t}\nisi berita", f"src{k}", "id") for k, t in enumerate(made)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    at = datetime(2024, 1, 1, 12)
+    spark.createDataFrame([(k, at + timedelta(minutes=k), "view") for k in range(70)], "event_id long, ts timestamp_ntz, event_type string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    # 3 of 13 words are under the limit of 0.25, 3 of 9 of shorter ones are not
+    assert len(QUERIES["edition_compose"](spark, str(tmp_path)).collect()) > 1
+    short = [(k, f"OpenAI nvidia chatbot kata{k}x kata{k}y kata{k}z\nisi", f"src{k}", "id") for k in range(70)]
+    spark.createDataFrame(short, "doc_id long, text string, source string, lang string").coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["edition_compose"](spark, str(tmp_path)).collect()
+    assert [r["n_media"] for r in got] == [70]
