@@ -120,3 +120,9 @@ def test_edition_compose(spark, tmp_path):
     spark.createDataFrame(short, "doc_id long, text string, source string, lang string").coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     got = QUERIES["edition_compose"](spark, str(tmp_path)).collect()
     assert [r["n_media"] for r in got] == [70]
+
+
+def test_edition_pages(spark, tables):
+    """The page tells each story once."""
+    html = [r["html"] for r in QUERIES["edition_pages"](spark, tables).collect()]
+    assert len(html) == 1 and sum(html[0].count(f"unik{k}<") for k in range(75)) <= 1
